@@ -2,7 +2,8 @@
 
 Every query reads the driver's tables through ``SocialTables`` and runs the
 library operators over them whole. Outputs are scalar columns (arrays are
-joined with ``,``) so they compare value for value with the DuckDB oracle.
+joined with ``,``, times formatted as text, ranks rounded) so they compare
+value for value with the DuckDB oracle in ``oracle.py``.
 """
 
 from __future__ import annotations
@@ -10,22 +11,289 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import graph, ingest
+from ..operators import communities as comm
+from ..operators import graph, ingest, links, propagation, serving
+from ..session import scratch_path
+from ..sources import files
 from ..sources.social import SocialTables
+from ..streaming.live_reach import start_live_reach
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+LPA_ROUNDS = 10
+TOP_K = 10
+PAGERANK_ROUNDS = 5
+TIMELINE_N = 5
+
 
 def query(fn: Callable[[SocialTables], DataFrame]) -> Callable[[SocialTables], DataFrame]:
     QUERIES[fn.__name__] = lambda spark, sf_dir: fn(SocialTables(spark, sf_dir))
     return fn
 
 
-def references(t: SocialTables) -> DataFrame:
+# ---------------------------------------------------------------- building blocks
+
+
+def refs_of(t: SocialTables) -> DataFrame:
     return ingest.gather_references(t.tweets, "en")
 
 
+def seed_communities(t: SocialTables) -> DataFrame:
+    return t.seeds.select(F.col("label").alias("name"))
+
+
+def graph_of(t: SocialTables) -> tuple[DataFrame, DataFrame]:
+    refs = refs_of(t)
+    return graph.build_vertices(refs, t.seeds), graph.build_edges(refs)
+
+
+def labelled(t: SocialTables, rounds: int = LPA_ROUNDS, keep_sinks: bool = False) -> DataFrame:
+    vertices, edges = graph_of(t)
+    return propagation.propagate(vertices, edges, seed_communities(t), iterations=rounds, keep_sinks=keep_sinks)
+
+
+def members(t: SocialTables) -> DataFrame:
+    return comm.community_members_join(labelled(t), t.users, seed_communities(t))
+
+
+def summary(t: SocialTables) -> DataFrame:
+    return comm.summarise_communities(labelled(t), t.users, seed_communities(t), k=TOP_K)
+
+
+def text_list(c: str) -> F.Column:
+    return F.array_join(F.col(c), ",").alias(c)
+
+
+# ---------------------------------------------------------------- scans and cleaning
+
+
+@query
+def tweets_scan(t: SocialTables) -> DataFrame:
+    """Raw JSON scan: the derived posts are written as JSON lines and read back with the fixed schema."""
+    path = scratch_path(t.spark, "tweets-json")
+    files.write_tweets(t.tweets, path)
+    return ingest.flatten_tweets(files.read_tweets(t.spark, path))
+
+
+@query
+def tweeters(t: SocialTables) -> DataFrame:
+    return ingest.tweeters(t.tweets)
+
+
+@query
+def quoted_users(t: SocialTables) -> DataFrame:
+    return ingest.quoted_users(t.tweets)
+
+
+@query
+def retweeted_users(t: SocialTables) -> DataFrame:
+    return ingest.retweeted_users(t.tweets)
+
+
+@query
+def all_users(t: SocialTables) -> DataFrame:
+    return ingest.all_users(t.tweets)
+
+
+@query
+def unique_users(t: SocialTables) -> DataFrame:
+    return ingest.clean_users(t.tweets)
+
+
+@query
+def references(t: SocialTables) -> DataFrame:
+    return refs_of(t)
+
+
+# ---------------------------------------------------------------- graph
+
+
 @query
 def edges_weighted(t: SocialTables) -> DataFrame:
-    return graph.build_edges(references(t))
+    return graph.build_edges(refs_of(t))
+
+
+@query
+def vertices_distinct(t: SocialTables) -> DataFrame:
+    return graph.vertex_ids(refs_of(t))
+
+
+@query
+def vertices_initial(t: SocialTables) -> DataFrame:
+    return graph.initial_vertices(graph.vertex_ids(refs_of(t)))
+
+
+@query
+def vertices_seeded(t: SocialTables) -> DataFrame:
+    return graph_of(t)[0]
+
+
+# ---------------------------------------------------------------- propagation
+
+
+@query
+def lpa_associations(t: SocialTables) -> DataFrame:
+    return propagation.lpa_associations(*graph_of(t))
+
+
+@query
+def lpa_outgoing(t: SocialTables) -> DataFrame:
+    return propagation.lpa_outgoing(*graph_of(t))
+
+
+@query
+def lpa_scores(t: SocialTables) -> DataFrame:
+    return propagation.lpa_scores(*graph_of(t))
+
+
+@query
+def lpa_step(t: SocialTables) -> DataFrame:
+    return propagation.lpa_step(*graph_of(t), seed_communities(t))
+
+
+@query
+def lpa_step_keep_sinks(t: SocialTables) -> DataFrame:
+    return propagation.lpa_step(*graph_of(t), seed_communities(t), keep_sinks=True)
+
+
+@query
+def lpa_run3(t: SocialTables) -> DataFrame:
+    return labelled(t, 3)
+
+
+@query
+def lpa_run10(t: SocialTables) -> DataFrame:
+    return labelled(t, 10)
+
+
+@query
+def lpa_run10_keep_sinks(t: SocialTables) -> DataFrame:
+    return labelled(t, 10, keep_sinks=True)
+
+
+@query
+def labelled_output(t: SocialTables) -> DataFrame:
+    """The stored stage table: written as parquet and read back."""
+    path = scratch_path(t.spark, "labelled")
+    files.write_stage(propagation.labelled_output(labelled(t)), path)
+    return files.read_stage(t.spark, path)
+
+
+# ---------------------------------------------------------------- communities
+
+
+@query
+def community_members_join(t: SocialTables) -> DataFrame:
+    return members(t)
+
+
+@query
+def community_size(t: SocialTables) -> DataFrame:
+    return comm.community_size(members(t))
+
+
+@query
+def community_top10(t: SocialTables) -> DataFrame:
+    return comm.community_top_k(members(t), TOP_K)
+
+
+@query
+def communities(t: SocialTables) -> DataFrame:
+    return summary(t).select("name", text_list("influencers"), "size")
+
+
+@query
+def community_pagerank(t: SocialTables) -> DataFrame:
+    _, edges = graph_of(t)
+    ranks = comm.community_pagerank(labelled(t), edges, seed_communities(t), iterations=PAGERANK_ROUNDS)
+    return ranks.select("community", "id", F.round("rank", 6).alias("rank"))
+
+
+@query
+def kv_users(t: SocialTables) -> DataFrame:
+    path = scratch_path(t.spark, "kv-user")
+    files.write_keyed(serving.keyed_users(propagation.labelled_output(labelled(t))), path, "key")
+    return files.read_stage(t.spark, path)
+
+
+@query
+def kv_communities(t: SocialTables) -> DataFrame:
+    path = scratch_path(t.spark, "kv-communities")
+    files.write_keyed(serving.keyed_communities(summary(t)), path, "key")
+    return files.read_stage(t.spark, path).select("key", "name", text_list("influencers"), "size")
+
+
+@query
+def community_members(t: SocialTables) -> DataFrame:
+    return serving.community_members(summary(t))
+
+
+# ---------------------------------------------------------------- serving
+
+
+@query
+def retweeters(t: SocialTables) -> DataFrame:
+    return serving.retweeters(t.tweets)
+
+
+@query
+def reach_by_community(t: SocialTables) -> DataFrame:
+    return serving.reach_by_community(serving.retweeters(t.tweets), labelled(t))
+
+
+@query
+def reach_ranked(t: SocialTables) -> DataFrame:
+    return serving.reach_ranked(serving.reach_by_community(serving.retweeters(t.tweets), labelled(t)))
+
+
+@query
+def user_profile(t: SocialTables) -> DataFrame:
+    """Profiles of every quoted author, looked up by screen name."""
+    quoted_names = ingest.quoted_users(t.tweets).select("screen_name")
+    return serving.user_profile(t.users, quoted_names)
+
+
+@query
+def user_timeline(t: SocialTables) -> DataFrame:
+    tl = serving.user_timeline(t.event_posts, TIMELINE_N)
+    return tl.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+# ---------------------------------------------------------------- links
+
+
+@query
+def page_links(t: SocialTables) -> DataFrame:
+    return links.page_links(t.pages)
+
+
+@query
+def pending_archives(t: SocialTables) -> DataFrame:
+    """Links found in the pages whose file is not among the stored pages' own file names."""
+    stored = links.stored_listing(t.pages, "url")
+    return links.pending_archives(links.page_links(t.pages), stored)
+
+
+# ---------------------------------------------------------------- streaming
+
+
+@query
+def live_reach(t: SocialTables) -> DataFrame:
+    """Retweet events arrive one day-folder per micro-batch; the final counts are read back."""
+    spark = t.spark
+    source = scratch_path(spark, "live-reach-events")
+    events = t.event_retweets.withColumn("day", F.to_date("created_at"))
+    events.write.partitionBy("day").parquet(source)
+    output = scratch_path(spark, "live-reach-out")
+    q = start_live_reach(
+        spark,
+        source,
+        events.schema,
+        labelled(t),
+        output,
+        max_files_per_trigger=1,
+    )
+    q.awaitTermination()
+    return spark.read.parquet(output)

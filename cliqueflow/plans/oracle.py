@@ -124,6 +124,141 @@ def with_views(body: str) -> str:
     return "WITH " + ",\n".join(f"{n}{VIEWS[n]}" for n in order) + "\n" + body.strip()
 
 
+view(
+    "event_posts",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS id, ts AS created_at, CAST(user_id AS VARCHAR) AS author_id,
+           CASE WHEN event_type = 'view' THEN regexp_extract(props, '([0-9]+)', 1) END AS rt_post_id
+    FROM events
+    """,
+)
+view(
+    "hrefs",
+    """
+    SELECT page_id, url, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"', 1)) AS href FROM pages
+    """,
+)
+view(
+    "links",
+    """
+    SELECT DISTINCT CASE
+        WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+        WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || href
+        ELSE regexp_extract(regexp_replace(url, '[?#].*$', ''), '^(.*/)', 1) || href END AS link
+    FROM hrefs
+    """,
+)
+
+USER_COLS = "screen_name, statuses_count, followers_count, friends_count, description"
+
+
+def _profiles(id_col: str, where: str) -> str:
+    cols = ", ".join(f"u.{c}" for c in USER_COLS.split(", "))
+    return f"SELECT p.{id_col} AS id, {cols} FROM posts p LEFT JOIN users u ON p.{id_col} = u.id WHERE {where}"
+
+
+view("tweeters", _profiles("author_id", "p.lang = 'en'"))
+view("quoted", _profiles("qt_author_id", "p.lang = 'en' AND p.qt_author_id IS NOT NULL"))
+view("retweeted", _profiles("rt_author_id", "p.lang = 'en' AND p.rt_author_id IS NOT NULL"))
+view(
+    "retweets",
+    """
+    SELECT DISTINCT rt_post_id AS post_id, author_id AS id FROM posts
+    WHERE rt_author_id IS NOT NULL AND rt_post_id IS NOT NULL AND author_id IS NOT NULL
+    """,
+)
+
+LPA_D10 = lpa_chain(10)
+LPA_S10 = lpa_chain(10, keep_sinks=True)
+
+view(
+    "members",
+    f"""
+    SELECT l.id, l.label, u.screen_name, u.followers_count
+    FROM {LPA_D10} l JOIN users u ON l.id = u.id
+    WHERE l.label IN (SELECT name FROM comms)
+    """,
+)
+view(
+    "top10",
+    """
+    SELECT * FROM (
+      SELECT label AS name,
+             row_number() OVER (PARTITION BY label ORDER BY followers_count DESC NULLS LAST,
+                                screen_name ASC NULLS LAST, id ASC) AS position,
+             id, screen_name, followers_count
+      FROM members) t
+    WHERE position <= 10
+    """,
+)
+view(
+    "summary",
+    """
+    SELECT s.name, COALESCE(i.influencers, '') AS influencers, s.size
+    FROM (SELECT label AS name, CAST(count(*) AS INTEGER) AS size FROM members GROUP BY label) s
+    LEFT JOIN (SELECT name, string_agg(screen_name, ',' ORDER BY position) AS influencers
+               FROM top10 WHERE screen_name IS NOT NULL GROUP BY name) i ON s.name = i.name
+    """,
+)
+view(
+    "reach",
+    f"""
+    SELECT r.post_id, l.label, count(DISTINCT r.id) AS size
+    FROM retweets r JOIN {LPA_D10} l ON r.id = l.id
+    GROUP BY r.post_id, l.label
+    """,
+)
+
+
+def pagerank_chain(rounds: int, damping: float = 0.85) -> str:
+    view("pr_members", f"SELECT id, label AS community FROM {LPA_D10} WHERE label IN (SELECT name FROM comms)")
+    view("pr_sizes", "SELECT community, CAST(count(*) AS DOUBLE) AS n FROM pr_members GROUP BY community")
+    view(
+        "pr_inner",
+        """
+        SELECT e.src, e.dst, CAST(e.weight AS DOUBLE) AS weight
+        FROM edges e JOIN pr_members s ON e.src = s.id JOIN pr_members d ON e.dst = d.id
+        WHERE s.community = d.community
+        """,
+    )
+    view(
+        "pr_shares",
+        """
+        SELECT i.src, i.dst, i.weight / o.w AS share
+        FROM pr_inner i JOIN (SELECT src, sum(weight) AS w FROM pr_inner GROUP BY src) o ON i.src = o.src
+        """,
+        materialized=True,
+    )
+    view(
+        "pr_nodes",
+        """
+        SELECT m.id, m.community, z.n, m.id IN (SELECT src FROM pr_shares) AS has_out
+        FROM pr_members m JOIN pr_sizes z ON m.community = z.community
+        """,
+        materialized=True,
+    )
+    view("pr0", "SELECT id, community, 1.0 / n AS rank FROM pr_nodes", materialized=True)
+    teleport, d = repr(1.0 - damping), repr(damping)
+    for i in range(1, rounds + 1):
+        view(
+            f"pr{i}",
+            f"""
+            SELECT x.id, x.community,
+                   {teleport} / x.n + {d} * (COALESCE(f.inflow, 0.0) + COALESCE(s.sink_mass, 0.0) / x.n) AS rank
+            FROM pr_nodes x
+            LEFT JOIN (SELECT sh.dst AS id, sum(r.rank * sh.share) AS inflow
+                       FROM pr_shares sh JOIN pr{i - 1} r ON sh.src = r.id GROUP BY sh.dst) f ON x.id = f.id
+            LEFT JOIN (SELECT r.community, sum(r.rank) AS sink_mass
+                       FROM pr{i - 1} r JOIN pr_nodes y ON r.id = y.id
+                       WHERE NOT y.has_out GROUP BY r.community) s ON x.community = s.community
+            """,
+            materialized=True,
+        )
+    return f"pr{rounds}"
+
+
+PR5 = pagerank_chain(5)
+
 ORACLE: dict[str, str] = {}
 
 
@@ -131,4 +266,114 @@ def oracle(name: str, body: str) -> None:
     ORACLE[name] = with_views(body)
 
 
+oracle(
+    "tweets_scan",
+    """
+    SELECT p.lang, strftime(p.created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+           p.author_id, u.screen_name AS author_name, u.followers_count AS author_followers,
+           CASE WHEN p.rt_author_id IS NOT NULL THEN p.rt_post_id END AS rt_post_id,
+           p.rt_author_id, p.qt_author_id
+    FROM posts p LEFT JOIN users u ON p.author_id = u.id
+    """,
+)
+oracle("tweeters", "SELECT * FROM tweeters")
+oracle("quoted_users", "SELECT * FROM quoted")
+oracle("retweeted_users", "SELECT * FROM retweeted")
+oracle("all_users", "SELECT * FROM tweeters UNION ALL SELECT * FROM quoted UNION ALL SELECT * FROM retweeted")
+oracle(
+    "unique_users",
+    f"""
+    SELECT id, {USER_COLS} FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY screen_name DESC NULLS LAST,
+             followers_count DESC NULLS LAST, statuses_count DESC NULLS LAST,
+             friends_count DESC NULLS LAST, description DESC NULLS LAST) AS rn
+      FROM (SELECT * FROM tweeters UNION ALL SELECT * FROM quoted UNION ALL SELECT * FROM retweeted) a
+      WHERE id IS NOT NULL) t
+    WHERE rn = 1
+    """,
+)
+oracle("references", "SELECT src, dst FROM refs")
 oracle("edges_weighted", "SELECT src, dst, weight FROM edges")
+oracle("vertices_distinct", "SELECT id FROM vids")
+oracle("vertices_initial", "SELECT id, id AS label, false AS prelabelled FROM vids")
+oracle("vertices_seeded", "SELECT id, label, prelabelled FROM v0")
+ASSOC = """
+    SELECT e.src, e.dst, CASE WHEN d.prelabelled THEN 2 * e.weight ELSE e.weight END AS weight, d.label
+    FROM edges e JOIN v0 d ON e.dst = d.id WHERE e.src IS NOT NULL
+"""
+oracle("lpa_associations", ASSOC)
+oracle(
+    "lpa_outgoing",
+    f"""
+    SELECT v.id, v.label, v.prelabelled, a.label AS out_label, a.weight AS out_weight
+    FROM ({ASSOC}) a JOIN v0 v ON a.src = v.id
+    """,
+)
+oracle("lpa_scores", f"SELECT src AS id, label, CAST(sum(weight) AS BIGINT) AS score FROM ({ASSOC}) a GROUP BY src, label")
+oracle("lpa_step", f"SELECT id, label, prelabelled FROM {lpa_chain(1)}")
+oracle("lpa_step_keep_sinks", f"SELECT id, label, prelabelled FROM {lpa_chain(1, keep_sinks=True)}")
+oracle("lpa_run3", f"SELECT id, label, prelabelled FROM {lpa_chain(3)}")
+oracle("lpa_run10", f"SELECT id, label, prelabelled FROM {LPA_D10}")
+oracle("lpa_run10_keep_sinks", f"SELECT id, label, prelabelled FROM {LPA_S10}")
+oracle("labelled_output", f"SELECT id, label FROM {LPA_D10}")
+oracle("community_members_join", "SELECT id, label, screen_name, followers_count FROM members")
+oracle("community_size", "SELECT label AS name, CAST(count(*) AS INTEGER) AS size FROM members GROUP BY label")
+oracle("community_top10", "SELECT name, position, id, screen_name, followers_count FROM top10")
+oracle("communities", "SELECT name, influencers, size FROM summary")
+oracle("community_pagerank", f"SELECT community, id, round(rank, 6) AS rank FROM {PR5}")
+oracle("kv_users", f"SELECT 'user:' || id AS key, id, label FROM {LPA_D10}")
+oracle("kv_communities", "SELECT 'communities:' || name AS key, name, influencers, size FROM summary")
+oracle(
+    "community_members",
+    """
+    SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY position) - 1 AS INTEGER) AS position,
+           screen_name
+    FROM top10 WHERE screen_name IS NOT NULL
+    """,
+)
+oracle("retweeters", "SELECT post_id, id FROM retweets")
+oracle("reach_by_community", "SELECT post_id, label, size FROM reach")
+oracle(
+    "reach_ranked",
+    """
+    SELECT post_id, row_number() OVER (PARTITION BY post_id ORDER BY size DESC, label ASC NULLS LAST) AS rank,
+           label, size
+    FROM reach
+    """,
+)
+oracle(
+    "user_profile",
+    """
+    SELECT * FROM users
+    WHERE screen_name IN (SELECT screen_name FROM quoted WHERE screen_name IS NOT NULL)
+    """,
+)
+oracle(
+    "user_timeline",
+    """
+    SELECT author_id, position, id, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, rt_post_id
+    FROM (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY created_at DESC NULLS LAST, id DESC)
+                    AS position
+          FROM event_posts) t
+    WHERE position <= 5
+    """,
+)
+oracle("page_links", "SELECT link FROM links")
+oracle(
+    "pending_archives",
+    """
+    SELECT link, file_name FROM (
+      SELECT link, substr(f, 1, greatest(length(f) - 4, 0)) AS file_name
+      FROM (SELECT link, split_part(link, '/', -1) AS f FROM links) a) l
+    WHERE file_name NOT IN (SELECT DISTINCT split_part(url, '/', -1) FROM pages WHERE url IS NOT NULL)
+    """,
+)
+oracle(
+    "live_reach",
+    f"""
+    SELECT r.post_id, l.label, count(DISTINCT r.id) AS size
+    FROM (SELECT rt_post_id AS post_id, author_id AS id FROM event_posts WHERE rt_post_id IS NOT NULL) r
+    JOIN {LPA_D10} l ON r.id = l.id
+    GROUP BY r.post_id, l.label
+    """,
+)
