@@ -23,11 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import best_label, is_community, locked_weight
-from ..session import drop_path, materialize
+from ..schemas import VERTEX_SCHEMA
+from ..session import drop_path, materialize, scratch_path
 
 # Vertex tables up to this many rows are broadcast to the edge partitions
 # (about 100 bytes a row); above it the join shuffles and AQE splits hot keys.
@@ -57,7 +58,8 @@ def community_names(communities: Communities) -> list[str]:
     return sorted({str(c) for c in communities})
 
 
-def _edges(edges: DataFrame) -> DataFrame:
+def propagation_edges(edges: DataFrame) -> DataFrame:
+    """Edges that can carry a label: both ends known."""
     return edges.select("src", "dst", "weight").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
@@ -66,7 +68,7 @@ def lpa_associations(vertices: DataFrame, edges: DataFrame, broadcast_vertices:
     dst_side = vertices.select(F.col("id").alias("dst"), "label", "prelabelled")
     if broadcast_vertices:
         dst_side = F.broadcast(dst_side)
-    return _edges(edges).join(dst_side, "dst").select(
+    return propagation_edges(edges).join(dst_side, "dst").select(
         "src", "dst", locked_weight("weight", "prelabelled").alias("weight"), "label"
     )
 
@@ -137,6 +139,17 @@ def lpa_step(
     return _step(vertices, edges, community_names(communities), keep_sinks, broadcast_vertices, False)
 
 
+def _write_counted(step: DataFrame, path: str) -> dict:
+    """Write (id, label, prelabelled) to ``path``; the same job counts rows and changed rows."""
+    obs = Observation("lpa-round")
+    step.observe(
+        obs,
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.col("changed").cast("long")), F.lit(0)).alias("changed"),
+    ).select("id", "label", "prelabelled").write.mode("overwrite").parquet(path)
+    return obs.get
+
+
 def propagate(
     vertices: DataFrame,
     edges: DataFrame,
@@ -145,36 +158,39 @@ def propagate(
     keep_sinks: bool = False,
     stop_early: bool = True,
     broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
+    materialize_edges: bool = True,
     keep_rounds: bool = False,
 ) -> DataFrame:
     """Run ``iterations`` rounds; returns (id, label, prelabelled).
 
-    Each round is written to the shared folder and read back. When a round
-    leaves every row as it was, later rounds would repeat it, so the loop
-    stops there with the same result. Only the vertex count and the number
-    of changed rows reach the driver.
+    Each round is written to the shared folder and read back. The write also
+    observes the row count and the number of changed rows (no extra job);
+    only those two numbers reach the driver. When a round leaves every row
+    as it was, later rounds would repeat it, so the loop stops there with the
+    same result. Pass ``materialize_edges=False`` when ``edges`` is already a
+    stored table.
     """
-    names = community_names(communities)
-    edge_tbl, edge_path = materialize(_edges(edges), "lpa-edges")
-    current, current_path = materialize(
-        vertices.select("id", "label", F.coalesce("prelabelled", F.lit(False)).alias("prelabelled")),
-        "lpa-round0",
-    )
-    n_rows = current.count()
     spark = vertices.sparkSession
+    names = community_names(communities)
+    edge_path = None
+    edge_tbl = propagation_edges(edges)
+    if materialize_edges:
+        edge_tbl, edge_path = materialize(edge_tbl, "lpa-edges")
+    v0 = vertices.select("id", "label", F.coalesce("prelabelled", F.lit(False)).alias("prelabelled"))
+    current_path = scratch_path(spark, "lpa-round0")
+    n_rows = _write_counted(v0.withColumn("changed", F.lit(False)), current_path)["n"]
+    current = spark.read.schema(VERTEX_SCHEMA).parquet(current_path)
     for i in range(1, iterations + 1):
         step = _step(current, edge_tbl, names, keep_sinks, n_rows <= broadcast_max_vertices, True)
-        nxt, nxt_path = materialize(step, f"lpa-round{i}")
-        stats = nxt.agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("changed").cast("long")), F.lit(0)).alias("c")
-        ).first()
-        unchanged = stats["n"] == n_rows and stats["c"] == 0
+        nxt_path = scratch_path(spark, f"lpa-round{i}")
+        stats = _write_counted(step, nxt_path)
+        unchanged = stats["n"] == n_rows and stats["changed"] == 0
         if not keep_rounds:
             drop_path(spark, current_path)
-        current, current_path, n_rows = nxt, nxt_path, stats["n"]
+        current, current_path, n_rows = spark.read.schema(VERTEX_SCHEMA).parquet(nxt_path), nxt_path, stats["n"]
         if stop_early and unchanged:
             break
-    if not keep_rounds:
+    if edge_path and not keep_rounds:
         drop_path(spark, edge_path)
     return current.select("id", "label", "prelabelled")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import communities as comm
 from ..operators import graph, ingest, links, propagation, serving
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.social import SocialTables
 from ..streaming.live_reach import start_live_reach
@@ -49,9 +49,17 @@ def graph_of(t: SocialTables) -> tuple[DataFrame, DataFrame]:
     return graph.build_vertices(refs, t.seeds), graph.build_edges(refs)
 
 
+def stored_graph(t: SocialTables) -> tuple[DataFrame, DataFrame]:
+    """The graph as the ``make`` stage leaves it: edges stored once, vertex ids taken from them."""
+    edges = cut_lineage(propagation.propagation_edges(graph.build_edges(refs_of(t))), "edges")
+    return graph.build_vertices(edges, t.seeds), edges
+
+
 def labelled(t: SocialTables, rounds: int = LPA_ROUNDS, keep_sinks: bool = False) -> DataFrame:
-    vertices, edges = graph_of(t)
-    return propagation.propagate(vertices, edges, seed_communities(t), iterations=rounds, keep_sinks=keep_sinks)
+    vertices, edges = stored_graph(t)
+    return propagation.propagate(
+        vertices, edges, seed_communities(t), iterations=rounds, keep_sinks=keep_sinks, materialize_edges=False
+    )
 
 
 def members(t: SocialTables) -> DataFrame:
@@ -206,8 +214,9 @@ def communities(t: SocialTables) -> DataFrame:
 
 @query
 def community_pagerank(t: SocialTables) -> DataFrame:
-    _, edges = graph_of(t)
-    ranks = comm.community_pagerank(labelled(t), edges, seed_communities(t), iterations=PAGERANK_ROUNDS)
+    vertices, edges = stored_graph(t)
+    lab = propagation.propagate(vertices, edges, seed_communities(t), iterations=LPA_ROUNDS, materialize_edges=False)
+    ranks = comm.community_pagerank(lab, edges, seed_communities(t), iterations=PAGERANK_ROUNDS)
     return ranks.select("community", "id", F.round("rank", 6).alias("rank"))
 
 
@@ -293,7 +302,7 @@ def live_reach(t: SocialTables) -> DataFrame:
         events.schema,
         labelled(t),
         output,
-        max_files_per_trigger=1,
+        max_files_per_trigger=8,
     )
     q.awaitTermination()
     return spark.read.parquet(output)
