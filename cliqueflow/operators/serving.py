@@ -12,20 +12,28 @@ from pyspark.sql import functions as F
 from ..functions.columns import key_of
 
 
-def retweeters(tweets: DataFrame, post_id: str | None = None) -> DataFrame:
-    """(post_id, id): distinct accounts that retweeted each post."""
+def retweet_events(tweets: DataFrame, post_id: str | None = None) -> DataFrame:
+    """(post_id, id): one row per retweet (repeats kept)."""
     rt = tweets.filter(F.col("retweeted_status").isNotNull())
     if post_id is not None:
         rt = rt.filter(F.col("retweeted_status.id") == post_id)
-    return (
-        rt.select(F.col("retweeted_status.id").alias("post_id"), F.col("user.id").alias("id"))
-        .filter(F.col("post_id").isNotNull() & F.col("id").isNotNull())
-        .distinct()
+    return rt.select(F.col("retweeted_status.id").alias("post_id"), F.col("user.id").alias("id")).filter(
+        F.col("post_id").isNotNull() & F.col("id").isNotNull()
     )
 
 
+def retweeters(tweets: DataFrame, post_id: str | None = None) -> DataFrame:
+    """(post_id, id): distinct accounts that retweeted each post."""
+    return retweet_events(tweets, post_id).distinct()
+
+
 def reach_by_community(retweets: DataFrame, labelled: DataFrame, post_id: str | None = None) -> DataFrame:
-    """(post_id, label, size): distinct labelled retweeters per post and label; unlabelled ones are skipped."""
+    """(post_id, label, size): distinct labelled retweeters per post and label; unlabelled ones are skipped.
+
+    ``retweets`` may repeat a (post, retweeter) pair: the count is distinct,
+    so raw retweet events go straight into the join without a separate
+    de-duplicating shuffle.
+    """
     rt = retweets.select("post_id", "id")
     if post_id is not None:
         rt = rt.filter(F.col("post_id") == post_id)
@@ -57,7 +65,7 @@ def community_members(communities: DataFrame, name: str | None = None) -> DataFr
 def user_profile(users: DataFrame, screen_names: DataFrame | list[str]) -> DataFrame:
     """Profiles of the given screen names (a list or a one-column DataFrame)."""
     if isinstance(screen_names, DataFrame):
-        names = screen_names.select(F.col(screen_names.columns[0]).alias("screen_name"))
+        names = screen_names.select(F.col(screen_names.columns[0]).alias("screen_name")).distinct()
         return users.join(names, "screen_name", "left_semi").select(*users.columns)
     return users.filter(F.col("screen_name").isin(list(screen_names)))
 

@@ -249,12 +249,12 @@ def retweeters(t: SocialTables) -> DataFrame:
 
 @query
 def reach_by_community(t: SocialTables) -> DataFrame:
-    return serving.reach_by_community(serving.retweeters(t.tweets), labelled(t))
+    return serving.reach_by_community(serving.retweet_events(t.tweets), labelled(t))
 
 
 @query
 def reach_ranked(t: SocialTables) -> DataFrame:
-    return serving.reach_ranked(serving.reach_by_community(serving.retweeters(t.tweets), labelled(t)))
+    return serving.reach_ranked(serving.reach_by_community(serving.retweet_events(t.tweets), labelled(t)))
 
 
 @query
