@@ -1,5 +1,7 @@
 """Every registered query equals its DuckDB oracle on the smallest driver tables."""
 
+import contextlib
+import io
 import math
 
 import duckdb
@@ -44,6 +46,10 @@ def test_query_matches_oracle(spark, con, name):
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert "EvalPython" not in buf.getvalue()
 
 
 def test_entry_smoke(spark):
