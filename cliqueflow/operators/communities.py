@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import drop_path, materialize
+from ..session import cut_lineage, drop_path, materialize
 from .propagation import Communities, community_names
 
 
@@ -46,10 +46,12 @@ def summarise_communities(
 ) -> DataFrame:
     """The communities table: (name, influencers, size), as in ``COMMUNITY_SCHEMA``.
 
-    One join and two group-bys for all communities at once; the influencer
-    list is ordered by rank and holds at most ``k`` names.
+    One join, stored once under the shared folder (sizes and the top-k read
+    it twice; Spark would otherwise run the join once per branch), then two
+    group-bys for all communities at once. The influencer list is ordered by
+    rank and holds at most ``k`` names.
     """
-    members = community_members_join(labelled, users, communities)
+    members = cut_lineage(community_members_join(labelled, users, communities), "community-members")
     top = (
         community_top_k(members, k)
         .filter(F.col("screen_name").isNotNull())
@@ -92,11 +94,14 @@ def community_pagerank(
         .filter(F.col("community") == F.col("dst_community"))
         .select("src", "dst", "community", F.col("weight").cast("double").alias("weight"))
     )
+    # the in-community edges feed both the out-weights and the shares: store them once
+    inner, inner_path = materialize(inner, "pagerank-edges")
     out_w = inner.groupBy("src").agg(F.sum("weight").alias("out_weight"))
     shares, shares_path = materialize(
         inner.join(out_w, "src").select("src", "dst", (F.col("weight") / F.col("out_weight")).alias("share")),
         "pagerank-shares",
     )
+    drop_path(spark, inner_path)
     sizes = members.groupBy("community").agg(F.count(F.lit(1)).cast("double").alias("n"))
     has_out = shares.select(F.col("src").alias("id")).distinct().withColumn("has_out", F.lit(True))
     nodes, nodes_path = materialize(
