@@ -63,8 +63,83 @@ def propagation_edges(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst", "weight").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
-def lpa_associations(vertices: DataFrame, edges: DataFrame, broadcast_vertices: bool = False) -> DataFrame:
+SALT_SEP = "\u0001"
+
+
+class BucketedEdges:
+    """Edges stored once, bucketed on a join key, so no round has to shuffle them.
+
+    The join key is ``dst``, except for hot destinations (more than
+    ``threshold`` in-edges), whose edges are spread over ``salts`` keys
+    ``dst<SEP>i`` by a hash of ``src``. The hot list is at most
+    ``edges / threshold`` rows, which is what makes broadcasting it safe.
+    Each round the vertex side is shuffled into the same buckets, with a hot
+    vertex replicated once per salt.
+    """
+
+    def __init__(self, edges: DataFrame, buckets: int, threshold: int | None = None):
+        spark = edges.sparkSession
+        self.spark, self.buckets = spark, buckets
+        edges = propagation_edges(edges)
+        if threshold is None:
+            n_edges = edges.count()
+            threshold = max(1000, -(-n_edges // (buckets * 4)))
+        self.threshold = threshold
+        self.hot, self.hot_path = materialize(
+            edges.groupBy("dst")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > threshold)
+            .select("dst", F.ceil(F.col("n") / F.lit(threshold)).cast("int").alias("salts")),
+            "lpa-hot",
+        )
+        keyed = edges.join(F.broadcast(self.hot), "dst", "left").select(
+            "src",
+            "dst",
+            "weight",
+            F.when(F.col("salts").isNull(), F.col("dst"))
+            .otherwise(F.concat_ws(SALT_SEP, "dst", F.pmod(F.xxhash64("src"), F.col("salts")).cast("string")))
+            .alias("jkey"),
+        )
+        self.path = scratch_path(spark, "lpa-bucketed-edges")
+        self.table = "cliqueflow_edges_" + self.path.rsplit("-", 1)[-1]
+        (
+            keyed.repartition(buckets, "jkey")
+            .write.bucketBy(buckets, "jkey")
+            .sortBy("jkey")
+            .option("path", self.path)
+            .saveAsTable(self.table)
+        )
+        self.edges = spark.table(self.table)
+
+    def keyed_vertices(self, vertices: DataFrame) -> DataFrame:
+        """(jkey, label, prelabelled): each vertex under its join key(s)."""
+        hot = F.broadcast(self.hot.select(F.col("dst").alias("id"), "salts"))
+        keys = F.when(F.col("salts").isNull(), F.array("id")).otherwise(
+            F.transform(
+                F.sequence(F.lit(0), F.col("salts") - 1),
+                lambda i: F.concat_ws(SALT_SEP, F.col("id"), i.cast("string")),
+            )
+        )
+        return vertices.join(hot, "id", "left").select(F.explode(keys).alias("jkey"), "label", "prelabelled")
+
+    def associations(self, vertices: DataFrame) -> DataFrame:
+        return self.edges.join(self.keyed_vertices(vertices), "jkey").select(
+            "src", "dst", locked_weight("weight", "prelabelled").alias("weight"), "label"
+        )
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        drop_path(self.spark, self.path)
+        drop_path(self.spark, self.hot_path)
+
+
+EdgeInput = DataFrame | BucketedEdges
+
+
+def lpa_associations(vertices: DataFrame, edges: EdgeInput, broadcast_vertices: bool = False) -> DataFrame:
     """(src, dst, weight, label): each edge with its destination's label; locked destinations count double."""
+    if isinstance(edges, BucketedEdges):
+        return edges.associations(vertices)
     dst_side = vertices.select(F.col("id").alias("dst"), "label", "prelabelled")
     if broadcast_vertices:
         dst_side = F.broadcast(dst_side)
@@ -73,7 +148,7 @@ def lpa_associations(vertices: DataFrame, edges: DataFrame, broadcast_vertices:
     )
 
 
-def lpa_outgoing(vertices: DataFrame, edges: DataFrame, broadcast_vertices: bool = False) -> DataFrame:
+def lpa_outgoing(vertices: DataFrame, edges: EdgeInput, broadcast_vertices: bool = False) -> DataFrame:
     """What a vertex sees before it chooses: its own label and lock next to each outgoing (label, weight).
 
     One row per surviving out-edge (the relational form of the paired
@@ -87,7 +162,7 @@ def lpa_outgoing(vertices: DataFrame, edges: DataFrame, broadcast_vertices: bool
     return out.join(own, "id").select("id", "label", "prelabelled", "out_label", "out_weight")
 
 
-def lpa_scores(vertices: DataFrame, edges: DataFrame, broadcast_vertices: bool = False) -> DataFrame:
+def lpa_scores(vertices: DataFrame, edges: EdgeInput, broadcast_vertices: bool = False) -> DataFrame:
     """(id, label, score): summed (lock-doubled) weight per source vertex and destination label."""
     return (
         lpa_associations(vertices, edges, broadcast_vertices)
@@ -103,7 +178,7 @@ def lpa_choose(scores: DataFrame) -> DataFrame:
 
 def _step(
     vertices: DataFrame,
-    edges: DataFrame,
+    edges: EdgeInput,
     names: list[str],
     keep_sinks: bool,
     broadcast_vertices: bool,
@@ -159,10 +234,17 @@ def propagate(
     stop_early: bool = True,
     broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
     materialize_edges: bool = True,
+    edge_buckets: int | None = None,
+    hot_threshold: int | None = None,
     keep_rounds: bool = False,
 ) -> DataFrame:
     """Run ``iterations`` rounds; returns (id, label, prelabelled).
 
+    Up to ``broadcast_max_vertices`` vertices, the vertex labels are
+    broadcast to the edges each round. Above it, the edges are stored once in
+    ``edge_buckets`` buckets (hot destinations salted, see ``BucketedEdges``)
+    and each round shuffles only the vertex side into that layout.
+
     Each round is written to the shared folder and read back. The write also
     observes the row count and the number of changed rows (no extra job);
     only those two numbers reach the driver. When a round leaves every row
@@ -172,16 +254,22 @@ def propagate(
     """
     spark = vertices.sparkSession
     names = community_names(communities)
-    edge_path = None
-    edge_tbl = propagation_edges(edges)
-    if materialize_edges:
-        edge_tbl, edge_path = materialize(edge_tbl, "lpa-edges")
     v0 = vertices.select("id", "label", F.coalesce("prelabelled", F.lit(False)).alias("prelabelled"))
     current_path = scratch_path(spark, "lpa-round0")
     n_rows = _write_counted(v0.withColumn("changed", F.lit(False)), current_path)["n"]
     current = spark.read.schema(VERTEX_SCHEMA).parquet(current_path)
+
+    edge_path, layout = None, None
+    edge_input: EdgeInput = propagation_edges(edges)
+    broadcast = n_rows <= broadcast_max_vertices
+    if not broadcast:
+        buckets = edge_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        layout = edge_input = BucketedEdges(edge_input, buckets, hot_threshold)
+    elif materialize_edges:
+        edge_input, edge_path = materialize(edge_input, "lpa-edges")
+
     for i in range(1, iterations + 1):
-        step = _step(current, edge_tbl, names, keep_sinks, n_rows <= broadcast_max_vertices, True)
+        step = _step(current, edge_input, names, keep_sinks, broadcast, True)
         nxt_path = scratch_path(spark, f"lpa-round{i}")
         stats = _write_counted(step, nxt_path)
         unchanged = stats["n"] == n_rows and stats["changed"] == 0
@@ -190,8 +278,11 @@ def propagate(
         current, current_path, n_rows = spark.read.schema(VERTEX_SCHEMA).parquet(nxt_path), nxt_path, stats["n"]
         if stop_early and unchanged:
             break
-    if edge_path and not keep_rounds:
-        drop_path(spark, edge_path)
+    if not keep_rounds:
+        if edge_path:
+            drop_path(spark, edge_path)
+        if layout:
+            layout.drop()
     return current.select("id", "label", "prelabelled")
 
 

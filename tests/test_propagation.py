@@ -113,3 +113,49 @@ def test_labelled_output_drops_lock(spark):
     out = P.labelled_output(vertices(spark, H1_V))
     assert out.columns == ["id", "label"]
     assert rows(out)[0] == ("A", "Trump")
+
+
+def test_bucketed_salted_layout_matches_broadcast(spark):
+    v, e = vertices(spark, H1_V), edges(spark, H1_E)
+    want = rows(P.propagate(v, e, H1_C, iterations=4, keep_sinks=True))
+    # every destination with more than one in-edge is salted
+    got = P.propagate(v, e, H1_C, iterations=4, keep_sinks=True, broadcast_max_vertices=0, edge_buckets=3,
+                      hot_threshold=1)
+    assert rows(got) == want
+
+
+def test_bucketed_layout_on_driver_tables(spark):
+    from cliqueflow.plans import catalog
+    from cliqueflow.sources.social import SocialTables
+
+    t = SocialTables(spark, "/root/testdata/sf0.001")
+    v, e = catalog.stored_graph(t)
+    comms = catalog.seed_communities(t)
+    want = rows(P.propagate(v, e, comms, iterations=3, materialize_edges=False))
+    got = P.propagate(v, e, comms, iterations=3, broadcast_max_vertices=0, edge_buckets=4, hot_threshold=5)
+    assert rows(got) == want
+
+
+def test_bucketed_layout_does_not_shuffle_edges(spark):
+    import contextlib
+    import io
+
+    v, e = vertices(spark, H1_V), edges(spark, H1_E * 3)
+    layout = P.BucketedEdges(e, buckets=4, threshold=2)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert layout.hot.count() >= 1
+        assoc = P.lpa_associations(v, layout)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            assoc.explain()
+        text = buf.getvalue()
+        scan = next(line for line in text.splitlines() if "cliqueflow_edges_" in line)
+        assert "Bucketed: true" in scan, scan
+        # the only hash exchange is on the vertex side
+        assert text.count("Exchange hashpartitioning") == 1
+        assert rows(assoc) == rows(P.lpa_associations(v, e))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        layout.drop()
