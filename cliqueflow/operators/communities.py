@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_path, materialize
-from .propagation import Communities, community_names
+from .layout import SaltedLayout
+from .propagation import BROADCAST_MAX_VERTICES, Communities, community_names
 
 
 def community_members_join(labelled: DataFrame, users: DataFrame, communities: Communities) -> DataFrame:
@@ -71,6 +72,9 @@ def community_pagerank(
     communities: Communities,
     iterations: int = 5,
     damping: float = 0.85,
+    broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
+    buckets: int | None = None,
+    hot_threshold: int | None = None,
 ) -> DataFrame:
     """(community, id, rank): weighted PageRank inside each community.
 
@@ -79,7 +83,10 @@ def community_pagerank(
     its count over the source's in-community out-weight. A vertex with no
     in-community out-edge spreads its rank evenly over its community. Ranks
     of a community sum to 1. Per-community constants (size, sink mass) are
-    one row per listed community and are broadcast.
+    one row per listed community and are broadcast. The ranks are broadcast
+    to the edge shares while the member count is at most
+    ``broadcast_max_vertices``; above it the shares are stored bucketed on
+    ``src`` (hot sources salted) and each round shuffles only the ranks.
     """
     spark = labelled.sparkSession
     names = community_names(communities)
@@ -113,9 +120,18 @@ def community_pagerank(
     ranks, ranks_path = materialize(
         nodes.select("id", "community", (F.lit(1.0) / F.col("n")).alias("rank")), "pagerank-round0"
     )
+    layout = None
+    if ranks.count() > broadcast_max_vertices:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        layout = SaltedLayout(shares, "src", "dst", buckets, hot_threshold, tag="pagerank-shares")
+
+    def with_rank(r: DataFrame) -> DataFrame:
+        src_rank = r.select(F.col("id").alias("src"), "rank")
+        return layout.join(src_rank, "src") if layout else shares.join(F.broadcast(src_rank), "src")
+
     for i in range(1, iterations + 1):
         inflow = (
-            shares.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
+            with_rank(ranks)
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("rank") * F.col("share")).alias("inflow"))
         )
@@ -140,6 +156,8 @@ def community_pagerank(
         new_ranks, new_path = materialize(nxt, f"pagerank-round{i}")
         drop_path(spark, ranks_path)
         ranks, ranks_path = new_ranks, new_path
+    if layout:
+        layout.drop()
     drop_path(spark, shares_path)
     drop_path(spark, nodes_path)
     return ranks.select("community", "id", "rank")

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import best_label, is_community, locked_weight
 from ..schemas import VERTEX_SCHEMA
 from ..session import drop_path, materialize, scratch_path
+from .layout import SaltedLayout
 
 # Vertex tables up to this many rows are broadcast to the edge partitions
 # (about 100 bytes a row); above it the join shuffles and AQE splits hot keys.
@@ -63,75 +64,22 @@ def propagation_edges(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst", "weight").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
-SALT_SEP = "\u0001"
+class BucketedEdges(SaltedLayout):
+    """Edges stored once, bucketed on ``dst`` (hot destinations salted by ``src``).
 
-
-class BucketedEdges:
-    """Edges stored once, bucketed on a join key, so no round has to shuffle them.
-
-    The join key is ``dst``, except for hot destinations (more than
-    ``threshold`` in-edges), whose edges are spread over ``salts`` keys
-    ``dst<SEP>i`` by a hash of ``src``. The hot list is at most
-    ``edges / threshold`` rows, which is what makes broadcasting it safe.
-    Each round the vertex side is shuffled into the same buckets, with a hot
-    vertex replicated once per salt.
+    Each round only the vertex labels are shuffled into the buckets; a
+    widely referenced author is spread over several buckets.
     """
 
     def __init__(self, edges: DataFrame, buckets: int, threshold: int | None = None):
-        spark = edges.sparkSession
-        self.spark, self.buckets = spark, buckets
-        edges = propagation_edges(edges)
-        if threshold is None:
-            n_edges = edges.count()
-            threshold = max(1000, -(-n_edges // (buckets * 4)))
-        self.threshold = threshold
-        self.hot, self.hot_path = materialize(
-            edges.groupBy("dst")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > threshold)
-            .select("dst", F.ceil(F.col("n") / F.lit(threshold)).cast("int").alias("salts")),
-            "lpa-hot",
-        )
-        keyed = edges.join(F.broadcast(self.hot), "dst", "left").select(
-            "src",
-            "dst",
-            "weight",
-            F.when(F.col("salts").isNull(), F.col("dst"))
-            .otherwise(F.concat_ws(SALT_SEP, "dst", F.pmod(F.xxhash64("src"), F.col("salts")).cast("string")))
-            .alias("jkey"),
-        )
-        self.path = scratch_path(spark, "lpa-bucketed-edges")
-        self.table = "cliqueflow_edges_" + self.path.rsplit("-", 1)[-1]
-        (
-            keyed.repartition(buckets, "jkey")
-            .write.bucketBy(buckets, "jkey")
-            .sortBy("jkey")
-            .option("path", self.path)
-            .saveAsTable(self.table)
-        )
-        self.edges = spark.table(self.table)
-
-    def keyed_vertices(self, vertices: DataFrame) -> DataFrame:
-        """(jkey, label, prelabelled): each vertex under its join key(s)."""
-        hot = F.broadcast(self.hot.select(F.col("dst").alias("id"), "salts"))
-        keys = F.when(F.col("salts").isNull(), F.array("id")).otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.col("salts") - 1),
-                lambda i: F.concat_ws(SALT_SEP, F.col("id"), i.cast("string")),
-            )
-        )
-        return vertices.join(hot, "id", "left").select(F.explode(keys).alias("jkey"), "label", "prelabelled")
+        super().__init__(propagation_edges(edges), "dst", "src", buckets, threshold, tag="lpa-edges")
 
     def associations(self, vertices: DataFrame) -> DataFrame:
-        return self.edges.join(self.keyed_vertices(vertices), "jkey").select(
+        dst_side = vertices.select(F.col("id").alias("dst"), "label", "prelabelled")
+        return self.join(dst_side, "dst").select(
             "src", "dst", locked_weight("weight", "prelabelled").alias("weight"), "label"
         )
 
-    def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        drop_path(self.spark, self.path)
-        drop_path(self.spark, self.hot_path)
-
 
 EdgeInput = DataFrame | BucketedEdges
 

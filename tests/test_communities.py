@@ -87,3 +87,15 @@ def test_pagerank_leaders(spark):
                                   "community string, id string, rank double")
     us = users(spark, [("a", "alice", 1), ("b", "bob", 1), ("c", "carol", 1)])
     assert rows(comm.pagerank_leaders(ranks, us, k=2), "position", "screen_name") == [(1, "alice"), (2, "bob")]
+
+
+def test_pagerank_salted_layout_matches_broadcast(spark):
+    lab = labelled(spark, [(v, "T") for v in "abcdefg"])
+    e = edges(spark, [("a", "b", 2), ("a", "c", 1), ("a", "d", 1), ("a", "e", 1), ("b", "a", 1), ("c", "a", 3),
+                      ("d", "a", 1), ("e", "f", 1), ("f", "g", 1)])
+    want = {(r["id"]): r["rank"] for r in comm.community_pagerank(lab, e, ["T"], iterations=6).collect()}
+    got = {(r["id"]): r["rank"] for r in comm.community_pagerank(
+        lab, e, ["T"], iterations=6, broadcast_max_vertices=0, buckets=3, hot_threshold=2).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-12)

@@ -151,7 +151,7 @@ def test_bucketed_layout_does_not_shuffle_edges(spark):
         with contextlib.redirect_stdout(buf):
             assoc.explain()
         text = buf.getvalue()
-        scan = next(line for line in text.splitlines() if "cliqueflow_edges_" in line)
+        scan = next(line for line in text.splitlines() if "cliqueflow_lpa_edges_" in line)
         assert "Bucketed: true" in scan, scan
         # the only hash exchange is on the vertex side
         assert text.count("Exchange hashpartitioning") == 1
