@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, drop_path, materialize
+from ..session import cut_lineage, drop_path, materialize, path_bytes
 from .layout import SaltedLayout
-from .propagation import BROADCAST_MAX_VERTICES, Communities, community_names
+from .propagation import BROADCAST_MAX_BYTES, BROADCAST_MAX_VERTICES, Communities, community_names
 
 
 def community_members_join(labelled: DataFrame, users: DataFrame, communities: Communities) -> DataFrame:
@@ -121,7 +121,7 @@ def community_pagerank(
         nodes.select("id", "community", (F.lit(1.0) / F.col("n")).alias("rank")), "pagerank-round0"
     )
     layout = None
-    if ranks.count() > broadcast_max_vertices:
+    if ranks.count() > broadcast_max_vertices or path_bytes(spark, ranks_path) > BROADCAST_MAX_BYTES:
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         layout = SaltedLayout(shares, "src", "dst", buckets, hot_threshold, tag="pagerank-shares")
 

@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import best_label, is_community, locked_weight
 from ..schemas import VERTEX_SCHEMA
-from ..session import drop_path, materialize, scratch_path
+from ..session import drop_path, materialize, path_bytes, scratch_path
 from .layout import SaltedLayout
 
-# Vertex tables up to this many rows are broadcast to the edge partitions
-# (about 100 bytes a row); above it the join shuffles and AQE splits hot keys.
+# Vertex tables up to this many rows, and up to this many stored (parquet)
+# bytes, are broadcast to the edge partitions; above either bound the edges
+# go into a salted bucketed layout and only the vertices are shuffled.
 BROADCAST_MAX_VERTICES = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # A community list is a handful of hand-picked names; more than this is a mistake.
 MAX_COMMUNITIES = 10_000
 
@@ -209,7 +211,7 @@ def propagate(
 
     edge_path, layout = None, None
     edge_input: EdgeInput = propagation_edges(edges)
-    broadcast = n_rows <= broadcast_max_vertices
+    broadcast = n_rows <= broadcast_max_vertices and path_bytes(spark, current_path) <= BROADCAST_MAX_BYTES
     if not broadcast:
         buckets = edge_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         layout = edge_input = BucketedEdges(edge_input, buckets, hot_threshold)

@@ -88,6 +88,14 @@ def cut_lineage(df: DataFrame, tag: str = "stage") -> DataFrame:
     return materialize(df, tag)[0]
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (file-system metadata only, no scan)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch location through the Hadoop file system of the session."""
     jvm = spark.sparkContext._jvm
