@@ -1,8 +1,11 @@
 """Headline-query benchmark. Prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default the headline set).
+BENCH_QUERIES (comma list, default the headline set), BENCH_WARMUP_DIR
+(default /root/testdata/sf0.001; empty to skip).
 Each query runs to completion into Spark's no-op sink (nothing is collected).
+Before timing, the same queries run once on the small warm-up tables so JVM
+start-up and JIT compilation are not counted; the warm-up is not reported.
 """
 
 from __future__ import annotations
@@ -34,8 +37,10 @@ def main() -> None:
     from cliqueflow.session import build_session
 
     spark = build_session("cliqueflow-bench", cpus=cpus, shuffle_partitions=int(cpus) * 2)
-    # JVM and planner warm-up on a table every query reads; not timed.
-    spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001").rstrip("/")
+    if warm_dir and os.path.isdir(warm_dir):
+        for name in names:
+            QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
     for name in names:
