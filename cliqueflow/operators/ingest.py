@@ -111,6 +111,15 @@ def gather_references(tweets: DataFrame, lang: str | None = "en") -> DataFrame:
     )
 
 
+def prune_tweets(tweets: DataFrame, lang: str | None = "en") -> DataFrame:
+    """Only what cleaning reads: the three user structs (and status ids) of posts in ``lang``.
+
+    Stored once as parquet, it lets users and references be derived without
+    parsing the raw JSON twice.
+    """
+    return _in_lang(tweets, lang).select("id", "lang", "created_at", "user", "retweeted_status", "quoted_status")
+
+
 def flatten_tweets(tweets: DataFrame) -> DataFrame:
     """Flat columns of the raw post shape (what the JSON scan is checked on)."""
     return tweets.select(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..operators import communities as comm
 from ..operators import graph, ingest, propagation, serving
 from ..schemas import Paths
+from ..session import drop_path, materialize
 from ..sources import files
 
 STAGES = ("clean", "make", "lpa", "communities", "kv_users", "kv_communities", "database", "graph", "all")
@@ -61,14 +62,20 @@ def run_stage(spark: SparkSession, stage: str, paths: Paths, options: StageOptio
         return
 
     if stage == "clean":
-        tweets = files.read_tweets(spark, paths["input"])
-        files.write_stage(ingest.clean_users(tweets, options.lang), paths["users"])
-        files.write_stage(ingest.gather_references(tweets, options.lang), paths["references"])
+        # the raw JSON is parsed once, into a narrow language-filtered table both outputs read
+        posts, posts_path = materialize(
+            ingest.prune_tweets(files.read_tweets(spark, paths["input"]), options.lang), "clean-posts"
+        )
+        files.write_stage(ingest.clean_users(posts, None), paths["users"])
+        files.write_stage(ingest.gather_references(posts, None), paths["references"])
+        drop_path(spark, posts_path)
     elif stage == "make":
         refs = files.read_stage(spark, paths["references"])
-        seeds = files.read_seeds(spark, paths["seeds"])
-        files.write_stage(graph.build_vertices(refs, seeds), paths["vertices"])
         files.write_stage(graph.build_edges(refs), paths["edges"])
+        # vertex ids come from the stored edges: same ids, far fewer rows than the references
+        edges = files.read_stage(spark, paths["edges"])
+        seeds = files.read_seeds(spark, paths["seeds"])
+        files.write_stage(graph.build_vertices(edges, seeds), paths["vertices"])
     elif stage == "lpa":
         result = propagation.propagate(
             files.read_stage(spark, paths["vertices"]),
@@ -76,6 +83,7 @@ def run_stage(spark: SparkSession, stage: str, paths: Paths, options: StageOptio
             _communities(spark, paths, options),
             iterations=options.iterations,
             keep_sinks=options.keep_sinks,
+            materialize_edges=False,
         )
         files.write_stage(propagation.labelled_output(result), paths["labelled"])
     elif stage == "communities":
