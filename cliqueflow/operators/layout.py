@@ -21,6 +21,24 @@ from ..session import drop_path, materialize, scratch_path
 SALT_SEP = "\u0001"
 
 
+def bucketed_copy(df: DataFrame, key: str, buckets: int, tag: str = "bucketed") -> tuple[DataFrame, str, str]:
+    """Store ``df`` bucketed on a unique ``key``; returns (table, table name, path).
+
+    Joins on ``key`` against it shuffle only the other side. For keys that may
+    repeat heavily use ``SaltedLayout``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    name = f"cliqueflow_{tag.replace('-', '_')}_" + path.rsplit("-", 1)[-1]
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name), name, path
+
+
+def drop_bucketed(spark, name: str, path: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_path(spark, path)
+
+
 class SaltedLayout:
     """``big`` bucketed on ``key`` (hot keys salted by ``spread_by``)."""
 

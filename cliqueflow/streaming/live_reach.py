@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..operators.layout import bucketed_copy
 from ..session import scratch_path
 
 
@@ -36,13 +37,20 @@ def start_live_reach(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     processing_time: str = "30 seconds",
+    static_buckets: int | None = None,
 ) -> StreamingQuery:
     """Run ``live_reach`` over a folder of parquet retweet events.
 
     Every micro-batch replaces ``output`` with the complete current counts.
     ``available_now`` drains what is there and stops; otherwise the query
     polls every ``processing_time``.
+
+    A stream-static join re-runs the static side in every micro-batch. With
+    ``static_buckets`` the labelled table is first stored bucketed on ``id``,
+    so each batch shuffles only its own events, never the labelled table.
     """
+    if static_buckets:
+        labelled, _, _ = bucketed_copy(labelled.select("id", "label"), "id", static_buckets, "live-reach-labels")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

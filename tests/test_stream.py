@@ -1,5 +1,8 @@
 """Live reach: the streaming counts equal the batch counts over the same events."""
 
+import contextlib
+import io
+
 from pyspark.sql import functions as F
 
 from cliqueflow.operators import serving
@@ -23,3 +26,28 @@ def test_stream_equals_batch(spark, tmp_path):
     got = rows(spark.read.parquet(out), "post_id", "label", "size")
     want = rows(serving.reach_by_community(events, lab), "post_id", "label", "size")
     assert got == want == [("p1", "Trump", 2), ("p2", "Biden", 1), ("p2", "Trump", 1)]
+
+
+def test_stream_with_bucketed_static_side(spark, tmp_path):
+    events = spark.createDataFrame(
+        [("p1", "a", "2024-01-01"), ("p1", "b", "2024-01-02"), ("p2", "a", "2024-01-03")],
+        "post_id string, id string, day string")
+    src = str(tmp_path / "events")
+    events.write.partitionBy("day").parquet(src)
+    lab = spark.createDataFrame([("a", "Trump"), ("b", "Biden")], "id string, label string")
+    out = str(tmp_path / "out")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = start_live_reach(spark, src, events.schema, lab, out, checkpoint=str(tmp_path / "ckpt"),
+                             static_buckets=4)
+        q.awaitTermination()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            q.explain()
+        scan = [line for line in buf.getvalue().splitlines() if "cliqueflow_live_reach_labels" in line]
+        assert scan and "Bucketed: true" in scan[0], buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert rows(spark.read.parquet(out), "post_id", "label", "size") == [
+        ("p1", "Biden", 1), ("p1", "Trump", 1), ("p2", "Trump", 1)]
