@@ -99,3 +99,20 @@ def test_pagerank_salted_layout_matches_broadcast(spark):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-12)
+
+
+def test_sizes_sum_to_labelled_members_with_a_user(spark):
+    from pyspark.sql import functions as F
+
+    from cliqueflow.plans import catalog
+    from cliqueflow.sources.social import SocialTables
+
+    t = SocialTables(spark, "/root/testdata/sf0.001")
+    lab = catalog.labelled(t, rounds=3)
+    names = catalog.seed_communities(t)
+    summary = comm.summarise_communities(lab, t.users, names)
+    total = summary.agg(F.sum("size")).first()[0]
+    listed = [r["name"] for r in names.collect()]
+    expect = lab.filter(F.col("label").isin(listed)).join(t.users.select("id"), "id").count()
+    assert total == expect
+    assert all(len(r["influencers"]) <= 10 for r in summary.collect())
