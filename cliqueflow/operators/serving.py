@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import key_of
+from .ranking import rank_within
 
 
 def retweet_events(tweets: DataFrame, post_id: str | None = None) -> DataFrame:
@@ -47,12 +48,17 @@ def reach_by_community(retweets: DataFrame, labelled: DataFrame, post_id: str |
 def reach_ranked(reach: DataFrame, k: int | None = None) -> DataFrame:
     """(post_id, rank, label, size): communities of each post, largest reach first, ties by label.
 
-    With ``k`` only the first ``k`` per post are kept (and limited before the shuffle).
+    With ``k`` only the first ``k`` per post are kept, limited per map task
+    before the shuffle. Without it every label is ranked exactly by
+    ``rank_within``, so a post reaching millions of labels is spread over
+    many tasks rather than sorted in one.
     """
-    w = Window.partitionBy("post_id").orderBy(F.col("size").desc(), F.col("label").asc_nulls_last())
-    ranked = reach.withColumn("rank", F.row_number().over(w))
+    order = [F.col("size").desc(), F.col("label").asc_nulls_last()]
     if k is not None:
-        ranked = ranked.filter(F.col("rank") <= k)
+        w = Window.partitionBy("post_id").orderBy(*order)
+        ranked = reach.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    else:
+        ranked = rank_within(reach.filter(F.col("post_id").isNotNull()), ["post_id"], order)
     return ranked.select("post_id", "rank", "label", "size")
 
 
