@@ -18,7 +18,7 @@ from ..operators import graph, ingest, links, propagation, serving
 from ..session import cut_lineage, scratch_path
 from ..sources import files
 from ..sources.social import SocialTables
-from ..streaming.live_reach import start_live_reach
+from ..streaming.live_reach import read_live_reach, start_live_reach
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -305,4 +305,4 @@ def live_reach(t: SocialTables) -> DataFrame:
         max_files_per_trigger=8,
     )
     q.awaitTermination()
-    return spark.read.parquet(output)
+    return read_live_reach(spark, output)

@@ -38,10 +38,15 @@ def start_live_reach(
     max_files_per_trigger: int | None = None,
     processing_time: str = "30 seconds",
     static_buckets: int | None = None,
+    output_mode: str = "update",
 ) -> StreamingQuery:
     """Run ``live_reach`` over a folder of parquet retweet events.
 
-    Every micro-batch replaces ``output`` with the complete current counts.
+    In ``update`` mode (default) every micro-batch appends only the counts it
+    changed, tagged with its epoch, to ``output``; ``read_live_reach`` gives
+    the current count per (post, label). A replayed epoch appends the same
+    rows again, which the reader collapses, so the sink is idempotent. In
+    ``complete`` mode every micro-batch replaces ``output`` with all counts.
     ``available_now`` drains what is there and stops; otherwise the query
     polls every ``processing_time``.
 
@@ -57,12 +62,24 @@ def start_live_reach(
     counts = live_reach(reader.parquet(source), labelled)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(output)
+        if output_mode == "complete":
+            batch.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(output)
+        else:
+            batch.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("append").parquet(output)
 
     writer = (
-        counts.writeStream.outputMode("complete")
+        counts.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint or scratch_path(spark, "live-reach-ckpt"))
         .foreachBatch(publish)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def read_live_reach(spark: SparkSession, output: str) -> DataFrame:
+    """Current (post_id, label, size) from a live-reach sink: the latest epoch's count per key."""
+    return (
+        spark.read.parquet(output)
+        .groupBy("post_id", "label")
+        .agg(F.max_by("size", "epoch").alias("size"))
+    )

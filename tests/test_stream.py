@@ -6,7 +6,7 @@ import io
 from pyspark.sql import functions as F
 
 from cliqueflow.operators import serving
-from cliqueflow.streaming.live_reach import start_live_reach
+from cliqueflow.streaming.live_reach import read_live_reach, start_live_reach
 from conftest import rows
 
 
@@ -23,7 +23,7 @@ def test_stream_equals_batch(spark, tmp_path):
                          max_files_per_trigger=1)
     q.awaitTermination()
     assert len(q.recentProgress) >= 2  # several micro-batches
-    got = rows(spark.read.parquet(out), "post_id", "label", "size")
+    got = rows(read_live_reach(spark, out), "post_id", "label", "size")
     want = rows(serving.reach_by_community(events, lab), "post_id", "label", "size")
     assert got == want == [("p1", "Trump", 2), ("p2", "Biden", 1), ("p2", "Trump", 1)]
 
@@ -49,5 +49,19 @@ def test_stream_with_bucketed_static_side(spark, tmp_path):
         assert scan and "Bucketed: true" in scan[0], buf.getvalue()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-    assert rows(spark.read.parquet(out), "post_id", "label", "size") == [
+    assert rows(read_live_reach(spark, out), "post_id", "label", "size") == [
         ("p1", "Biden", 1), ("p1", "Trump", 1), ("p2", "Trump", 1)]
+
+
+def test_complete_mode_gives_the_same_counts(spark, tmp_path):
+    events = spark.createDataFrame(
+        [("p1", "a", "2024-01-01"), ("p1", "b", "2024-01-02"), ("p1", "a", "2024-01-03")],
+        "post_id string, id string, day string")
+    src = str(tmp_path / "events")
+    events.write.partitionBy("day").parquet(src)
+    lab = spark.createDataFrame([("a", "Trump"), ("b", "Trump")], "id string, label string")
+    out = str(tmp_path / "out")
+    q = start_live_reach(spark, src, events.schema, lab, out, checkpoint=str(tmp_path / "ckpt"),
+                         max_files_per_trigger=1, output_mode="complete")
+    q.awaitTermination()
+    assert rows(read_live_reach(spark, out), "post_id", "label", "size") == [("p1", "Trump", 2)]
