@@ -12,8 +12,9 @@ One round, synchronous over all vertices:
 By default a vertex with no out-edge to a surviving vertex leaves the graph
 (``keep_sinks=False``); with ``keep_sinks=True`` it stays with its label.
 
-At scale the round is one shuffle join of edges with vertex labels (or a
-broadcast when the vertex count is proven small), two partially aggregated
+A round is a join of edges with vertex labels (a broadcast while the vertex
+table is proven small; above that, edges stored once bucketed on a salted
+destination key, so only vertex labels move), two partially aggregated
 group-bys, and a join back on the vertex id. ``propagate`` writes each round
 to the shared folder, so lineage never grows and a lost executor costs at
 most one round.
