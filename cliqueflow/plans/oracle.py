@@ -184,8 +184,8 @@ view(
     """
     SELECT * FROM (
       SELECT label AS name,
-             row_number() OVER (PARTITION BY label ORDER BY followers_count DESC NULLS LAST,
-                                screen_name ASC NULLS LAST, id ASC) AS position,
+             CAST(row_number() OVER (PARTITION BY label ORDER BY followers_count DESC NULLS LAST,
+                                     screen_name ASC NULLS LAST, id ASC) AS INTEGER) AS position,
              id, screen_name, followers_count
       FROM members) t
     WHERE position <= 10
@@ -336,7 +336,8 @@ oracle("reach_by_community", "SELECT post_id, label, size FROM reach")
 oracle(
     "reach_ranked",
     """
-    SELECT post_id, row_number() OVER (PARTITION BY post_id ORDER BY size DESC, label ASC NULLS LAST) AS rank,
+    SELECT post_id,
+           CAST(row_number() OVER (PARTITION BY post_id ORDER BY size DESC, label ASC NULLS LAST) AS INTEGER) AS rank,
            label, size
     FROM reach
     """,
@@ -352,8 +353,8 @@ oracle(
     "user_timeline",
     """
     SELECT author_id, position, id, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, rt_post_id
-    FROM (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY created_at DESC NULLS LAST, id DESC)
-                    AS position
+    FROM (SELECT *, CAST(row_number() OVER (PARTITION BY author_id ORDER BY created_at DESC NULLS LAST, id DESC)
+                         AS INTEGER) AS position
           FROM event_posts) t
     WHERE position <= 5
     """,

@@ -32,6 +32,10 @@ def canon(cols, data):
     return [cols[i] for i in order], sorted((tuple(norm(r[i]) for i in order) for r in data), key=repr)
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN"}
+
+
 def test_every_query_has_an_oracle():
     missing = set(entry.queries()) - set(entry.oracle_sql())
     assert not missing, missing
@@ -42,8 +46,10 @@ def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(entry.oracle_sql()[name])
+    types = {d[0]: str(d[1]) for d in cur.description}
     want = canon([d[0] for d in cur.description], cur.fetchall())
     assert got[0] == want[0]
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == types
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
     buf = io.StringIO()
