@@ -30,11 +30,11 @@ def rank_within(
 
     Group columns must not be null.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc() for g in group] + list(order)
+    # without a fixed count AQE may merge adjacent ranges, which keeps the order intact
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     placed, _ = materialize(
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id()),

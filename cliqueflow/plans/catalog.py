@@ -303,6 +303,7 @@ def live_reach(t: SocialTables) -> DataFrame:
         labelled(t),
         output,
         max_files_per_trigger=8,
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     q.awaitTermination()
     return read_live_reach(spark, output)

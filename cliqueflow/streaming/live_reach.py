@@ -39,6 +39,7 @@ def start_live_reach(
     processing_time: str = "30 seconds",
     static_buckets: int | None = None,
     output_mode: str = "update",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Run ``live_reach`` over a folder of parquet retweet events.
 
@@ -53,6 +54,9 @@ def start_live_reach(
     A stream-static join re-runs the static side in every micro-batch. With
     ``static_buckets`` the labelled table is first stored bucketed on ``id``,
     so each batch shuffles only its own events, never the labelled table.
+
+    ``state_partitions`` fixes the number of state-store partitions for the
+    life of the checkpoint (default: the session's shuffle partitions).
     """
     if static_buckets:
         labelled, _, _ = bucketed_copy(labelled.select("id", "label"), "id", static_buckets, "live-reach-labels")
@@ -73,7 +77,15 @@ def start_live_reach(
         .foreachBatch(publish)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    # the partition count is read when the query starts and then kept in its checkpoint
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def read_live_reach(spark: SparkSession, output: str) -> DataFrame:
