@@ -47,3 +47,19 @@ def test_all_stages_round_trip(spark, tmp_path):
 def test_unknown_stage(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown stage"):
         run_stage(spark, "upload", Paths(str(tmp_path)))
+
+
+def test_command_line(spark, tmp_path):
+    from cliqueflow.__main__ import main
+
+    (tmp_path / "raw").mkdir()
+    lines = [{"id": "1", "lang": "en", "user": user(1, "u1", 1),
+              "retweeted_status": {"id": "p", "user": user(2, "u2", 2)}}]
+    (tmp_path / "raw" / "a.json").write_text("\n".join(json.dumps(x) for x in lines))
+    (tmp_path / "prelabelled").mkdir()
+    (tmp_path / "prelabelled" / "s.json").write_text('{"id": "2", "label": "Trump", "prelabelled": true}\n')
+    main(["all", "--root", str(tmp_path), "--keep-sinks", "--communities", "Trump"], spark=spark)
+    lab = {r["id"]: r["label"] for r in files.read_stage(spark, str(tmp_path / "labelled")).collect()}
+    assert lab == {"1": "Trump", "2": "Trump"}
+    with pytest.raises(SystemExit):
+        main(["upload", "--root", str(tmp_path)], spark=spark)
