@@ -118,7 +118,7 @@ def community_pagerank(
         "pagerank-nodes",
     )
     ranks, ranks_path = materialize(
-        nodes.select("id", "community", (F.lit(1.0) / F.col("n")).alias("rank")), "pagerank-round0"
+        nodes.select("id", "community", "has_out", (F.lit(1.0) / F.col("n")).alias("rank")), "pagerank-round0"
     )
     layout = None
     if ranks.count() > broadcast_max_vertices or path_bytes(spark, ranks_path) > BROADCAST_MAX_BYTES:
@@ -135,17 +135,14 @@ def community_pagerank(
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("rank") * F.col("share")).alias("inflow"))
         )
-        sink_mass = (
-            ranks.join(nodes.filter(~F.col("has_out")).select("id"), "id", "left_semi")
-            .groupBy("community")
-            .agg(F.sum("rank").alias("sink_mass"))
-        )
+        sink_mass = ranks.filter(~F.col("has_out")).groupBy("community").agg(F.sum("rank").alias("sink_mass"))
         nxt = (
             nodes.join(inflow, "id", "left")
             .join(F.broadcast(sink_mass), "community", "left")
             .select(
                 "id",
                 "community",
+                "has_out",
                 (
                     (1.0 - damping) / F.col("n")
                     + damping
