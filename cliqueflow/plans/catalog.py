@@ -220,6 +220,15 @@ def community_pagerank(t: SocialTables) -> DataFrame:
     return ranks.select("community", "id", F.round("rank", 6).alias("rank"))
 
 
+@query
+def pagerank_top10(t: SocialTables) -> DataFrame:
+    """Influencers by PageRank: the ten highest ranks (to 6 places) per community, ties by id."""
+    vertices, edges = stored_graph(t)
+    lab = propagation.propagate(vertices, edges, seed_communities(t), iterations=LPA_ROUNDS, materialize_edges=False)
+    ranks = comm.community_pagerank(lab, edges, seed_communities(t), iterations=PAGERANK_ROUNDS)
+    return comm.pagerank_leaders(ranks.withColumn("rank", F.round("rank", 6)), t.users, TOP_K)
+
+
 @query
 def kv_users(t: SocialTables) -> DataFrame:
     path = scratch_path(t.spark, "kv-user")

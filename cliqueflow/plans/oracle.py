@@ -321,6 +321,17 @@ oracle("community_size", "SELECT label AS name, CAST(count(*) AS INTEGER) AS siz
 oracle("community_top10", "SELECT name, position, id, screen_name, followers_count FROM top10")
 oracle("communities", "SELECT name, influencers, size FROM summary")
 oracle("community_pagerank", f"SELECT community, id, round(rank, 6) AS rank FROM {PR5}")
+oracle(
+    "pagerank_top10",
+    f"""
+    SELECT t.community AS name, t.position, t.id, u.screen_name, t.rank
+    FROM (SELECT community, id, rank,
+                 CAST(row_number() OVER (PARTITION BY community ORDER BY rank DESC, id ASC) AS INTEGER) AS position
+          FROM (SELECT community, id, round(rank, 6) AS rank FROM {PR5}) r) t
+    LEFT JOIN users u ON t.id = u.id
+    WHERE t.position <= 10
+    """,
+)
 oracle("kv_users", f"SELECT 'user:' || id AS key, id, label FROM {LPA_D10}")
 oracle("kv_communities", "SELECT 'communities:' || name AS key, name, influencers, size FROM summary")
 oracle(
