@@ -67,6 +67,17 @@ def propagation_edges(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst", "weight").filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
+def cluster_edges(edges: DataFrame) -> DataFrame:
+    """Edges range-partitioned on (src, dst), for storing.
+
+    Read back, each task then holds whole runs of a source's edges, so the
+    map-side partial sum per (src, label) folds them into a few rows before
+    the shuffle (hash-partitioned edges leave it nothing to fold). Range
+    bounds on (src, dst) split a source with a huge out-degree across tasks.
+    """
+    return propagation_edges(edges).repartitionByRange("src", "dst")
+
+
 class BucketedEdges(SaltedLayout):
     """Edges stored once, bucketed on ``dst`` (hot destinations salted by ``src``).
 
@@ -217,7 +228,7 @@ def propagate(
         buckets = edge_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         layout = edge_input = BucketedEdges(edge_input, buckets, hot_threshold)
     elif materialize_edges:
-        edge_input, edge_path = materialize(edge_input, "lpa-edges")
+        edge_input, edge_path = materialize(cluster_edges(edge_input), "lpa-edges")
 
     for i in range(1, iterations + 1):
         step = _step(current, edge_input, names, keep_sinks, broadcast, True)

@@ -51,7 +51,7 @@ def graph_of(t: SocialTables) -> tuple[DataFrame, DataFrame]:
 
 def stored_graph(t: SocialTables) -> tuple[DataFrame, DataFrame]:
     """The graph as the ``make`` stage leaves it: edges stored once, vertex ids taken from them."""
-    edges = cut_lineage(propagation.propagation_edges(graph.build_edges(refs_of(t))), "edges")
+    edges = cut_lineage(propagation.cluster_edges(graph.build_edges(refs_of(t))), "edges")
     return graph.build_vertices(edges, t.seeds), edges
 
 

@@ -71,7 +71,9 @@ def run_stage(spark: SparkSession, stage: str, paths: Paths, options: StageOptio
         drop_path(spark, posts_path)
     elif stage == "make":
         refs = files.read_stage(spark, paths["references"])
-        files.write_stage(graph.build_edges(refs), paths["edges"])
+        # stored range-clustered on (src, dst): null ends stay as rows, and each propagation round's
+        # partial sums fold a source's edges before the shuffle
+        files.write_stage(graph.build_edges(refs).repartitionByRange("src", "dst"), paths["edges"])
         # vertex ids come from the stored edges: same ids, far fewer rows than the references
         edges = files.read_stage(spark, paths["edges"])
         seeds = files.read_seeds(spark, paths["seeds"])
