@@ -104,8 +104,11 @@ def community_pagerank(
     # the in-community edges feed both the out-weights and the shares: store them once
     inner, inner_path = materialize(inner, "pagerank-edges")
     out_w = inner.groupBy("src").agg(F.sum("weight").alias("out_weight"))
+    # range-clustered on (dst, src): each round's partial inflow sums fold a destination's shares
     shares, shares_path = materialize(
-        inner.join(out_w, "src").select("src", "dst", (F.col("weight") / F.col("out_weight")).alias("share")),
+        inner.join(out_w, "src")
+        .select("src", "dst", (F.col("weight") / F.col("out_weight")).alias("share"))
+        .repartitionByRange("dst", "src"),
         "pagerank-shares",
     )
     drop_path(spark, inner_path)
