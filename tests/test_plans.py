@@ -70,3 +70,9 @@ def test_no_python_evaluation_in_operators(spark):
                serving.reach_by_community(serving.retweet_events(t.tweets), v.select("id", "label"))):
         text = plan(df)
         assert "EvalPython" not in text and "PythonUDF" not in text
+
+
+def test_stored_edges_are_range_clustered(spark):
+    e = edges(spark, [("a", "b", 1), ("a", "c", 2), ("b", "c", 1)])
+    text = plan(propagation.cluster_edges(e))
+    assert "rangepartitioning(src" in text and "dst" in text
