@@ -299,7 +299,7 @@ def pending_archives(t: SocialTables) -> DataFrame:
 
 @query
 def live_reach(t: SocialTables) -> DataFrame:
-    """Retweet events arrive one day-folder per micro-batch; the final counts are read back."""
+    """Retweet events, stored one folder per day, arrive a few files per micro-batch; the counts are read back."""
     spark = t.spark
     source = scratch_path(spark, "live-reach-events")
     events = t.event_retweets.withColumn("day", F.to_date("created_at"))
