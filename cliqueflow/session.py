@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,3 +103,21 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(hpath, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per context, wherever the session runs."""
+    sc = spark.sparkContext
+    name = f"{__package__}-src.zip"
+    if any(os.path.basename(p) == name for p in sc._python_includes):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="cliqueflow-src-")  # read by the driver's file server only
+    path = os.path.join(folder, name)
+    with zipfile.ZipFile(path, "w") as out:
+        for at, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(at, f)
+                    out.write(full, os.path.join(__package__, os.path.relpath(full, root)))
+    sc.addPyFile(path)
