@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 BLOCK_BYTES = 4 << 20
 BLOCK_SCHEMA = "block long, rows long, payload binary"
@@ -92,6 +92,7 @@ def write_blocks(df: DataFrame, text: str, size: int = BLOCK_BYTES) -> DataFrame
                 }
             )
 
+    ship_package(df.sparkSession)
     path = scratch_path(df.sparkSession, "blocks")
     df.mapInArrow(pack, BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
     return df.sparkSession.read.parquet(path)

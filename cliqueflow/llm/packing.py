@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+from ..session import ship_package
+
 CAPACITY = 1024
 END_ID = 0
 SPECIAL = "<|endoftext|>"
@@ -75,6 +77,7 @@ def pack(
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
+    ship_package(docs.sparkSession)
     source = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     keys = [f.name for f in source.schema.fields[:-1]]
     numbers = ("start", "length", "doc_tokens")

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
+from ..session import ship_package
+
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 #: Segments remembered at most by one worker process.
@@ -199,6 +201,7 @@ def encoder(model_file: str) -> Encoder:
 
 def encode_texts(docs: DataFrame, model_file: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns plus n_tokens, ids, starts, ends (little-endian unsigned 32-bit each) and decoded."""
+    ship_package(docs.sparkSession)
     source = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     keys = [f.name for f in source.schema.fields[:-1]]
     schema = StructType(

@@ -14,6 +14,9 @@ SEPARATORS = b"\t\n\x0b\x0c\r "
 
 _SEP = np.zeros(256, dtype=bool)
 _SEP[list(SEPARATORS)] = True
+#: Every ASCII character but letters and digits, for operators that read plain words.
+PUNCTUATED = np.zeros(256, dtype=bool)
+PUNCTUATED[[c for c in range(128) if not chr(c).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MASK = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 8)] + [(1 << 64) - 1], dtype=np.uint64)
@@ -39,11 +42,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a list of texts: byte buffer, word bounds, and the text each word is in."""
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, separators: np.ndarray = _SEP):
         raw = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(8), dtype=np.uint8)
         self.buf = _LOWER[raw] if lower else raw
         size = raw.size - 8
-        sep = _SEP[raw[:size]]
+        sep = separators[raw[:size]]
         edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
         if not sep[0]:
             edge = np.concatenate(([0], edge))
