@@ -83,6 +83,19 @@ class Words:
             h[i] = xxhash.xxh64_intdigest(self.buf[self.starts[i] : self.ends[i]].tobytes())
         return mix(h)
 
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether words ``a[i]`` and ``b[i]`` are byte for byte the same."""
+        return equal_spans(self.loads(), self.starts[a], self.ends[a], self.starts[b], self.ends[b])
+
+    def codes(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A number for every word, equal exactly where the words are, and a word of each number."""
+        _, first, code = np.unique(hashes, return_index=True, return_inverse=True)
+        if self.same(np.arange(len(self)), first[code]).all():
+            return code, first
+        numbers: dict[bytes, int] = {}
+        code = np.array([numbers.setdefault(self.word(i), len(numbers)) for i in range(len(self))])
+        return code, np.unique(code, return_index=True)[1]
+
     def word(self, i: int) -> bytes:
         return self.buf[self.starts[i] : self.ends[i]].tobytes()
 
@@ -112,3 +125,18 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
         out *= _B
         out += h[j : j + n]
     return mix(out)
+
+
+def equal_spans(view: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether the bytes a..a_end and b..b_end of a buffer (``view``: its eight-byte loads) are equal, pair by pair."""
+    size = a_end - a
+    out = size == b_end - b
+    live = np.flatnonzero(out)
+    at = 0
+    while live.size:
+        mask = _MASK[np.minimum(size[live] - at, 8)]
+        differ = ((view[a[live] + at] ^ view[b[live] + at]) & mask) != 0
+        out[live[differ]] = False
+        at += 8
+        live = live[~differ & (size[live] > at)]
+    return out
