@@ -38,10 +38,10 @@ from .words import Words
 
 VOCABULARY = 2048
 DIM = 16
-NOISE = 24
-BATCH = 2048
+NOISE = 64
+BATCH = 512
 ROUNDS = 1
-RATE = 0.15
+RATE = 0.1
 SEED = 5
 SHARD_BYTES = 3 << 20
 CHUNKS = 16
