@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from .jaccard_join import op10_jaccard_join
+from .lm_scoring import op8_lm_scoring
 from .packing import op7_packing
 from .pieces import op3_pieces
 from .pii import op2_pii
 from .quality_rules import op6_quality_rules
+from .substring_dedup import op1_substring_dedup
 from .topk import op9_topk
 from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
     "op3_pieces": op3_pieces,
     "op4_toxicity": op4_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_packing": op7_packing,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_topk": op9_topk,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: Integer inner products of every hundredth vector with all others, best ten.
