@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .jaccard_join import op10_jaccard_join
+from .kneser_ney import op5_quality_classifier
 from .lm_scoring import op8_lm_scoring
 from .packing import op7_packing
 from .pieces import op3_pieces
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_pieces": op3_pieces,
     "op4_toxicity": op4_toxicity,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
     "op7_packing": op7_packing,
     "op8_lm_scoring": op8_lm_scoring,
