@@ -11,12 +11,15 @@ many segments a band has, and how many bear one-deletion neighbourhoods from
 the start, is the cheapest plan of ``plan_band``.
 
 Blocks send signatures packed, to shards that keep those of two sets or more.
-Equal sets are one class from here on. Signature groups are settled in rounds:
-classes of one group are verified (exact intersection of their sets) against a
-few pivots, linked classes are joined to components, and only classes of
-different components meet again, against ever more pivots, until none is left
-unchecked. So a large group of near copies costs a star, not all its pairs,
-and no link between different components is lost.
+Equal sets are one class from here on. First every class is verified (exact
+intersection of the sets) against the least class that it shares a signature
+with, and linked classes form components; most groups of near copies end in
+this star. Where a signature still holds several components, its classes are
+compared across components in chunks by a parity bitmap of their sets: bitmaps
+differ in at most as many bits as the sets do in elements, so what differs in
+more bits than the threshold allows is no link. Of the others each class's
+nearest is verified first, and then all that are still in two components. No
+link between different components is lost.
 
 Defined cases: A-Z are lowered; a text with fewer words than a shingle is one
 shingle; without words or null it is empty and alone; repeated rows fall in
@@ -33,6 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +54,10 @@ SHARD_BYTES = 1 << 20
 PARTNERS = 0.025
 #: Packed bytes that one task gathers for a shard; beyond, its rows go on ungrouped.
 SHARD_LIMIT = 96 << 20
-#: Pairs that a round may make, as a multiple of the group members left.
-PAIRS_PER_MEMBER = 8
+#: Classes of one signature that are compared in one piece.
+CHUNK = 1024
+#: Bits of a set's bitmap: the power of two from its size, within these bounds.
+BITS = (64, 1 << 16)
 
 
 # --- bands and their plans -----------------------------------------------------------------------
@@ -324,11 +330,110 @@ def sets_of(blocks: DataFrame, nodes: DataFrame, text: str, k: int) -> DataFrame
     def pick(block: int, rows: pa.Table, replies: dict[int, bytes]) -> pa.Table:
         want = np.frombuffer(replies[0], dtype="<u4").astype(np.int64)
         sets = shingle_sets(text_bytes(rows.column(text).take(pa.array(want))), k)
-        members = [sets.values[a:b].tobytes() for a, b in zip(sets.bounds[:-1], sets.bounds[1:])]
-        return pa.table({"node": pa.array(node_of(block, want), pa.int64()), "members": pa.array(members, pa.binary())})
+        members = [sets.values[a:b] for a, b in zip(sets.bounds[:-1], sets.bounds[1:])]
+        return pa.table(
+            {
+                "node": pa.array(node_of(block, want), pa.int64()),
+                "members": pa.array([m.tobytes() for m in members], pa.binary()),
+                "bitmap": pa.array([parity_bitmap(m).tobytes() for m in members], pa.binary()),
+            }
+        )
 
     joined = with_answers(blocks, packed_rows(nodes)).filter(F.col("answers").isNotNull())
-    return each_answered(joined, pick, "node long, members binary")
+    return each_answered(joined, pick, "node long, members binary, bitmap binary")
+
+
+def parity_bitmap(values: np.ndarray) -> np.ndarray:
+    """Bit i is the parity of the elements that hash to i; equal elements of two sets cancel out."""
+    bits = min(BITS[1], max(BITS[0], 1 << (values.size - 1).bit_length()))
+    at = (mix(values + np.uint64(0xA5A5)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8")
+
+
+def folded(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of one width: wider ones are halved by xor, which keeps what they mean."""
+    width = min(map(len, bitmaps))
+    out = []
+    for b in bitmaps:
+        row = np.frombuffer(b, dtype="<u8")
+        while row.nbytes > width:
+            row = row[: row.size // 2] ^ row[row.size // 2 :]
+        out.append(row)
+    return np.stack(out)
+
+
+def close_pairs(percent: int, nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs (a, b) of one group (sig, lo, hi) in different components that their bitmaps and sizes allow to link.
+
+    With ``nearest`` only the pair of fewest differing bits of every class of a
+    group. Rows come sorted by group; whole groups are compared together, the
+    rows at every distance at once.
+    """
+    group = ["sig", "lo", "hi"]
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        key = np.stack([table.column(c).to_numpy() for c in group], axis=1)
+        node, n, label, chunk = (table.column(c).to_numpy() for c in ("node", "n", "label", "chunk"))
+        new = np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))
+        last = np.concatenate((np.flatnonzero(new)[1:], [new.size]))[np.cumsum(new) - 1]  # end of each row's group
+        split = key[:, 1] != key[:, 2]
+        widths = pc.binary_length(table.column("bitmap")).to_numpy()
+        maps = table.column("bitmap").to_pylist()
+        least = np.minimum.reduceat(widths, np.flatnonzero(new))[np.cumsum(new) - 1]
+        found_a, found_b = [], []
+        best = np.full(new.size, np.iinfo(np.int64).max)
+        for width in np.unique(least).tolist():
+            rows = np.flatnonzero(least == width)
+            bits = folded([maps[i] for i in rows] + [bytes(width)])[:-1]
+            place = np.full(new.size, -1)
+            place[rows] = np.arange(rows.size)
+            live, step = rows, 1
+            while live.size:
+                live = live[live + step < last[live]]
+                other = live + step
+                small, large = np.minimum(n[live], n[other]), np.maximum(n[live], n[other])
+                ok = (label[live] != label[other]) & (small * 100 >= large * percent)
+                ok &= ~split[live] | (chunk[live] != chunk[other])
+                a, b = live[ok], other[ok]
+                for at in range(0, a.size, 50_000):
+                    x, y = a[at : at + 50_000], b[at : at + 50_000]
+                    far = np.bitwise_count(bits[place[x]] ^ bits[place[y]]).sum(axis=1, dtype=np.int64)
+                    good = far <= (n[x] + n[y]) * (100 - percent) // (100 + percent)
+                    x, y, far = x[good], y[good], far[good]
+                    if nearest:
+                        np.minimum.at(best, x, (far << 32) + y)
+                        np.minimum.at(best, y, (far << 32) + x)
+                    else:
+                        found_a.append(node[x])
+                        found_b.append(node[y])
+                step += 1
+        if nearest:
+            x = np.flatnonzero(best < np.iinfo(np.int64).max)
+            found_a.append(node[x])
+            found_b.append(node[best[x] & 0xFFFFFFFF])
+        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
+        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
+        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            if held.num_rows < 20_000:
+                continue
+            key = np.stack([held.column(c).to_numpy() for c in group], axis=1)
+            edges = np.flatnonzero((key[1:] != key[:-1]).any(axis=1))
+            if edges.size:
+                cut = int(edges[-1]) + 1
+                yield compare(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield compare(held)
+
+    return run
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -354,6 +459,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def across_components(members: DataFrame, sets: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Distinct pairs (a, b) of one signature and different components that may link; ``members`` has sig, node, n, label."""
+    state = members.groupBy("sig").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count(F.lit(1)).alias("size"))
+    open_sigs = state.filter("first < last").select("sig", F.ceil(F.col("size") / CHUNK).cast("long").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    # a class meets every chunk of its signature: one piece for each pair of chunks
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    rows = (
+        members.join(open_sigs, "sig")
+        .withColumn("chunk", chunk)
+        .join(sets.select("node", "bitmap"), "node")
+        .withColumn("other", other)
+        .select(
+            "sig", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "node", "n", "label", "chunk", "bitmap"
+        )
+    )
+    group = ["sig", "lo", "hi"]
+    dealt = rows.repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(close_pairs(percent, nearest), "a long, b long").distinct()
+
+
 def near(n: str, m: str, percent: int) -> F.Column:
     """Sizes that the threshold allows."""
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -365,38 +491,20 @@ def pair(one: str, other: str) -> list[F.Column]:
 
 def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, label) of all classes that link to another one; ``members`` has sig, node, n, distinct."""
-    members = cut_lineage(members.withColumn("label", F.col("node")), "members")
-    # first every class against the least class that it meets at all: most near copies link here
     least = members.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("p"))
     met = members.join(least, "sig").filter((F.col("p.node") < F.col("node")) & near("p.n", "n", percent))
     pairs = met.groupBy("node").agg(F.min("p.node").alias("pivot")).select(*pair("node", "pivot"))
     links = cut_lineage(verified(pairs, sets, percent), "links")
     labels = components(links)
-    while True:
-        # classes of one signature that are in one component need no check
-        named = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        named = cut_lineage(named, "members")
-        state = named.groupBy("sig").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), F.min("node").alias("least")
-        )
-        open_sigs = cut_lineage(state.filter("lo < hi"), "open")
-        left = open_sigs.agg(F.sum("size"), F.sum(F.col("size") * F.col("size"))).first()
-        if not left[0]:
-            return labels
-        share = max(1, int(left[1] // (PAIRS_PER_MEMBER * left[0])))  # one class in so many is a pivot this round
-        mine = named.join(open_sigs.select("sig", "least"), "sig")
-        chosen = (F.col("node") == F.col("least")) | (F.pmod(F.xxhash64("node"), F.lit(share)) == 0)
-        pivots = mine.filter(chosen).select("sig", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
-        pairs = (
-            mine.join(pivots, "sig")
-            .filter((F.col("label") != F.col("pl")) & near("n", "pn", percent))
-            .select(*pair("node", "p"))
-            .distinct()
-        )
-        new = verified(pairs, sets, percent)
-        links = cut_lineage(links.unionByName(new), "links")
-        labels = components(links)
-        members = mine.filter(~chosen).select("sig", "node", "n", "label")  # pivots have met all of their group
+    for nearest in (True, False):
+        # then each class against its nearest one of another component, then against all that are left
+        named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        rest = across_components(cut_lineage(named, "members"), sets, percent, nearest)
+        more = cut_lineage(verified(rest, sets, percent), "links")
+        if not more.isEmpty():
+            links = cut_lineage(links.unionByName(more), "links")
+            labels = components(links)
+    return labels
 
 
 def components_of(blocks: DataFrame, text: str, key: str, k: int, percent: int) -> DataFrame:
