@@ -133,13 +133,41 @@ def answer_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def top_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def listed_words(reply: bytes) -> list[tuple[int, bytes]]:
+    return [(int(n), x) for n, x in (line.split(b" ", 1) for line in expand(reply).split(b"\n") if line)]
+
+
+def count_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many top words of each shard have a count of each power of two."""
     for batch in batches:
         for reply in batch.column("reply").to_pylist():
-            lines = [x.split(b" ", 1) for x in expand(reply).split(b"\n") if x]
-            yield pa.RecordBatch.from_pydict(
-                {"count": pa.array([int(n) for n, _ in lines], pa.int64()), "word": pa.array([x for _, x in lines], pa.binary())}
-            )
+            bits = np.bincount([n.bit_length() - 1 for n, _ in listed_words(reply)])
+            seen = np.flatnonzero(bits)
+            yield pa.RecordBatch.from_pydict({"level": pa.array(seen, pa.int64()), "n": pa.array(bits[seen], pa.int64())})
+
+
+def top_words(floor: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for reply in batch.column("reply").to_pylist():
+                top = [(n, x) for n, x in listed_words(reply) if n >= floor]
+                yield pa.RecordBatch.from_pydict(
+                    {"count": pa.array([n for n, _ in top], pa.int64()), "word": pa.array([x for _, x in top], pa.binary())}
+                )
+
+    return run
+
+
+def most_frequent(totals: DataFrame, size: int) -> list:
+    """The ``size`` most frequent words of all shards; only those of a count that few enough reach leave their shard."""
+    levels = totals.select("reply").mapInArrow(count_levels, "level long, n long").groupBy("level").agg(F.sum("n").alias("n"))
+    floor, found = 1, 0
+    for r in levels.orderBy(F.desc("level")).collect():  # at most 63 rows
+        floor, found = 1 << r["level"], found + r["n"]
+        if found >= size:
+            break
+    head = totals.select("reply").mapInArrow(top_words(floor), "count long, word binary")
+    return head.orderBy(F.desc("count"), F.asc("word")).limit(size).collect()
 
 
 # --- the model -----------------------------------------------------------------------------------
@@ -333,8 +361,7 @@ def score_texts(docs: DataFrame, held, text: str = "text") -> DataFrame:
     totals = answers.filter(F.col("block") == -1)
     summed = totals.agg(F.sum("distinct"), F.sum("tokens")).first()
     ends = marked.filter(~F.col("_held")).count()
-    head = totals.select("reply").mapInArrow(top_words, "count long, word binary")
-    top = head.orderBy(F.desc("count"), F.asc("word")).limit(VOCABULARY - 2).collect()
+    top = most_frequent(totals, VOCABULARY - 2)
     counts = Counts(
         (summed[1] or 0) + ends, (summed[0] or 0) + (ends > 0), ends, tuple(bytes(r["word"]) for r in top), tuple(r["count"] for r in top)
     )
