@@ -10,7 +10,10 @@ neighbourhoods of its segments as well (each then bears two differences). How
 many segments a band has, and how many bear one-deletion neighbourhoods from
 the start, is the cheapest plan of ``plan_band``.
 
-Blocks send signatures packed, to shards that keep those of two sets or more.
+Blocks send signatures packed, to shards that answer which of them two sets or
+more have. A band has half as many segments again as it needs, so a set that
+links to another one shares at least its segments less H; sets that share
+fewer are done, and only the others' shared signatures go on.
 Equal sets are one class from here on. First every class is verified (exact
 intersection of the sets) against the least class that it shares a signature
 with, and linked classes form components; most groups of near copies end in
@@ -52,7 +55,7 @@ BAND = 1.5
 SHARD_BYTES = 1 << 20
 #: Sets sharing half of a set's elements, times the cost of a verification per element, in signatures.
 PARTNERS = 0.025
-#: Packed bytes that one task gathers for a shard; beyond, its rows go on ungrouped.
+#: Bytes of signatures that one task gathers for a shard; beyond, all of them count as shared.
 SHARD_LIMIT = 96 << 20
 #: Classes of one signature that are compared in one piece.
 CHUNK = 1024
@@ -85,12 +88,13 @@ def plan_band(smallest: int, largest: int, percent: int) -> Plan:
     """
     h = max_differences(2 * largest, percent)
     size = (smallest + largest) / 2
+    need = h + 1 + h // 2
     best, plan = math.inf, None
-    for segments in range(1, h + 1 + max(3, h // 8)):
+    for segments in range(1, need + max(3, h // 8)):
         per = size / segments
         empty = segments * math.exp(-per)
-        for doubled in {0, max(0, h + 1 - segments), segments // 2}:
-            slack = segments + doubled - (h + 1)
+        for doubled in {0, max(0, need - segments), segments // 2}:
+            slack = segments + doubled - need
             if slack < 0:
                 continue
             # chance of more empty segments than the plan has to spare (Poisson)
@@ -110,7 +114,7 @@ def bands(percent: int) -> tuple[Plan, ...]:
         high = max(low + 1, int(low * BAND))
         # the many segments of huge sets need no search: their subsets are large enough with few to spare
         h = max_differences(2 * high, percent)
-        out.append(plan_band(low, high, percent) if h <= 512 else Plan(high, h, h + 1 + h // 64, 0))
+        out.append(plan_band(low, high, percent) if h <= 512 else Plan(high, h, h + 1 + h // 2, 0))
         low = high + 1
     return tuple(out)
 
@@ -168,29 +172,31 @@ def distinct_rows(sets: Sets) -> np.ndarray:
     return np.sort(first)
 
 
-def signatures(sets: Sets, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, row) of all subsets and neighbourhoods that the plans give the sets of ``rows``."""
+def signatures(sets: Sets, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All subsets and neighbourhoods that the plans give the sets of ``rows``: signature, row, and the number of its
+    (set, band); and for each (set, band) how many of its signatures a set that it links to must share."""
     plans = bands(percent)
     tops = np.array([p.largest for p in plans])
     sizes = sets.sizes[rows]
     first = -(-percent // max(1, 100 - percent))
     band = np.searchsorted(tops, sizes)
-    out_sig, out_row = [], []
+    parts, needs, at = [], [], 0
     for b in np.unique(band[sizes >= first]).tolist():
         mine = rows[(band == b) & (sizes >= first)]
         own = sets.sizes[mine]
         up = mine[own * 100 >= percent * (plans[b].largest + 1)]  # these can meet a set of the band above
         for config, chosen in ((b, mine), (b + 1, up)):
             if chosen.size:
-                sig, row = band_signatures(sets, chosen, config, plans[config])
-                out_sig.append(sig)
-                out_row.append(row)
-    if not out_sig:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(out_sig), np.concatenate(out_row)
+                sig, local, need = band_signatures(sets, chosen, config, plans[config])
+                parts.append((sig, chosen[local], local + at))
+                needs.append(need)
+                at += chosen.size
+    if not parts:
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+    return *(np.concatenate(c) for c in zip(*parts)), np.concatenate(needs)
 
 
-def band_signatures(sets: Sets, rows: np.ndarray, config: int, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+def band_signatures(sets: Sets, rows: np.ndarray, config: int, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = sets.sizes[rows]
     local = np.repeat(np.arange(rows.size), sizes)
     at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(sets.bounds[rows], sizes)
@@ -216,11 +222,14 @@ def band_signatures(sets: Sets, rows: np.ndarray, config: int, plan: Plan) -> tu
     element = np.repeat(spread, counts)
     of = np.repeat(np.arange(begin.size), counts)[element]
     sig = [sign(sums, counts, place), sign(sums[of] - hashed[element], counts[of] - 1, place[of])]
-    row = [rows[owner], rows[owner[of]]]
+    row = [owner, owner[of]]
     if lost.size:
         sig.append(mix(np.full(lost.size, config + 1, dtype=np.uint64)))
-        row.append(rows[lost])
-    return np.concatenate(sig), np.concatenate(row)
+        row.append(lost)
+    # every difference spoils one subset at most, so the others are shared
+    subsets = np.bincount(owner, minlength=rows.size)
+    need = np.where(weak | (plan.doubled > 0), 1, np.maximum(1, subsets - plan.differences))
+    return np.concatenate(sig), np.concatenate(row), need
 
 
 # --- Spark stages --------------------------------------------------------------------------------
@@ -254,59 +263,79 @@ def rows_of(text: str, key: str, k: int) -> Callable[[Iterator[pa.RecordBatch]],
     return work
 
 
+def in_order(sets: Sets, percent: int, n_shards: int) -> tuple[np.ndarray, ...]:
+    """Signatures of a block in the order of sending: sig, row, group, shard; and the groups' needs."""
+    sig, row, group, need = signatures(sets, distinct_rows(sets), percent)
+    shard = (sig % np.uint64(n_shards)).astype(np.int64)
+    order = np.lexsort((group, sig, shard))
+    return sig[order], row[order], group[order], shard[order], need
+
+
 def ask(text: str, k: int, percent: int, n_shards: int) -> Callable[[int, pa.Table], Iterator[dict]]:
     def run(block: int, rows: pa.Table) -> Iterator[dict]:
-        sets = shingle_sets(text_bytes(rows.column(text)), k)
-        sig, row = signatures(sets, distinct_rows(sets), percent)
-        shard = (sig % np.uint64(n_shards)).astype(np.int64)
-        order = np.lexsort((sig, shard))
-        sig, row, shard = sig[order], row[order], shard[order]
+        sig, _, _, shard, _ = in_order(shingle_sets(text_bytes(rows.column(text)), k), percent, n_shards)
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [shard.size]))
         for a, b in zip(cuts[:-1], cuts[1:]):
             if a < b:
-                yield {
-                    "shard": int(shard[a]),
-                    "block": block,
-                    "n": int(b - a),
-                    "blob": squeeze(sig[a:b].tobytes() + row[a:b].astype("<u4").tobytes()),
-                }
+                steps = np.diff(sig[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+                yield {"shard": int(shard[a]), "block": block, "n": int(b - a), "blob": squeeze(steps.tobytes())}
 
     return run
 
 
-def shared_signatures(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(sig, node) of the signatures that two nodes or more of a shard have; all of a shard beyond ``limit`` bytes."""
+def which_shared(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For every question one bit per signature: whether another set has it too. Beyond ``limit`` bytes of a shard all count as shared."""
 
-    def rows_out(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for a in range(0, sig.size, 100_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[a : a + 100_000].view(np.int64)), pa.array(node[a : a + 100_000])], names=["sig", "node"]
-            )
+    def rows_out(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["block", "shard", "reply"])
+
+    def bits(flags: np.ndarray) -> bytes:
+        return squeeze(np.packbits(flags).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in grouped(batches, "shard"):
-            sigs, nodes, size, over = [], [], 0, False
+        for shard, rows in grouped(batches, "shard"):
+            held, size = [], 0
             for row in rows:
-                data, n = expand(row["blob"]), row["n"]
-                sigs.append(np.frombuffer(data, dtype="<u8", count=n))
-                nodes.append(node_of(row["block"], np.frombuffer(data, dtype="<u4", offset=8 * n).astype(np.int64)))
-                size += 16 * n
-                over = over or size > limit
-                if over:
-                    yield from rows_out(np.concatenate(sigs), np.concatenate(nodes))
-                    sigs, nodes = [], []
-            if sigs:
-                sig, node = np.concatenate(sigs), np.concatenate(nodes)
+                size += 8 * row["n"]
+                held.append(row)
+                if size > limit:
+                    yield rows_out([(r["block"], shard, bits(np.ones(r["n"], dtype=bool))) for r in held])
+                    held = []
+            if held:
+                steps = [np.frombuffer(expand(r["blob"]), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel() for r in held]
+                sig = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps])
                 order = np.argsort(sig, kind="stable")
-                sig, node = sig[order], node[order]
                 twin = np.zeros(sig.size, dtype=bool)
-                twin[1:] = sig[1:] == sig[:-1]
+                twin[1:] = sig[order[1:]] == sig[order[:-1]]
                 twin[:-1] |= twin[1:]
-                yield from rows_out(sig[twin], node[twin])
+                flags = np.empty(sig.size, dtype=bool)
+                flags[order] = twin
+                at = np.concatenate(([0], np.cumsum([r["n"] for r in held])))
+                yield rows_out([(r["block"], shard, bits(flags[a:b])) for r, a, b in zip(held, at[:-1], at[1:])])
 
     return run
 
 
+def shared_signatures(blocks: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """(sig, node) of the shared signatures of the sets that share enough of theirs."""
+    n_shards = shards(blocks, SHARD_BYTES)
+    asked = each_block(blocks, ask(text, k, percent, n_shards), "shard long, block long, n long, blob binary")
+    dealt = asked.repartition(n_shards, "shard").sortWithinPartitions("shard")
+    replies = cut_lineage(dealt.mapInArrow(which_shared(SHARD_LIMIT), "block long, shard long, reply binary"), "shared")
+
+    def pick(block: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
+        sig, row, group, shard, need = in_order(shingle_sets(text_bytes(rows.column(text)), k), percent, n_shards)
+        sizes = np.bincount(shard, minlength=n_shards)
+        flags = [np.unpackbits(np.frombuffer(expand(got[s]), np.uint8), count=sizes[s]) for s in sorted(got)]
+        shared = np.concatenate(flags).astype(bool) if flags else np.zeros(0, dtype=bool)
+        enough = np.bincount(group[shared], minlength=need.size) >= need
+        keep = shared & enough[group]
+        return pa.table({"sig": pa.array(sig[keep].view(np.int64)), "node": pa.array(node_of(block, row[keep]), pa.int64())})
+
+    return each_answered(with_answers(blocks, replies), pick, "sig long, node long")
+
+
 def packed_rows(nodes: DataFrame) -> DataFrame:
     """Nodes as one answer per block: the sorted row numbers."""
     block = F.shiftright("node", 40) * (1 << 32) + F.shiftright("node", 20).bitwiseAND(0xFFFFF)
@@ -519,10 +548,7 @@ def components_of(blocks: DataFrame, text: str, key: str, k: int, percent: int)
     same = rows.filter("n_shingles > 0").groupBy(*sums).agg(F.min("node").alias("class_id"))
     joined = rows.join(same, sums, "left").select("node", "doc_id", "n_shingles", F.coalesce("class_id", "node").alias("class_id"))
     classes = cut_lineage(joined, "classes")
-    n_shards = shards(blocks, SHARD_BYTES)
-    asked = each_block(blocks, ask(text, k, percent, n_shards), "shard long, block long, n long, blob binary")
-    dealt = asked.repartition(n_shards, "shard").sortWithinPartitions("shard")
-    shared = dealt.mapInArrow(shared_signatures(SHARD_LIMIT), "sig long, node long")
+    shared = shared_signatures(blocks, text, k, percent)
     class_of = classes.select("node", "class_id", F.col("n_shingles").alias("n"))
     members = shared.join(class_of, "node").groupBy("sig", F.col("class_id").alias("node")).agg(F.first("n").alias("n"))
     counted = cut_lineage(members, "members")
