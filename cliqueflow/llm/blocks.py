@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, ship_package
+from ..session import drop_path, scratch_path, ship_package
 
 BLOCK_BYTES = 4 << 20
 BLOCK_SCHEMA = "block long, rows long, payload binary"
@@ -98,6 +98,14 @@ def write_blocks(df: DataFrame, text: str, size: int = BLOCK_BYTES) -> DataFrame
     return df.sparkSession.read.parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete stored scratch tables that nothing reads any more."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            drop_path(table.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def each_block(
     blocks: DataFrame, work: Callable[[int, pa.Table], Iterator[dict]], schema: str
 ) -> DataFrame:

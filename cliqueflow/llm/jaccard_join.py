@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .blocks import arrow_of, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, with_answers, write_blocks
+from .blocks import arrow_of, discard, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, with_answers, write_blocks
 from .components import components
 from .words import Words, grams, mix
 
@@ -528,8 +528,10 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     for nearest in (True, False):
         # then each class against its nearest one of another component, then against all that are left
         named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        rest = across_components(cut_lineage(named, "members"), sets, percent, nearest)
+        named = cut_lineage(named, "members")
+        rest = across_components(named, sets, percent, nearest)
         more = cut_lineage(verified(rest, sets, percent), "links")
+        discard(named)
         if not more.isEmpty():
             links = cut_lineage(links.unionByName(more), "links")
             labels = components(links)
@@ -554,6 +556,7 @@ def components_of(blocks: DataFrame, text: str, key: str, k: int, percent: int)
     counted = cut_lineage(members, "members")
     several = counted.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("sig")
     members = cut_lineage(counted.join(several, "sig"), "members")
+    discard(rows, counted)
     sets = cut_lineage(sets_of(blocks, members.select("node").distinct(), text, k), "sets")
     labels = link_classes(members, sets, percent).withColumnRenamed("node", "class_id")
     per_class = classes.groupBy("class_id").agg(F.min("doc_id").alias("least_id"))
