@@ -148,8 +148,8 @@ def _step(
 ) -> DataFrame:
     best = lpa_choose(lpa_scores(vertices, edges, broadcast_vertices))
     if broadcast_vertices:
-        # best has at most one row per vertex, so it is bounded by the same count
-        best = F.broadcast(best)
+        # sources need not be vertices: only those that are stay, so the vertex count bounds what is broadcast
+        best = F.broadcast(best.join(F.broadcast(vertices.select("id")), "id", "left_semi"))
     old = vertices.select(
         "id", F.col("label").alias("old_label"), F.coalesce("prelabelled", F.lit(False)).alias("old_lock")
     )

@@ -37,7 +37,7 @@ def query(fn: Callable[[SocialTables], DataFrame]) -> Callable[[SocialTables], D
 
 
 def refs_of(t: SocialTables) -> DataFrame:
-    return ingest.gather_references(t.tweets, "en")
+    return ingest.gather_references(t.tweet_ids, "en")
 
 
 def seed_communities(t: SocialTables) -> DataFrame:
@@ -253,17 +253,17 @@ def community_members(t: SocialTables) -> DataFrame:
 
 @query
 def retweeters(t: SocialTables) -> DataFrame:
-    return serving.retweeters(t.tweets)
+    return serving.retweeters(t.tweet_ids)
 
 
 @query
 def reach_by_community(t: SocialTables) -> DataFrame:
-    return serving.reach_by_community(serving.retweet_events(t.tweets), labelled(t))
+    return serving.reach_by_community(serving.retweet_events(t.tweet_ids), labelled(t))
 
 
 @query
 def reach_ranked(t: SocialTables) -> DataFrame:
-    return serving.reach_ranked(serving.reach_by_community(serving.retweet_events(t.tweets), labelled(t)))
+    return serving.reach_ranked(serving.reach_by_community(serving.retweet_events(t.tweet_ids), labelled(t)))
 
 
 @query

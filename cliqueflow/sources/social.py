@@ -69,8 +69,20 @@ class SocialTables:
         """Nested posts in the raw JSON shape (``TWEET_SCHEMA``); absent statuses are null structs."""
         p = self.posts
         for role, key in (("a", "author_id"), ("r", "rt_author_id"), ("q", "qt_author_id")):
-            profile = self.users.select(*[F.col(f).alias(f"{role}_{f}") for f in USER_FIELDS])
+            # one row per id, known to the optimizer: a reader of ids alone has its user joins removed
+            unique = self.users.dropDuplicates(["id"])
+            profile = unique.select(*[F.col(f).alias(f"{role}_{f}") for f in USER_FIELDS])
             p = p.join(profile, p[key] == profile[f"{role}_id"], "left")
+        return self._nested(p)
+
+    @cached_property
+    def tweet_ids(self) -> DataFrame:
+        """The same posts with ids alone (profiles null): all that references, retweeters and reach read, without a user join."""
+        kinds = {f.name: f.dataType for f in self.users.schema}
+        none = {f"{role}_{f}": F.lit(None).cast(kinds[f]) for role in "arq" for f in USER_FIELDS if f != "id"}
+        return self._nested(self.posts.withColumns(none))
+
+    def _nested(self, p: DataFrame) -> DataFrame:
         return p.select(
             F.lit(None).cast("string").alias("id"),
             "lang",
