@@ -12,9 +12,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Scratch locations of the ``distilled`` call that is running.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def build_session(
     app: str = "cliqueflow",
@@ -68,8 +73,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh, unique location below the shared folder."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location below the shared folder, owned by the ``distilled`` call that is running, if any."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 def materialize(df: DataFrame, tag: str = "stage") -> tuple[DataFrame, str]:
@@ -89,6 +98,25 @@ def cut_lineage(df: DataFrame, tag: str = "stage") -> DataFrame:
     return materialize(df, tag)[0]
 
 
+def distilled(spark: SparkSession, build: Callable[[], DataFrame], tag: str = "stage") -> DataFrame:
+    """The table that ``build`` returns, stored; every other scratch location made by ``build`` is dropped.
+
+    Calls nest: the stored table belongs to the enclosing call, if there is one.
+    """
+    outer = _OWNED.get()
+    token = _OWNED.set(mine := [])
+    try:
+        out, path = materialize(build(), tag)
+        mine.remove(path)
+        if outer is not None:
+            outer.append(path)
+        return out
+    finally:
+        _OWNED.reset(token)
+        for path in mine:
+            drop_path(spark, path)
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored under ``path`` (file-system metadata only, no scan)."""
     jvm = spark.sparkContext._jvm
