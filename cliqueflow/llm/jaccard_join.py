@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, distilled
 from .blocks import arrow_of, discard, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, with_answers, write_blocks
 from .components import components
 from .words import Words, grams, mix
@@ -576,15 +576,19 @@ def linked_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row of the smallest id stays, and every empty text."""
     blocks = write_blocks(docs, text)
-    found = components_of(blocks, text, key, k, percent)
-    group = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("node"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node"))
-    stay = found.groupBy(group.alias("group")).agg(first.alias("first")).select("first.node")
+
+    def staying() -> DataFrame:
+        found = components_of(blocks, text, key, k, percent)
+        group = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("node"))
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node"))
+        return packed_rows(found.groupBy(group.alias("group")).agg(first.alias("first")).select("first.node"))
+
+    stay = distilled(docs.sparkSession, staying, "stay")
 
     def pick(block: int, rows: pa.Table, replies: dict[int, bytes]) -> pa.Table:
         return rows.take(pa.array(np.frombuffer(replies[0], dtype="<u4").astype(np.int64)))
 
-    joined = with_answers(blocks, packed_rows(stay)).filter(F.col("answers").isNotNull())
+    joined = with_answers(blocks, stay).filter(F.col("answers").isNotNull())
     return each_answered(joined, pick, docs.schema)
 
 

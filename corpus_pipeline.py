@@ -8,6 +8,8 @@ session's shared scratch folder in the same way.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from cliqueflow.llm.packing import pack, vocabulary_files
 from cliqueflow.llm.pii import find_pii, redacted
 from cliqueflow.llm.quality_rules import judge, learn_rules
 from cliqueflow.llm.substring_dedup import dedup_substrings
-from cliqueflow.session import cut_lineage
+from cliqueflow.session import distilled
 
 #: Near duplicates of the second stage: word shingles and least similarity in percent.
 SHINGLE = 5
@@ -71,5 +73,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+        docs = distilled(spark, partial(stage, spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
