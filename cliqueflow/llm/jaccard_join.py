@@ -13,7 +13,9 @@ the start, is the cheapest plan of ``plan_band``.
 Blocks send signatures packed, to shards that answer which of them two sets or
 more have. A band has half as many segments again as it needs, so a set that
 links to another one shares at least its segments less H; sets that share
-fewer are done, and only the others' shared signatures go on.
+fewer are done. Of the others' shared signatures the first go on, in one order
+of all signatures: what remains behind them is too little to hold all that a
+linked pair shares, so the pair's first common signature is among them.
 Equal sets are one class from here on. First every class is verified (exact
 intersection of the sets) against the least class that it shares a signature
 with, and linked classes form components; most groups of near copies end in
@@ -187,7 +189,7 @@ def signatures(sets: Sets, rows: np.ndarray, percent: int) -> tuple[np.ndarray,
         up = mine[own * 100 >= percent * (plans[b].largest + 1)]  # these can meet a set of the band above
         for config, chosen in ((b, mine), (b + 1, up)):
             if chosen.size:
-                sig, local, need = band_signatures(sets, chosen, config, plans[config])
+                sig, local, need = band_signatures(sets, chosen, config, plans[config], percent)
                 parts.append((sig, chosen[local], local + at))
                 needs.append(need)
                 at += chosen.size
@@ -196,7 +198,9 @@ def signatures(sets: Sets, rows: np.ndarray, percent: int) -> tuple[np.ndarray,
     return *(np.concatenate(c) for c in zip(*parts)), np.concatenate(needs)
 
 
-def band_signatures(sets: Sets, rows: np.ndarray, config: int, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def band_signatures(
+    sets: Sets, rows: np.ndarray, config: int, plan: Plan, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = sets.sizes[rows]
     local = np.repeat(np.arange(rows.size), sizes)
     at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(sets.bounds[rows], sizes)
@@ -226,9 +230,10 @@ def band_signatures(sets: Sets, rows: np.ndarray, config: int, plan: Plan) -> tu
     if lost.size:
         sig.append(mix(np.full(lost.size, config + 1, dtype=np.uint64)))
         row.append(lost)
-    # every difference spoils one subset at most, so the others are shared
+    # every difference spoils one subset at most, so the others are shared; a set's own size bounds its differences too
     subsets = np.bincount(owner, minlength=rows.size)
-    need = np.where(weak | (plan.doubled > 0), 1, np.maximum(1, subsets - plan.differences))
+    own = (sizes + sizes * 100 // percent) * (100 - percent) // (100 + percent)
+    need = np.where(weak | (plan.doubled > 0), 1, np.maximum(1, subsets - np.minimum(own, plan.differences)))
     return np.concatenate(sig), np.concatenate(row), need
 
 
@@ -271,6 +276,16 @@ def in_order(sets: Sets, percent: int, n_shards: int) -> tuple[np.ndarray, ...]:
     return sig[order], row[order], group[order], shard[order], need
 
 
+def place_in_group(group: np.ndarray) -> np.ndarray:
+    """How many earlier entries of ``group`` hold the same number, entry by entry."""
+    order = np.argsort(group, kind="stable")
+    ordered = group[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    out = np.empty(group.size, dtype=np.int64)
+    out[order] = np.arange(group.size) - np.repeat(first, np.diff(first, append=group.size))
+    return out
+
+
 def ask(text: str, k: int, percent: int, n_shards: int) -> Callable[[int, pa.Table], Iterator[dict]]:
     def run(block: int, rows: pa.Table) -> Iterator[dict]:
         sig, _, _, shard, _ = in_order(shingle_sets(text_bytes(rows.column(text)), k), percent, n_shards)
@@ -318,7 +333,8 @@ def which_shared(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 def shared_signatures(blocks: DataFrame, text: str, k: int, percent: int) -> DataFrame:
-    """(sig, node) of the shared signatures of the sets that share enough of theirs."""
+    """(sig, node) of the sets that share enough signatures: of each as many of the shared ones, in one order of all
+    signatures, that two sets that link have one of them in common."""
     n_shards = shards(blocks, SHARD_BYTES)
     asked = each_block(blocks, ask(text, k, percent, n_shards), "shard long, block long, n long, blob binary")
     dealt = asked.repartition(n_shards, "shard").sortWithinPartitions("shard")
@@ -329,9 +345,11 @@ def shared_signatures(blocks: DataFrame, text: str, k: int, percent: int) -> Dat
         sizes = np.bincount(shard, minlength=n_shards)
         flags = [np.unpackbits(np.frombuffer(expand(got[s]), np.uint8), count=sizes[s]) for s in sorted(got)]
         shared = np.concatenate(flags).astype(bool) if flags else np.zeros(0, dtype=bool)
-        enough = np.bincount(group[shared], minlength=need.size) >= need
-        keep = shared & enough[group]
-        return pa.table({"sig": pa.array(sig[keep].view(np.int64)), "node": pa.array(node_of(block, row[keep]), pa.int64())})
+        found = np.bincount(group[shared], minlength=need.size)
+        kept = np.flatnonzero(shared & (found >= need)[group])
+        # of two sets' common signatures the first in sending order is among the first found - need + 1 of both
+        kept = kept[place_in_group(group[kept]) <= (found - need)[group[kept]]]
+        return pa.table({"sig": pa.array(sig[kept].view(np.int64)), "node": pa.array(node_of(block, row[kept]), pa.int64())})
 
     return each_answered(with_answers(blocks, replies), pick, "sig long, node long")
 
