@@ -23,8 +23,9 @@ this star. Where a signature still holds several components, its classes are
 compared across components in chunks by a parity bitmap of their sets: bitmaps
 differ in at most as many bits as the sets do in elements, so what differs in
 more bits than the threshold allows is no link. Of the others each class's
-nearest is verified first, and then all that are still in two components. No
-link between different components is lost.
+nearest is verified first. Classes that then still have a possible partner in
+another component are compared again by wider bitmaps, and all pairs that
+these allow are verified. No link between different components is lost.
 
 Defined cases: A-Z are lowered; a text with fewer words than a shingle is one
 shingle; without words or null it is empty and alone; repeated rows fall in
@@ -61,8 +62,11 @@ PARTNERS = 0.025
 SHARD_LIMIT = 96 << 20
 #: Classes of one signature that are compared in one piece.
 CHUNK = 1024
-#: Bits of a set's bitmap: the power of two from its size, within these bounds.
+#: Bits of a set's bitmap: the power of two from its size, within these bounds; of a wide one so many times that.
 BITS = (64, 1 << 16)
+WIDER = 8
+#: Bytes of bitmaps that are compared at once.
+COMPARED = 16 << 20
 
 
 # --- bands and their plans -----------------------------------------------------------------------
@@ -390,9 +394,9 @@ def sets_of(blocks: DataFrame, nodes: DataFrame, text: str, k: int) -> DataFrame
     return each_answered(joined, pick, "node long, members binary, bitmap binary")
 
 
-def parity_bitmap(values: np.ndarray) -> np.ndarray:
+def parity_bitmap(values: np.ndarray, wider: int = 1) -> np.ndarray:
     """Bit i is the parity of the elements that hash to i; equal elements of two sets cancel out."""
-    bits = min(BITS[1], max(BITS[0], 1 << (values.size - 1).bit_length()))
+    bits = min(BITS[1], max(BITS[0], wider << (values.size - 1).bit_length()))
     at = (mix(values + np.uint64(0xA5A5)) & np.uint64(bits - 1)).astype(np.int64)
     odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view("<u8")
@@ -410,16 +414,17 @@ def folded(bitmaps: list[bytes]) -> np.ndarray:
     return np.stack(out)
 
 
-def close_pairs(percent: int, nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs (a, b) of one group (sig, lo, hi) in different components that their bitmaps and sizes allow to link.
+def close_pairs(percent: int, emit: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs of one group (sig, lo, hi) in different components that their bitmaps and sizes allow to link.
 
-    With ``nearest`` only the pair of fewest differing bits of every class of a
-    group. Rows come sorted by group; whole groups are compared together, the
-    rows at every distance at once.
+    ``emit`` is "nearest" (a, b: for every class the pair of fewest differing
+    bits among the groups compared together), "some" (the rows that are in any
+    pair) or "all" (a, b). Rows come sorted by group; whole groups are
+    compared together, the rows at every distance at once.
     """
     group = ["sig", "lo", "hi"]
 
-    def compare(table: pa.Table) -> pa.RecordBatch:
+    def compare(table: pa.Table) -> list[pa.RecordBatch]:
         key = np.stack([table.column(c).to_numpy() for c in group], axis=1)
         node, n, label, chunk = (table.column(c).to_numpy() for c in ("node", "n", "label", "chunk"))
         new = np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))
@@ -428,8 +433,9 @@ def close_pairs(percent: int, nearest: bool) -> Callable[[Iterator[pa.RecordBatc
         widths = pc.binary_length(table.column("bitmap")).to_numpy()
         maps = table.column("bitmap").to_pylist()
         least = np.minimum.reduceat(widths, np.flatnonzero(new))[np.cumsum(new) - 1]
-        found_a, found_b = [], []
-        best = np.full(new.size, np.iinfo(np.int64).max)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        none = np.iinfo(np.int64).max
+        best = np.full(new.size, none)  # of every row the least (differing bits << 32) + other row
         for width in np.unique(least).tolist():
             rows = np.flatnonzero(least == width)
             bits = folded([maps[i] for i in rows] + [bytes(width)])[:-1]
@@ -443,26 +449,28 @@ def close_pairs(percent: int, nearest: bool) -> Callable[[Iterator[pa.RecordBatc
                 ok = (label[live] != label[other]) & (small * 100 >= large * percent)
                 ok &= ~split[live] | (chunk[live] != chunk[other])
                 a, b = live[ok], other[ok]
-                for at in range(0, a.size, 50_000):
-                    x, y = a[at : at + 50_000], b[at : at + 50_000]
+                at_once = max(1, COMPARED // width)
+                for at in range(0, a.size, at_once):
+                    x, y = a[at : at + at_once], b[at : at + at_once]
                     far = np.bitwise_count(bits[place[x]] ^ bits[place[y]]).sum(axis=1, dtype=np.int64)
                     good = far <= (n[x] + n[y]) * (100 - percent) // (100 + percent)
                     x, y, far = x[good], y[good], far[good]
-                    if nearest:
+                    if emit == "all":
+                        found.append((node[x], node[y]))
+                    else:
                         np.minimum.at(best, x, (far << 32) + y)
                         np.minimum.at(best, y, (far << 32) + x)
-                    else:
-                        found_a.append(node[x])
-                        found_b.append(node[y])
                 step += 1
-        if nearest:
-            x = np.flatnonzero(best < np.iinfo(np.int64).max)
-            found_a.append(node[x])
-            found_b.append(node[best[x] & 0xFFFFFFFF])
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
+        x = np.flatnonzero(best < none)
+        if emit == "some":
+            return table.drop_columns("bitmap").take(pa.array(x)).to_batches()
+        if emit == "nearest":
+            x = x[np.lexsort((best[x], node[x]))]
+            x = x[np.flatnonzero(np.diff(node[x], prepend=none))]
+            found.append((node[x], node[best[x] & 0xFFFFFFFF]))
+        a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
         pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+        return [pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -475,10 +483,10 @@ def close_pairs(percent: int, nearest: bool) -> Callable[[Iterator[pa.RecordBatc
             edges = np.flatnonzero((key[1:] != key[:-1]).any(axis=1))
             if edges.size:
                 cut = int(edges[-1]) + 1
-                yield compare(held.slice(0, cut))
+                yield from compare(held.slice(0, cut))
                 held = held.slice(cut)
         if held is not None and held.num_rows:
-            yield compare(held)
+            yield from compare(held)
 
     return run
 
@@ -506,25 +514,50 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def across_components(members: DataFrame, sets: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Distinct pairs (a, b) of one signature and different components that may link; ``members`` has sig, node, n, label."""
+PIECES = "sig long, lo long, hi long, node long, n long, label long, chunk long"
+
+
+def in_pieces(members: DataFrame) -> DataFrame:
+    """The rows (``PIECES``) to compare for the signatures of several components: a class meets every chunk of its signature."""
     state = members.groupBy("sig").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count(F.lit(1)).alias("size"))
     open_sigs = state.filter("first < last").select("sig", F.ceil(F.col("size") / CHUNK).cast("long").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    # a class meets every chunk of its signature: one piece for each pair of chunks
+    # one piece for each pair of chunks
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    rows = (
+    return (
         members.join(open_sigs, "sig")
-        .withColumn("chunk", chunk)
-        .join(sets.select("node", "bitmap"), "node")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
         .withColumn("other", other)
-        .select(
-            "sig", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "node", "n", "label", "chunk", "bitmap"
-        )
+        .select("sig", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "node", "n", "label", "chunk")
     )
+
+
+def compared(pieces: DataFrame, bitmaps: DataFrame, percent: int, emit: str) -> DataFrame:
+    """``close_pairs`` over ``pieces`` with the bitmaps (node, bitmap) of their classes."""
     group = ["sig", "lo", "hi"]
-    dealt = rows.repartition(*group).sortWithinPartitions(*group)
-    return dealt.mapInArrow(close_pairs(percent, nearest), "a long, b long").distinct()
+    dealt = pieces.join(bitmaps, "node").select(*pieces.columns, "bitmap").repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(close_pairs(percent, emit), PIECES if emit == "some" else "a long, b long")
+
+
+def wide_bitmaps(sets: DataFrame) -> DataFrame:
+    """(node, bitmap): with more bits, so that few elements of two sets fall on one bit unseen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = [parity_bitmap(np.frombuffer(m, dtype="<u8"), WIDER).tobytes() for m in batch.column("members").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(wide, pa.binary())], names=["node", "bitmap"])
+
+    return sets.select("node", "members").mapInArrow(run, "node long, bitmap binary")
+
+
+def across_components(members: DataFrame, sets: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Distinct pairs (a, b) of one signature and different components that may link; ``members`` has sig, node, n, label."""
+    narrow = sets.select("node", "bitmap")
+    if nearest:
+        return compared(in_pieces(members), narrow, percent, "nearest").distinct()
+    # only the classes of some pair are compared again, by wide bitmaps, before all pairs come out
+    some = cut_lineage(compared(in_pieces(members), narrow, percent, "some"), "some")
+    wide = wide_bitmaps(sets.join(some.select("node").distinct(), "node", "left_semi"))
+    return compared(some, wide, percent, "all").distinct()
 
 
 def near(n: str, m: str, percent: int) -> F.Column:
