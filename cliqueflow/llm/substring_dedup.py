@@ -42,6 +42,8 @@ RUN = 48
 SHARD_BYTES = 1 << 20
 BUCKET_LIMIT = 64 << 20
 LAST = np.iinfo(np.int64).max
+#: Columns of the result besides those of the documents.
+ADDED = ("n_words", "n_removed", "kept", "kept_sha256")
 
 
 class Strings:
@@ -275,8 +277,7 @@ def dedup_substrings(
     docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, limit: int = BUCKET_LIMIT
 ) -> DataFrame:
     """``docs`` plus n_words, n_removed, kept (remaining words joined by one space) and kept_sha256."""
-    added = ("n_words", "n_removed", "kept", "kept_sha256")
-    docs = docs.drop(*[c for c in added if c not in (text, key)])
+    docs = docs.drop(*[c for c in ADDED if c not in (text, key)])
     blocks = write_blocks(docs.withColumn(key, F.col(key).cast("long")), text)
     n_buckets = shards(blocks, SHARD_BYTES)
     asked = each_block(blocks, ask(text, key, window, n_buckets), "shard long, block long, blob binary")
@@ -304,7 +305,7 @@ def dedup_substrings(
 
     kinds = (LongType(), LongType(), StringType(), StringType())
     fields = [StructField(key, LongType()) if f.name == key else f for f in docs.schema.fields]
-    schema = StructType(fields + [StructField(a, k) for a, k in zip(added, kinds)])
+    schema = StructType(fields + [StructField(a, k) for a, k in zip(ADDED, kinds)])
     return each_answered(with_answers(blocks, replies), finish, schema)
 
 

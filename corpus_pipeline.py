@@ -17,7 +17,7 @@ from cliqueflow.llm.jaccard_join import keep_one
 from cliqueflow.llm.packing import pack, vocabulary_files
 from cliqueflow.llm.pii import find_pii, redacted
 from cliqueflow.llm.quality_rules import judge, learn_rules
-from cliqueflow.llm.substring_dedup import dedup_substrings
+from cliqueflow.llm.substring_dedup import ADDED, dedup_substrings
 from cliqueflow.session import distilled
 
 #: Near duplicates of the second stage: word shingles and least similarity in percent.
@@ -38,9 +38,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of windows that a document of a smaller id has; untouched texts stay as they are."""
-    found = dedup_substrings(docs.withColumn("_text", F.col("text")), text="_text")
+    hidden = {c: f"_in_{c}" for c in docs.columns if c.lower() in ADDED}  # columns of documents that bear the operator's names
+    found = dedup_substrings(docs.withColumnsRenamed(hidden))
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    return with_text(found, text, docs.columns)
+    changed = with_text(found, text, [hidden.get(c, c) for c in docs.columns])
+    return changed.withColumnsRenamed({v: k for k, v in hidden.items()})
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
