@@ -57,20 +57,59 @@ def url_base(url: Column | str) -> Column:
     return F.regexp_extract(u, r"^(.*/)", 1)
 
 
+def without_dots(url: Column | str) -> Column:
+    """A URL whose path has its ``.`` and ``..`` segments resolved."""
+    u = col_or_name(url)
+    origin = url_origin(u)
+    rest = F.substring(u, F.length(origin) + 1, F.length(u))
+    path = F.regexp_extract(rest, r"^[^?#]*", 0)
+    parts = F.split(F.regexp_replace(path, r"/\.{1,2}$", "$0/"), "/", -1)
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        # the empty part before the leading slash stays
+        .when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    plain = F.concat(origin, F.array_join(kept, "/"), F.substring(rest, F.length(path) + 1, F.length(rest)))
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), plain).otherwise(u)
+
+
 def resolve_href(url: Column | str, href: Column | str) -> Column:
     """Resolve a link against the page that holds it.
 
-    Absolute links stay, root-relative links hang off the origin, others off
-    the page's folder.
+    A link with a scheme stays; ``//host`` takes the page's scheme, ``/path``
+    its origin, ``?query`` its path, ``#fragment`` its path and query, any
+    other one its folder (the root, if the URL has no path). An empty link is
+    the page itself. ``.`` and ``..`` segments are resolved.
     """
-    h = col_or_name(href)
+    u, h = col_or_name(url), col_or_name(href)
+    origin, base = url_origin(u), url_base(u)
+    page = F.regexp_replace(u, r"#.*$", "")
+    folder = F.when(F.length(base) > F.length(origin), base).otherwise(F.concat(origin, F.lit("/")))
     return (
         F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-        .when(h.startswith("/"), F.concat(url_origin(url), h))
-        .otherwise(F.concat(url_base(url), h))
+        .when(h.startswith("//"), F.concat(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*:", 0), h))
+        .when(h.startswith("/"), without_dots(F.concat(origin, h)))
+        .when((h == "") | h.startswith("#"), F.concat(page, h))
+        .when(h.startswith("?"), F.concat(F.regexp_replace(u, r"[?#].*$", ""), h))
+        .otherwise(without_dots(F.concat(folder, h)))
     )
 
 
+#: Character references that are decoded, the ampersand last.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&amp;": "&"}
+
+
+def decode_entities(text: Column | str) -> Column:
+    """``text`` with the basic character references decoded."""
+    out = col_or_name(text)
+    for name, char in ENTITIES.items():
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return out
+
+
 def replace_first_dot(text: Column | str, replacement: Column | str) -> Column:
     """``text`` with its first ``.`` replaced by ``replacement`` (unchanged if no dot)."""
     t, r = col_or_name(text), col_or_name(replacement)

@@ -7,26 +7,30 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import archive_file_name, replace_first_dot, resolve_href
+from ..functions.columns import archive_file_name, decode_entities, replace_first_dot, resolve_href
 
-# An anchor's href (double-quoted) and the archive kinds the
-# original scraper keeps, matched on the last three characters of the href.
-HREF_PATTERN = r'<a[^>]*href="([^"]*)"'
+# What holds no live markup, and the href of an anchor tag: quoted either way or bare, after any other attributes.
+HIDDEN_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+HREF_PATTERN = r"""(?i)<a(?=\s)(?:[^>"']*(?:"[^"]*"|'[^']*'))*?[^>"']*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# The archive kinds the original scraper keeps, matched on the last three characters of the href.
 ARCHIVE_KINDS = ("zst", "tar")
 
 
 def page_hrefs(pages: DataFrame) -> DataFrame:
-    """(page_id, url, href): every anchor href of every page, in page order of appearance."""
-    return pages.select(
-        "page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(HREF_PATTERN), F.lit(1))).alias("href")
-    )
+    """(page_id, url, href): every anchor href of every page, in page order of appearance, entities decoded.
+
+    Comments, scripts and styles hold no anchors.
+    """
+    live = F.regexp_replace("html", HIDDEN_PATTERN, "")
+    found = F.explode(F.regexp_extract_all(live, F.lit(HREF_PATTERN), F.lit(1)))
+    quoted = pages.select("page_id", "url", found.alias("href"))
+    return quoted.withColumn("href", decode_entities(F.regexp_replace("href", r"""^["']|["']$""", "")))
 
 
 def page_links(pages: DataFrame, kinds: Iterable[str] | None = None) -> DataFrame:
     """(link): distinct links found in ``pages``.
 
-    Without ``kinds`` every href is resolved against its page (absolute kept,
-    ``/path`` on the page origin, other paths on the page folder). With
+    Without ``kinds`` every href is resolved against its page, see ``resolve_href``. With
     ``kinds`` only hrefs whose last three characters are one of them are kept
     and resolved the archive way: a ``zst`` href has its first ``.`` replaced
     by the page URL, any other kind is appended to the page URL.

@@ -1,5 +1,8 @@
 """Archive link discovery (H13, H14)."""
 
+from urllib.parse import urljoin
+
+from cliqueflow.functions.columns import resolve_href
 from cliqueflow.operators import links
 from conftest import rows
 
@@ -24,3 +27,24 @@ def test_h14_pending_archives(spark):
     found = spark.createDataFrame([("a/f1.zst",), ("a/f2.zst",)], "link string")
     stored = links.stored_listing(spark.createDataFrame([("input/f1",)], "path string"))
     assert rows(links.pending_archives(found, stored), "link") == [("a/f2.zst",)]
+
+
+def test_anchors_as_a_parser_sees_them(spark):
+    html = """<A HREF='./a.zst'>x</A> <a class="y>" id=3 href=./b.zst>x</a> <abbr data-href="./c.zst">x</abbr>
+    <!-- <a href="./d.zst">x</a> --> <script>"<a href='s'>"</script> <a data-href="n" href="./e.zst">x</a>
+    <a title="href=f" name='g'>x</a> <a href="x?a=1&amp;b=.tar">x</a> <area href="h">"""
+    p = spark.createDataFrame([(1, "http://h/", html)], "page_id long, url string, html string")
+    got = [r["href"] for r in links.page_hrefs(p).collect()]
+    assert got == ["./a.zst", "./b.zst", "./e.zst", "x?a=1&b=.tar"]
+
+
+def test_resolution_of_every_kind_of_reference(spark):
+    cases = [
+        ("https://h.example", "rel"), ("https://h.example/a/b", "//cdn.x/y"), ("https://h.example/a/b?k=v#z", "#f"),
+        ("https://h.example/a/b", "../c"), ("https://h.example/a/b?k=v", "?q=1"), ("https://h.example/a/b", "./d/./e/../f?x=/../y"),
+        ("https://h.example/a/b", "/g/../../h"), ("https://h.example/a/b/c", ".."), ("https://h.example/a/b#z", ""),
+        ("https://h.example/a/b", "mailto:x@y.example"), ("https://h.example?q=a/b", "c"),
+    ]
+    df = spark.createDataFrame(cases, "url string, href string")
+    got = [r["link"] for r in df.select(resolve_href("url", "href").alias("link")).collect()]
+    assert got == [urljoin(url.split("#")[0] if not href else url, href) for url, href in cases]
