@@ -13,15 +13,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.layout import bucketed_copy
-from ..session import scratch_path
 
 
 def live_reach(retweet_stream: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Streaming (post_id, label, size). Exact: state keeps every (post, retweeter) pair seen."""
+    """Streaming (post_id, label, size). Exact: state keeps every pair of a post and a labelled retweeter."""
     return (
         retweet_stream.select("post_id", "id")
-        .dropDuplicates(["post_id", "id"])
         .join(labelled.select("id", "label"), "id")
+        .dropDuplicates(["post_id", "id", "label"])
         .groupBy("post_id", "label")
         .agg(F.count(F.lit(1)).alias("size"))
     )
@@ -55,6 +54,10 @@ def start_live_reach(
     ``static_buckets`` the labelled table is first stored bucketed on ``id``,
     so each batch shuffles only its own events, never the labelled table.
 
+    Without ``checkpoint`` it lies beside ``output``, so a restart on the same
+    output goes on with its counts. Counts of labels that have changed need a
+    new output: the old one's state was built with the labels of its time.
+
     ``state_partitions`` fixes the number of state-store partitions for the
     life of the checkpoint (default: the session's shuffle partitions).
     """
@@ -73,7 +76,7 @@ def start_live_reach(
 
     writer = (
         counts.writeStream.outputMode(output_mode)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "live-reach-ckpt"))
+        .option("checkpointLocation", checkpoint or output.rstrip("/") + "-checkpoint")
         .foreachBatch(publish)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -65,3 +65,17 @@ def test_complete_mode_gives_the_same_counts(spark, tmp_path):
                          max_files_per_trigger=1, output_mode="complete")
     q.awaitTermination()
     assert rows(read_live_reach(spark, out), "post_id", "label", "size") == [("p1", "Trump", 2)]
+
+
+def test_restart_on_the_same_output_goes_on(spark, tmp_path):
+    schema = "post_id string, id string, day string"
+    src, out = str(tmp_path / "events"), str(tmp_path / "out")
+    lab = spark.createDataFrame([("a", "Trump"), ("b", "Trump")], "id string, label string")
+    seen = []
+    for more in ([("p1", "a", "2024-01-01"), ("p1", "x", "2024-01-01")], [("p1", "a", "2024-01-02"), ("p1", "b", "2024-01-02")]):
+        seen += more
+        events = spark.createDataFrame(more, schema)
+        events.write.mode("append").partitionBy("day").parquet(src)
+        start_live_reach(spark, src, events.schema, lab, out).awaitTermination()
+        want = serving.reach_by_community(spark.createDataFrame(seen, schema), lab)
+        assert rows(read_live_reach(spark, out), "post_id", "label", "size") == rows(want, "post_id", "label", "size")
