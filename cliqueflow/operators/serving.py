@@ -79,11 +79,11 @@ def user_profile(users: DataFrame, screen_names: DataFrame | list[str]) -> DataF
 def user_timeline(posts: DataFrame, n: int = 5, author_id: str | None = None) -> DataFrame:
     """(author_id, position, id, created_at, rt_post_id): latest ``n`` posts per author, newest first.
 
-    Ties on time are broken by the larger post id. The ``n`` limit is applied
+    Ties on time are broken by the larger post id (ids are decimal text: the longer one, then by digits). The ``n`` limit is applied
     per map task before the shuffle, so a prolific author ships ``n`` rows per task.
     """
     p = posts if author_id is None else posts.filter(F.col("author_id") == author_id)
-    w = Window.partitionBy("author_id").orderBy(F.col("created_at").desc_nulls_last(), F.col("id").desc())
+    w = Window.partitionBy("author_id").orderBy(F.col("created_at").desc_nulls_last(), F.length("id").desc(), F.col("id").desc())
     return (
         p.withColumn("position", F.row_number().over(w))
         .filter(F.col("position") <= n)

@@ -364,7 +364,7 @@ oracle(
     "user_timeline",
     """
     SELECT author_id, position, id, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, rt_post_id
-    FROM (SELECT *, CAST(row_number() OVER (PARTITION BY author_id ORDER BY created_at DESC NULLS LAST, id DESC)
+    FROM (SELECT *, CAST(row_number() OVER (PARTITION BY author_id ORDER BY created_at DESC NULLS LAST, length(id) DESC, id DESC)
                          AS INTEGER) AS position
           FROM event_posts) t
     WHERE position <= 5

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import communities as comm
@@ -44,6 +44,14 @@ def _communities(spark: SparkSession, paths: Paths, options: StageOptions):
     return files.read_seeds(spark, paths["seeds"]).select(F.col("label").alias("name"))
 
 
+def _write_keyed(rows: DataFrame, path: str, table: str, key: str, options: StageOptions) -> None:
+    """Files carry the prefixed ``key``; a connector prefixes the table's name itself and gets the plain key column."""
+    if options.kv_format in files.FILE_FORMATS:
+        files.write_keyed(rows, path, "key", fmt=options.kv_format, options=options.kv_options)
+    else:
+        files.write_keyed(rows.drop("key"), table, key, fmt=options.kv_format, options=options.kv_options)
+
+
 def run_stage(spark: SparkSession, stage: str, paths: Paths, options: StageOptions | None = None) -> None:
     options = options or StageOptions()
     if stage not in STAGES:
@@ -97,18 +105,8 @@ def run_stage(spark: SparkSession, stage: str, paths: Paths, options: StageOptio
         )
         files.write_stage(summary, paths["communities"])
     elif stage == "kv_users":
-        files.write_keyed(
-            serving.keyed_users(files.read_stage(spark, paths["labelled"])),
-            paths["kv_users"] if options.kv_format in ("parquet", "orc", "json") else "user",
-            "key",
-            fmt=options.kv_format,
-            options=options.kv_options,
-        )
+        rows = serving.keyed_users(files.read_stage(spark, paths["labelled"]))
+        _write_keyed(rows, paths["kv_users"], "user", "id", options)
     elif stage == "kv_communities":
-        files.write_keyed(
-            serving.keyed_communities(files.read_stage(spark, paths["communities"])),
-            paths["kv_communities"] if options.kv_format in ("parquet", "orc", "json") else "communities",
-            "key",
-            fmt=options.kv_format,
-            options=options.kv_options,
-        )
+        rows = serving.keyed_communities(files.read_stage(spark, paths["communities"]))
+        _write_keyed(rows, paths["kv_communities"], "communities", "name", options)

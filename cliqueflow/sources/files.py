@@ -8,6 +8,9 @@ from pyspark.sql.types import StructType
 
 from ..schemas import SEED_SCHEMA, TWEET_SCHEMA
 
+#: Formats whose keyed tables are folders.
+FILE_FORMATS = ("parquet", "orc", "json")
+
 
 def read_tweets(spark: SparkSession, path: str, schema: StructType = TWEET_SCHEMA) -> DataFrame:
     """Scan a folder (or glob) of JSON-lines posts with a fixed schema.
@@ -65,13 +68,14 @@ def write_keyed(
     """Save a table addressed by ``key``.
 
     For ``parquet``/``orc``/``json`` the ``table`` is a path. Any other format
-    is a connector that receives ``table`` and ``key.column`` as options.
+    is a connector that receives ``table`` and ``key.column`` as options and
+    makes its keys of both.
     """
     check_key(df, key)
     writer = df.write.mode(mode)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
-    if fmt in ("parquet", "orc", "json"):
+    if fmt in FILE_FORMATS:
         writer.format(fmt).save(table)
     else:
         writer.format(fmt).option("table", table).option("key.column", key).save()

@@ -25,6 +25,12 @@ def test_timeline_latest_first(spark):
     assert out == [("u", 1, "2"), ("u", 2, "3"), ("v", 1, "4")]
 
 
+def test_timeline_ties_by_number(spark):
+    posts = spark.createDataFrame([("u", i, "2024-01-01", None) for i in ("9", "10", "8")],
+                                  "author_id string, id string, created_at string, rt_post_id string")
+    assert [r[1] for r in rows(serving.user_timeline(posts), "position", "id")] == ["10", "9", "8"]
+
+
 def test_profile_by_name(spark):
     us = spark.createDataFrame([("1", "alice"), ("2", "bob")], "id string, screen_name string")
     assert rows(serving.user_profile(us, ["bob"])) == [("2", "bob")]

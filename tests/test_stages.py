@@ -44,6 +44,15 @@ def test_all_stages_round_trip(spark, tmp_path):
     assert kvc == {"communities:Trump", "communities:Biden"}
 
 
+def test_connectors_get_plain_keys(spark, tmp_path, monkeypatch):
+    paths = Paths(str(tmp_path))
+    spark.createDataFrame([("1", "A")], "id string, label string").write.parquet(paths["labelled"])
+    got = []
+    monkeypatch.setattr(files, "write_keyed", lambda df, table, key, **kw: got.append((df.columns, table, key, kw["fmt"])))
+    run_stage(spark, "kv_users", paths, StageOptions(kv_format="some.kv.store"))
+    assert got == [(["id", "label"], "user", "id", "some.kv.store")]
+
+
 def test_unknown_stage(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown stage"):
         run_stage(spark, "upload", Paths(str(tmp_path)))
