@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import communities as comm
 from ..operators import graph, ingest, links, propagation, serving
-from ..session import cut_lineage, scratch_path
+from ..session import cut_lineage, distilled, scratch_path
 from ..sources import files
 from ..sources.social import SocialTables
 from ..streaming.live_reach import read_live_reach, start_live_reach
@@ -56,10 +56,13 @@ def stored_graph(t: SocialTables) -> tuple[DataFrame, DataFrame]:
 
 
 def labelled(t: SocialTables, rounds: int = LPA_ROUNDS, keep_sinks: bool = False) -> DataFrame:
-    vertices, edges = stored_graph(t)
-    return propagation.propagate(
-        vertices, edges, seed_communities(t), iterations=rounds, keep_sinks=keep_sinks, materialize_edges=False
-    )
+    def run() -> DataFrame:
+        vertices, edges = stored_graph(t)
+        return propagation.propagate(
+            vertices, edges, seed_communities(t), iterations=rounds, keep_sinks=keep_sinks, materialize_edges=False
+        )
+
+    return distilled(t.spark, run, "labelled")
 
 
 def members(t: SocialTables) -> DataFrame:
@@ -67,7 +70,20 @@ def members(t: SocialTables) -> DataFrame:
 
 
 def summary(t: SocialTables) -> DataFrame:
-    return comm.summarise_communities(labelled(t), t.users, seed_communities(t), k=TOP_K)
+    def run() -> DataFrame:
+        return comm.summarise_communities(labelled(t), t.users, seed_communities(t), k=TOP_K)
+
+    return distilled(t.spark, run, "communities")
+
+
+def pageranks(t: SocialTables) -> DataFrame:
+    def run() -> DataFrame:
+        vertices, edges = stored_graph(t)
+        names = seed_communities(t)
+        lab = propagation.propagate(vertices, edges, names, iterations=LPA_ROUNDS, materialize_edges=False)
+        return comm.community_pagerank(lab, edges, names, iterations=PAGERANK_ROUNDS)
+
+    return distilled(t.spark, run, "pageranks")
 
 
 def text_list(c: str) -> F.Column:
@@ -214,19 +230,13 @@ def communities(t: SocialTables) -> DataFrame:
 
 @query
 def community_pagerank(t: SocialTables) -> DataFrame:
-    vertices, edges = stored_graph(t)
-    lab = propagation.propagate(vertices, edges, seed_communities(t), iterations=LPA_ROUNDS, materialize_edges=False)
-    ranks = comm.community_pagerank(lab, edges, seed_communities(t), iterations=PAGERANK_ROUNDS)
-    return ranks.select("community", "id", F.round("rank", 6).alias("rank"))
+    return pageranks(t).select("community", "id", F.round("rank", 6).alias("rank"))
 
 
 @query
 def pagerank_top10(t: SocialTables) -> DataFrame:
     """Influencers by PageRank: the ten highest ranks (to 6 places) per community, ties by id."""
-    vertices, edges = stored_graph(t)
-    lab = propagation.propagate(vertices, edges, seed_communities(t), iterations=LPA_ROUNDS, materialize_edges=False)
-    ranks = comm.community_pagerank(lab, edges, seed_communities(t), iterations=PAGERANK_ROUNDS)
-    return comm.pagerank_leaders(ranks.withColumn("rank", F.round("rank", 6)), t.users, TOP_K)
+    return comm.pagerank_leaders(pageranks(t).withColumn("rank", F.round("rank", 6)), t.users, TOP_K)
 
 
 @query
