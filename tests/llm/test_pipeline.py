@@ -32,3 +32,11 @@ def test_stages(spark, sf_small):
     assert pii.find_pii(clean).filter("size(filter(_spans, x -> x.k = 0)) > 0").count() == 0
     packed = stages["packing"](spark, clean, sf_small)
     assert packed.groupBy("doc_id").sum("length").count() == clean.count()
+
+
+def test_repeated_passages_keep_clashing_columns(spark):
+    words = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, words, "a", 7), (2, words + " z", "b", 8)], "doc_id long, text string, kept string, N_Words int")
+    out = corpus_pipeline.repeated_passages(spark, docs, "")
+    assert out.columns == docs.columns
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, words, "a", 7), (2, "z", "b", 8)]
