@@ -2,8 +2,11 @@
 
 Base kinds (email, ip, card, phone) are the leftmost non-overlapping matches
 of one pattern each; a match that fails its check is dropped without a retry.
-The method adds kinds that a pattern alone cannot settle: ``iban`` (mod-97)
-and ``ssn`` (three digit groups that stand only with a telling word nearby).
+The method adds kinds that a pattern alone cannot settle: ``iban`` (mod-97;
+every country code with two digits is tried, also inside another's run, with
+each whole word up to 34 characters as its end; of the ends that the checksum
+confirms, that of the country's own length stands, else the longest) and
+``ssn`` (three digit groups that stand only with a telling word nearby).
 Every span has a score: a checksum or structure gives its base, a context word
 within ``CONTEXT`` code points before it (back to the last match) adds ``CONTEXT_GAIN``; spans below
 ``MIN_SCORE`` of the added kinds are dropped, base spans always stay.
@@ -23,12 +26,16 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
+#: A match of IBAN with what may belong to it, and one character more where the last word goes on.
+IBAN_RUN = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_KINDS = KINDS[:4]
 CONTEXT = 40
+#: Code points after a match that are kept with it: the longest rest of an IBAN with its blanks, and one more.
+AHEAD = 61
 CONTEXT_GAIN = 0.35
 MIN_SCORE = 0.5
 #: Words near a span that make its kind likelier; fixed values.
@@ -41,6 +48,17 @@ CONTEXT_WORDS = {
     "ssn": "ssn|social|security|taxpayer",
 }
 START_SCORE = {"email": 0.7, "ip": 0.6, "card": 0.6, "phone": 0.5, "iban": 0.6, "ssn": 0.3}
+#: Length of the IBANs of each country of the registry.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 
 def let(value: Column, body) -> Column:
@@ -49,15 +67,16 @@ def let(value: Column, body) -> Column:
 
 
 CHUNK = 256
-FOUND = "array<struct<s:int,e:int,t:string,b:string>>"
+FOUND = "array<struct<s:int,e:int,t:string,b:string,a:string>>"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """All matches as array<struct<s, e, t, b>>: start and end code point, matched text, and what stands just before it.
+    """All matches as array<struct<s, e, t, b, a>>: start and end code point, matched text, what stands just before it and after it.
 
     Offsets are running sums over the gaps between matches, taken chunk by
     chunk so that the work stays in proportion to the number of matches.
     """
+    pattern += rf"(?=((?s:.{{0,{AHEAD}}})))"
 
     def length(pair: Column) -> Column:
         return F.char_length(pair["g"]) + F.char_length(pair["t"])
@@ -65,7 +84,7 @@ def matches(text: Column, pattern: str) -> Column:
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.char_length(pair["g"])
         end = start + F.char_length(pair["t"])
-        one = F.struct(start.alias("s"), end.alias("e"), pair["t"].alias("t"), F.right(pair["g"], F.lit(CONTEXT)).alias("b"))
+        one = F.struct(start.alias("s"), end.alias("e"), pair["t"].alias("t"), F.right(pair["g"], F.lit(CONTEXT)).alias("b"), pair["a"].alias("a"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
     def chunk_start(acc: Column, size: Column) -> Column:
@@ -91,7 +110,8 @@ def matches(text: Column, pattern: str) -> Column:
 
     def pairs(found: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-        return F.zip_with(gaps, found, lambda g, t: F.struct(g.alias("g"), t.alias("t")))
+        after = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+        return F.transform(F.arrays_zip(gaps.alias("g"), found.alias("t"), after.alias("a")), lambda x: F.struct(x["g"].alias("g"), x["t"].alias("t"), x["a"].alias("a")))
 
     return let(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
@@ -136,11 +156,37 @@ def confirmed(kind: str, found: Column) -> Column:
         return let(digits_of(t), lambda d: F.length(d).between(12, 19) & luhn(d))
     if kind == "phone":
         return F.length(digits_of(t)).between(9, 15)
-    if kind == "iban":
-        return let(F.regexp_replace(t, " ", ""), lambda c: F.length(c).between(15, 34) & mod97(c))
     return F.lit(True)
 
 
+def whole_ibans(found: Column) -> Column:
+    """Matches of IBAN with the end that their checksum confirms; those without one are dropped."""
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+
+    def ends(words: Column, own: Column) -> Column:
+        def end(i: Column) -> Column:
+            return F.struct(F.array_join(F.slice(words, 1, i), "").alias("code"), (i - 1).alias("blanks"), (i == F.size(words)).alias("last"))
+
+        def stands(x: Column) -> Column:
+            fits = own.isNull() | (F.length(x["code"]) == own) | x["last"]
+            return F.when(fits & x["code"].rlike("^[A-Z0-9]{15,34}$"), mod97(x["code"])).otherwise(False)
+
+        def ranked(x: Column) -> Column:
+            n = F.length(x["code"])
+            return F.struct(F.coalesce(n == own, F.lit(False)).alias("own"), (n + x["blanks"]).alias("n"))
+
+        tried = F.transform(F.sequence(F.lit(1), F.size(words)), end)
+        return F.array_max(F.transform(F.filter(tried, stands), ranked))["n"]
+
+    def whole(m: Column) -> Column:
+        words = F.split(F.regexp_extract(F.concat(m["t"], m["a"]), IBAN_RUN, 0), " ")
+        own = F.try_element_at(lengths, F.substr(m["t"], F.lit(1), F.lit(2)))
+        length = let(F.struct(words.alias("words"), own.alias("own")), lambda x: ends(x["words"], x["own"]))
+        return F.struct(m["s"].alias("s"), (m["s"] + length).alias("e"), m["t"].alias("t"), m["b"].alias("b"), m["a"].alias("a"))
+
+    return F.filter(F.transform(found, whole), lambda m: m["e"].isNotNull())
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """array<struct<s, e, k, score>> of one kind (``k``: its rank in KINDS)."""
     pattern = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBAN, "ssn": SSN}[kind]
@@ -151,7 +197,10 @@ def spans_of(text: Column, kind: str) -> Column:
         score = F.lit(START_SCORE[kind]) + F.when(near, CONTEXT_GAIN).otherwise(0.0)
         return F.struct(m["s"].alias("s"), m["e"].alias("e"), F.lit(rank).alias("k"), score.alias("score"))
 
-    found = F.transform(F.filter(matches(text, pattern), lambda m: confirmed(kind, m)), scored)
+    found = matches(text, pattern)
+    if kind == "iban":
+        found = whole_ibans(found)
+    found = F.transform(F.filter(found, lambda m: confirmed(kind, m)), scored)
     return found if kind in BASE_KINDS else F.filter(found, lambda s: s["score"] >= MIN_SCORE)
 
 

@@ -64,6 +64,24 @@ def test_pii_checksums_context_and_redaction(spark):
     assert got[5] == ("email:5:10,email:14:19", "mail <EMAIL> or <EMAIL>!")
 
 
+def test_pii_iban_ends(spark):
+    german, british, norwegian = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"
+    solid, maltese = german.replace(" ", ""), "MT84MALT011000012345MTLCAST001S"
+    cases = [
+        ("", german, " Please pay"), ("", german, " BIC COBADEFFXXX"), ("", solid, " 500 EUR"), ("Pay é😀 ", german, "."),
+        ("to ", solid, ""), ("", german, "\n12 MAY"), ("REF NO12 3456 ", german, " A"), ("AB12 3456 7890 ", british, " 7 DAYS"),
+        ("", norwegian, " KR 100"), ("", maltese, " X"), ("", "DE89\t3704 0044 0532 0130 00", None), ("", solid + "X", None), ("", solid + "x", None),
+        ("", german[:-1] + "1 Please pay", None),
+    ]
+    rows = [(i, a + b + (c or "")) for i, (a, b, c) in enumerate(cases)]
+    rows += [(50, f"{german} {british} {norwegian}"), (51, f"{german} " * 1000)]
+    got = {r[0]: r[1] for r in pii.find_pii(spark.createDataFrame(rows, TEXT)).selectExpr("doc_id", "filter(_spans, x -> x.k = 4)").collect()}
+    found = {i: [t[s.s : s.e] for s in got[i]] for i, t in rows}
+    assert [found[i] for i in range(len(cases))] == [[b] * (c is not None) for _, b, c in cases]
+    assert found[50] == [german, british, norwegian]
+    assert [(s.s, s.e) for s in got[51]] == [(28 * i, 28 * i + 27) for i in range(1000)]
+
+
 def test_pieces_equal_the_library_and_tile_the_source(spark):
     rng = random.Random(3)
     parts = [" ", "  ", "a", "▁", "the", "\n", "😀", "é", "\t", "ing", "<s>", "\x00", "ﬁ", "　"]
