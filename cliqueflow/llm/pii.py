@@ -8,7 +8,9 @@ each whole word up to 34 characters as its end; of the ends that the checksum
 confirms, that of the country's own length stands, else the longest) and
 ``ssn`` (three digit groups that stand only with a telling word nearby).
 Every span has a score: a checksum or structure gives its base, a context word
-within ``CONTEXT`` code points before it (back to the last match) adds ``CONTEXT_GAIN``; spans below
+within ``CONTEXT`` code points before or after it adds ``CONTEXT_GAIN``, and so
+does a confirmed neighbour of its kind at most ``CONTEXT`` code points away that
+has the gain itself (a list has the context of its heading); spans below
 ``MIN_SCORE`` of the added kinds are dropped, base spans always stay.
 
 Spans are code point offsets, end exclusive. Defined cases: a null text has no
@@ -34,8 +36,8 @@ SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_KINDS = KINDS[:4]
 CONTEXT = 40
-#: Code points after a match that are kept with it: the longest rest of an IBAN with its blanks, and one more.
-AHEAD = 61
+#: Code points after a match that are kept with it: the longest rest of an IBAN with its blanks, one more, and the context.
+AHEAD = 61 + CONTEXT
 CONTEXT_GAIN = 0.35
 MIN_SCORE = 0.5
 #: Words near a span that make its kind likelier; fixed values.
@@ -70,43 +72,39 @@ CHUNK = 256
 FOUND = "array<struct<s:int,e:int,t:string,b:string,a:string>>"
 
 
+def running(items: Column, state: Column, kind: str, step) -> Column:
+    """What ``step(state, item) -> (next state, result)`` gives for every item, as ``kind``; chunks keep the appends short."""
+
+    def one(acc: Column, x: Column) -> Column:
+        following, result = step(acc["state"], x)
+        return F.struct(following.alias("state"), F.concat(acc["out"], F.array(result)).alias("out"))
+
+    def chunk(acc: Column, part: Column) -> Column:
+        done = F.aggregate(part, F.struct(acc["state"].alias("state"), F.array().cast(kind).alias("out")), one)
+        return let(done, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+    parts = F.transform(F.sequence(F.lit(1), F.size(items), F.lit(CHUNK)), lambda i: F.slice(items, i, CHUNK))
+    start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.flatten(F.aggregate(parts, start, chunk, lambda a: a["out"]))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """All matches as array<struct<s, e, t, b, a>>: start and end code point, matched text, what stands just before it and after it.
 
-    Offsets are running sums over the gaps between matches, taken chunk by
-    chunk so that the work stays in proportion to the number of matches.
+    Offsets are running sums over the gaps between matches, so that the work
+    stays in proportion to the number of matches.
     """
     pattern += rf"(?=((?s:.{{0,{AHEAD}}})))"
 
-    def length(pair: Column) -> Column:
-        return F.char_length(pair["g"]) + F.char_length(pair["t"])
-
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.char_length(pair["g"])
+    def step(state: Column, pair: Column) -> tuple[Column, Column]:
+        before = F.right(F.concat(state["tail"], pair["g"]), F.lit(CONTEXT))
+        start = state["at"] + F.char_length(pair["g"])
         end = start + F.char_length(pair["t"])
-        one = F.struct(start.alias("s"), end.alias("e"), pair["t"].alias("t"), F.right(pair["g"], F.lit(CONTEXT)).alias("b"), pair["a"].alias("a"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    def chunk_start(acc: Column, size: Column) -> Column:
-        return F.struct((acc["at"] + size).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        one = F.struct(start.alias("s"), end.alias("e"), pair["t"].alias("t"), before.alias("b"), pair["a"].alias("a"))
+        return F.struct(end.alias("at"), F.right(F.concat(before, pair["t"]), F.lit(CONTEXT)).alias("tail")), one
 
     def place(pairs: Column) -> Column:
-        firsts = F.sequence(F.lit(1), F.size(pairs), F.lit(CHUNK))
-        return let(F.transform(firsts, lambda i: F.slice(pairs, i, CHUNK)), in_chunks)
-
-    def in_chunks(chunks: Column) -> Column:
-        sizes = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, p: a + length(p)))
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-        starts = F.aggregate(sizes, zero, chunk_start, lambda a: a["out"])
-        return F.flatten(
-            F.zip_with(
-                chunks,
-                starts,
-                lambda c, at: F.aggregate(
-                    c, F.struct(at.alias("at"), F.array().cast(FOUND).alias("out")), step, lambda a: a["out"]
-                ),
-            )
-        )
+        return running(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")), FOUND, step)
 
     def pairs(found: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
@@ -182,25 +180,64 @@ def whole_ibans(found: Column) -> Column:
         words = F.split(F.regexp_extract(F.concat(m["t"], m["a"]), IBAN_RUN, 0), " ")
         own = F.try_element_at(lengths, F.substr(m["t"], F.lit(1), F.lit(2)))
         length = let(F.struct(words.alias("words"), own.alias("own")), lambda x: ends(x["words"], x["own"]))
-        return F.struct(m["s"].alias("s"), (m["s"] + length).alias("e"), m["t"].alias("t"), m["b"].alias("b"), m["a"].alias("a"))
+        return let(
+            length,
+            lambda n: F.struct(
+                m["s"].alias("s"),
+                (m["s"] + n).alias("e"),
+                m["t"].alias("t"),
+                m["b"].alias("b"),
+                F.substr(m["a"], n - F.char_length(m["t"]) + 1).alias("a"),
+            ),
+        )
 
     return F.filter(F.transform(found, whole), lambda m: m["e"].isNotNull())
 
 
+NEAR = "array<struct<s:int,e:int,near:boolean>>"
+
+
+def with_neighbours(found: Column) -> Column:
+    """array<struct<s, e, near>> where a span is near context, too, if a chain of spans, each within CONTEXT of the next, leads to one that is."""
+
+    def after(state: Column, x: Column) -> tuple[Column, Column]:
+        near = x["near"] | (state["near"] & (x["s"] - state["at"] <= CONTEXT))
+        return F.struct(x["e"].alias("at"), near.alias("near")), F.struct(x["s"].alias("s"), x["e"].alias("e"), near.alias("near"))
+
+    def before(state: Column, x: Column) -> tuple[Column, Column]:
+        near = x["near"] | (state["near"] & (state["at"] - x["e"] <= CONTEXT))
+        return F.struct(x["s"].alias("at"), near.alias("near")), F.struct(x["s"].alias("s"), x["e"].alias("e"), near.alias("near"))
+
+    none = F.struct(F.lit(0).alias("at"), F.lit(False).alias("near"))
+
+    def chained(spans: Column) -> Column:
+        forth = let(spans, lambda x: running(x, none, NEAR, after))
+        back = let(F.reverse(forth), lambda x: running(x, none, NEAR, before))
+        some = F.exists(spans, lambda x: x["near"]) & F.exists(spans, lambda x: ~x["near"])
+        return F.when(some, F.reverse(back)).otherwise(spans)
+
+    return let(found, chained)
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """array<struct<s, e, k, score>> of one kind (``k``: its rank in KINDS)."""
     pattern = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBAN, "ssn": SSN}[kind]
     rank = KINDS.index(kind)
 
+    def nearby(m: Column) -> Column:
+        words = rf"(?:^|[^a-z])(?:{CONTEXT_WORDS[kind]})"
+        near = F.lower(m["b"]).rlike(words) | F.lower(F.left(m["a"], F.lit(CONTEXT))).rlike(words)
+        return F.struct(m["s"].alias("s"), m["e"].alias("e"), near.alias("near"))
+
     def scored(m: Column) -> Column:
-        near = F.lower(m["b"]).rlike(rf"(?:^|[^a-z])(?:{CONTEXT_WORDS[kind]})")
-        score = F.lit(START_SCORE[kind]) + F.when(near, CONTEXT_GAIN).otherwise(0.0)
+        score = F.lit(START_SCORE[kind]) + F.when(m["near"], CONTEXT_GAIN).otherwise(0.0)
         return F.struct(m["s"].alias("s"), m["e"].alias("e"), F.lit(rank).alias("k"), score.alias("score"))
 
     found = matches(text, pattern)
     if kind == "iban":
         found = whole_ibans(found)
-    found = F.transform(F.filter(found, lambda m: confirmed(kind, m)), scored)
+    found = F.transform(F.filter(found, lambda m: confirmed(kind, m)), nearby)
+    found = F.transform(with_neighbours(found), scored)
     return found if kind in BASE_KINDS else F.filter(found, lambda s: s["score"] >= MIN_SCORE)
 
 

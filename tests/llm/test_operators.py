@@ -82,6 +82,22 @@ def test_pii_iban_ends(spark):
     assert [(s.s, s.e) for s in got[51]] == [(28 * i, 28 * i + 27) for i in range(1000)]
 
 
+def test_pii_context_on_both_sides_and_in_lists(spark):
+    one, gap = "123-45-6789", " " * pii.CONTEXT
+    cases = [
+        (f"SSN: {one}, {one}, {one}", 3), (f"{one} (SSN)", 1), (f"é😀 {one}, {one} taxpayer", 2), ("SSN:" + f" {one}," * 1000, 1000),
+        (f"{one};\n" * 1000 + "social security", 1000), (f"{one}{gap} ssn", 0), (f"ssn {one}{gap}{one}", 2), (f"ssn {one}{gap} {one}", 1),
+        (f"ssn {gap}{one}", 0), (f"part {one}, {one}", 0), (f"{one} a {one}{gap} {one} ssn", 1), (f"{one} ssnumber{gap}. {one}", 1), (f"lessn {one}", 0),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], TEXT)
+    got = {r[0]: r[1] for r in pii.find_pii(df).selectExpr("doc_id", "filter(_spans, x -> x.k = 5)").collect()}
+    assert [len(got[i]) for i in range(len(cases))] == [n for _, n in cases]
+    assert all(cases[i][0][s.s : s.e] == one for i, found in got.items() for s in found)
+    mails = spark.createDataFrame([(1, "a@b.c (mail)"), (2, "a@b.c now"), (3, "iban: none, a@b.c"), (4, "DE89 3704 0044 0532 0130 00 KONTO")], TEXT)
+    scores = {r[0]: [round(x, 2) for x in r[1]] for r in pii.find_pii(mails).selectExpr("doc_id", "transform(filter(_spans, x -> x.k in (0, 4)), x -> x.score)").collect()}
+    assert scores == {1: [1.05], 2: [0.7], 3: [0.7], 4: [0.95]}
+
+
 def test_pieces_equal_the_library_and_tile_the_source(spark):
     rng = random.Random(3)
     parts = [" ", "  ", "a", "▁", "the", "\n", "😀", "é", "\t", "ing", "<s>", "\x00", "ﬁ", "　"]
