@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .exact_dedup import op12_exact_dedup
+from .hard_negatives import op13_hard_negatives
 from .jaccard_join import op10_jaccard_join
 from .kneser_ney import op5_quality_classifier
 from .lm_scoring import op8_lm_scoring
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_topk": op9_topk,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: Integer inner products of every hundredth vector with all others, best ten.
@@ -42,4 +46,36 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE = {"op9_topk": TOPK_SQL}
+#: Equal texts; the largest id of each stays.
+COPIES_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
+FROM t WINDOW same AS (PARTITION BY body)
+"""
+
+#: All products of every hundredth vector, its positives, and the negatives near each of them.
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(CAST(a.ints AS DOUBLE[]), CAST(c.ints AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE = {"op9_topk": TOPK_SQL, "op12_exact_dedup": COPIES_SQL, "op13_hard_negatives": NEGATIVES_SQL}
