@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op11_alignment
 from .exact_dedup import op12_exact_dedup
 from .hard_negatives import op13_hard_negatives
 from .jaccard_join import op10_jaccard_join
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_topk": op9_topk,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_alignment": op11_alignment,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_hard_negatives": op13_hard_negatives,
 }
