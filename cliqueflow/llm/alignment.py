@@ -71,61 +71,65 @@ class Tokens:
         return Tokens(self.ids[at], self.ends[at])
 
 
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 NONE = Tokens(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
 
 
-class Aligner:
-    """Both vocabularies in one process."""
-
-    def __init__(self, ranks_file: str, model_file: str):
-        import public_tokenizers
-        import tiktoken
-
-        with open(ranks_file, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.a = tiktoken.Encoding("alignment", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.b = encoder(model_file)
-        self.a_bytes = [b""] * (max(ranks.values()) + 1)
-        for token, i in ranks.items():
-            self.a_bytes[i] = token
-        model = self.b.model
-        names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-        self.b_bytes = [
-            bytes([int(p[3:-1], 16)]) if model.is_byte(i) else b"" if model.is_control(i) else p.replace(MARK, " ").encode()
-            for i, p in enumerate(names)
-        ]
-        self.a_widths, self.b_widths = (np.array(list(map(len, t)), dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.n_b = len(names)
+class Spelling:
+    """The bytes of a vocabulary's tokens, as rows of eight-byte words."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.widths = np.array(list(map(len, tokens)), dtype=np.int64)
+        self.size = 8 * max(1, -(-int(self.widths.max(initial=0)) // 8))
+        self.words = np.frombuffer(b"".join(t.ljust(self.size, b"\0") for t in tokens), dtype="<u8").reshape(-1, self.size // 8)
+
+    def read(self, ids: np.ndarray, source: bytes) -> tuple[bool, Tokens]:
+        """Tokens of ids, and whether they spell ``source`` byte for byte."""
+        widths = self.widths[ids]
+        ends = np.cumsum(widths)
+        if (int(ends[-1]) if ids.size else 0) != len(source):
+            return False, NONE
+        padded = np.frombuffer(source + bytes(8), dtype=np.uint8)
+        loads = np.ndarray((len(source) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        at, live, starts = 0, slice(None), ends - widths
+        while widths[live].size:
+            masks = MASKS[np.minimum(widths[live] - at, 8)]
+            if ((loads[starts[live] + at] ^ self.words[ids[live], at // 8]) & masks).any():
+                return False, NONE
+            at += 8
+            live = np.flatnonzero(widths > at)
+        return True, Tokens(ids, ends)
+
+
+class Groups:
+    """Fragments of texts, given the sizes of both vocabularies."""
+
+    def __init__(self, n_a: int, n_b: int):
+        self.n_a, self.n_b = n_a, n_b
         # decimal ids with what follows them: a token of the same side and group, or the end of its side
-        self.words = [f"{i}{end}" for n, ends in ((len(self.a_bytes), ",|"), (self.n_b, ",;")) for end in ends for i in range(n)]
-        # ranges need a model that spells its text, puts one space before it and joins nothing over a space
-        normal = self.b.normalize
-        self.ranged = self.b.cuts and not normal.map.units and not normal.squeeze_spaces
-
-    def read(self, text: str) -> tuple[bool, Tokens, Tokens]:
-        """Tokens of a text that begins with a space, and whether both sides spell it."""
-        source = text.encode()
-        a = self.a.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
-        b = self.b.ids(self.b.normalize(text[1:])[0]).astype(np.int64)
-        sound = all(b"".join(map(table.__getitem__, ids.tolist())) == source for table, ids in ((self.a_bytes, a), (self.b_bytes, b)))
-        return sound, Tokens(a, np.cumsum(self.a_widths[a])), Tokens(b, np.cumsum(self.b_widths[b]))
+        self.words = [f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;")) for end in ends for i in range(n)]
 
     def close(self, a: Tokens, b: Tokens) -> dict:
-        """What the groups of some tokens add up to; the last tokens of both sides end together."""
-        ends = np.union1d(a.ends, b.ends)
-        pairs, times = np.unique(
-            a.ids[np.searchsorted(a.ends, ends)] * self.n_b + b.ids[np.searchsorted(b.ends, ends)], return_counts=True
-        )
-        common, at_a, at_b = np.intersect1d(a.ends, b.ends, assume_unique=True, return_indices=True)
+        """What the groups of some tokens add up to; the first tokens of both sides begin, and the last ones end, together."""
+        low = int(min(a.ends[0], b.ends[0]))
+        marks = np.zeros(int(a.ends[-1]) - low + 1, dtype=np.int8)
+        marks[a.ends - low] = 1
+        marks[b.ends - low] += 2
+        marks = marks[marks > 0]  # one for each stretch between two ends, which lies in one token of either side
+        in_a, in_b = marks & 1, marks >> 1
+        of_a, of_b = np.cumsum(in_a, dtype=np.int64) - in_a, np.cumsum(in_b, dtype=np.int64) - in_b
+        pairs, times = np.unique(a.ids[of_a] * self.n_b + b.ids[of_b], return_counts=True)
+        common = marks == 3
+        at_a, at_b = of_a[common], of_b[common]  # the last token of each group
         last_a, last_b = np.zeros(a.ids.size, dtype=np.int64), np.zeros(b.ids.size, dtype=np.int64)
         last_a[at_a] = last_b[at_b] = 1
         # a group's tokens of A, then those of B: each moves behind what the other side has before it
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         words = np.zeros(a.ids.size + b.ids.size, dtype=np.int64)
-        words[np.arange(a.ids.size) + np.concatenate(([0], at_b + 1))[group_a]] = a.ids + last_a * len(self.a_bytes)
-        words[np.arange(b.ids.size) + (at_a + 1)[group_b]] = 2 * len(self.a_bytes) + b.ids + last_b * self.n_b
+        words[np.arange(a.ids.size) + np.concatenate(([0], at_b + 1))[group_a]] = a.ids + last_a * self.n_a
+        words[np.arange(b.ids.size) + (at_a + 1)[group_b]] = 2 * self.n_a + b.ids + last_b * self.n_b
         groups = "".join(map(self.words.__getitem__, words.tolist())).encode()
-        return {"n_groups": common.size, "groups": groups, "pairs": pairs, "times": times}
+        return {"n_groups": at_a.size, "groups": groups, "pairs": pairs, "times": times}
 
     def fragment(self, sound: bool, a: Tokens, b: Tokens, low: int, high: int) -> dict:
         """The fragment of the tokens that end after byte ``low`` (0: the text's start) and not after ``high``."""
@@ -193,6 +197,46 @@ def _tokens(f: dict, side: str) -> tuple[Tokens, Tokens]:
 UNSOUND = {"sound": False, "cut": False, "n_a": 0, "n_b": 0} | _closed() | _ends((NONE, NONE), (NONE, NONE))
 
 
+class Aligner:
+    """Both vocabularies in one process."""
+
+    def __init__(self, ranks_file: str, model_file: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(ranks_file, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.a = tiktoken.Encoding("alignment", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = encoder(model_file)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            tokens[i] = token
+        model = self.b.model
+        names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        pieces = [
+            bytes([int(p[3:-1], 16)]) if model.is_byte(i) else b"" if model.is_control(i) else p.replace(MARK, " ").encode()
+            for i, p in enumerate(names)
+        ]
+        self.spelling = Spelling(tokens), Spelling(pieces)
+        self.sizes = len(tokens), len(pieces)
+        self.groups = grouping(*self.sizes)
+        # ranges need a model that spells its text, puts one space before it and joins nothing over a space
+        normal = self.b.normalize
+        self.ranged = self.b.cuts and not normal.map.units and not normal.squeeze_spaces
+
+    def read(self, text: str) -> tuple[bool, Tokens, Tokens]:
+        """Tokens of a text that begins with a space, and whether both sides spell it."""
+        source = text.encode()
+        ids = self.a.encode_to_numpy(text, disallowed_special=()), self.b.ids(self.b.normalize(text[1:])[0])
+        (one, a), (two, b) = (s.read(i.astype(np.int64), source) for s, i in zip(self.spelling, ids))
+        return one and two, a, b
+
+
+@lru_cache(maxsize=2)
+def grouping(n_a: int, n_b: int) -> Groups:
+    return Groups(n_a, n_b)
+
+
 @lru_cache(maxsize=2)
 def aligner(ranks_file: str, model_file: str) -> Aligner:
     return Aligner(ranks_file, model_file)
@@ -269,7 +313,7 @@ def _short(rows: DataFrame, keys: StructType, files: tuple[str, str]) -> DataFra
                 for text in _texts(part.column("_text")):
                     sound, a, b = both.read(" " + text) if text else (False, NONE, NONE)
                     high = int(a.ends[-1]) if a.ends.size else 0
-                    found = both.finish(both.fragment(sound, a, b, 0, high))
+                    found = both.groups.finish(both.groups.fragment(sound, a, b, 0, high))
                     out.append(found | {"unit": units.of(found["pairs"].size)})
                 made = _rows(numbers, out)
                 yield pa.RecordBatch.from_arrays([part.column(n) if n in own else made.column(n) for n in names], names=names)
@@ -279,13 +323,12 @@ def _short(rows: DataFrame, keys: StructType, files: tuple[str, str]) -> DataFra
 
 def _long(rows: DataFrame, keys: StructType, files: tuple[str, str], size: int, fan: int) -> DataFrame:
     """Result rows of texts of several ranges, each read on its own and composed in a tree."""
-    spark = rows.sparkSession
+    whole, sizes = aligner(*files).ranged, aligner(*files).sizes
     cut, cut_arrow = _structure("row long, part long, low long, high long, start long, region string")
     fragment, fragment_arrow = _structure(FRAGMENT)
     result, result_arrow = _structure("row long, unit long", RESULT)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = aligner(*files).ranged
         for batch in batches:
             for row, text in zip(batch.column("row").to_pylist(), _texts(batch.column("_text"))):
                 for part, (low, high, start, region) in enumerate(ranges(" " + text, size if whole else len(text) + 1)):
@@ -297,18 +340,18 @@ def _long(rows: DataFrame, keys: StructType, files: tuple[str, str], size: int,
             for r in batch.to_pylist():
                 sound, a, b = both.read(r["region"])
                 a, b = (Tokens(t.ids, t.ends + r["start"]) for t in (a, b))
-                yield _rows(fragment_arrow, [both.fragment(sound, a, b, r["low"], r["high"]) | {"row": r["row"], "part": r["part"]}])
+                yield _rows(fragment_arrow, [both.groups.fragment(sound, a, b, r["low"], r["high"]) | {"row": r["row"], "part": r["part"]}])
 
     def compose(table: pa.Table) -> pa.Table:
         parts = sorted(table.to_pylist(), key=lambda f: f["part"])
         place = {"row": parts[0]["row"], "part": parts[0]["part"] // fan}
-        return pa.Table.from_batches([_rows(fragment_arrow, [reduce(aligner(*files).compose, map(_arrays, parts)) | place])])
+        return pa.Table.from_batches([_rows(fragment_arrow, [reduce(grouping(*sizes).compose, map(_arrays, parts)) | place])])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, units = aligner(*files), Units(1)
+        groups, units = grouping(*sizes), Units(1)
         for batch in batches:
             for f in batch.to_pylist():
-                found = both.finish(_arrays(f))
+                found = groups.finish(_arrays(f))
                 yield _rows(result_arrow, [found | {"row": f["row"], "unit": units.of(found["pairs"].size)}])
 
     # stored, so that row numbers stay the same when a task is run again
@@ -317,7 +360,8 @@ def _long(rows: DataFrame, keys: StructType, files: tuple[str, str], size: int,
     fragments = cut_lineage(parts.mapInArrow(read, fragment), "fragments")
     most = (fragments.agg(F.max("part")).first()[0] or 0) + 1
     while most > 1:
-        fragments = fragments.groupBy("row", F.floor(F.col("part") / fan).alias("_step")).applyInArrow(compose, fragment)
+        steps = fragments.groupBy("row", F.expr(f"part div {fan}").alias("_step"))
+        fragments = cut_lineage(steps.applyInArrow(compose, fragment), "fragments")  # one Python worker a task
         most = -(-most // fan)
     found = fragments.mapInArrow(finish, result)
     return found.join(named.drop("_text"), "row").select(*_structure("unit long", keys, RESULT)[0].names)
@@ -339,7 +383,7 @@ def align(
     """
     ship_package(docs.sparkSession)
     files = (ranks_file, model_file)
-    n_b = aligner(*files).n_b
+    n_b = aligner(*files).sizes[1]
     source = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     keys = StructType(source.schema.fields[:-1])
     long = F.coalesce(F.char_length("_text") >= size, F.lit(False))

@@ -112,11 +112,11 @@ def test_ranges_of_one_long_text_compose_in_any_order():
     rng = random.Random(9)
     text = " " + " ".join(rng.choice(["alpha", "été", "слово", "x" * 40, "😀", "1999", "don't", "\n"]) for _ in range(20_000))
     sound, a, b = both.read(text)
-    whole = both.finish(both.fragment(sound, a, b, 0, int(a.ends[-1])))
+    whole = both.groups.finish(both.groups.fragment(sound, a, b, 0, int(a.ends[-1])))
     parts, opened = [], 0
     for low, high, start, region in alignment.ranges(text, 500):
         sound, a, b = both.read(region)
-        parts.append(both.fragment(sound, *(alignment.Tokens(t.ids, t.ends + start) for t in (a, b)), low, high))
+        parts.append(both.groups.fragment(sound, *(alignment.Tokens(t.ids, t.ends + start) for t in (a, b)), low, high))
         opened += bool(parts[-1]["before_a"].size or parts[-1]["after_a"].size)
     assert len(parts) > 100 and opened > 50
 
@@ -124,13 +124,13 @@ def test_ranges_of_one_long_text_compose_in_any_order():
         if len(f) == 1:
             return f[0]
         at = rng.randint(1, len(f) - 1)
-        return both.compose(tree(f[:at]), tree(f[at:]))
+        return both.groups.compose(tree(f[:at]), tree(f[at:]))
 
-    for f in (reduce(both.compose, parts), tree(parts), tree(parts)):
-        got = both.finish(f)
+    for f in (reduce(both.groups.compose, parts), tree(parts), tree(parts)):
+        got = both.groups.finish(f)
         assert all(np.array_equal(got[k], whole[k]) for k in whole)
-    unsound = both.compose(both.compose(parts[0], alignment.UNSOUND), parts[2])
-    assert both.finish(unsound)["n_a"] == 0
+    unsound = both.groups.compose(both.groups.compose(parts[0], alignment.UNSOUND), parts[2])
+    assert both.groups.finish(unsound)["n_a"] == 0
 
 
 def test_ranges_without_safe_places():
