@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,15 +24,6 @@ def locked_weight(weight: Column | str, locked: Column | str) -> Column:
     return F.when(lock, w * 2).otherwise(w)
 
 
-def is_community(label: Column | str, names: Iterable[str]) -> Column:
-    """Lock flag: the label is one of the community names (never null)."""
-    names = list(names)
-    lab = col_or_name(label)
-    if not names:
-        return F.lit(False)
-    return F.coalesce(lab.isin(names), F.lit(False))
-
-
 def best_label(label: Column | str, score: Column | str) -> Column:
     """Aggregate: label with the highest score, ties to the smallest label."""
     lab, sc = col_or_name(label), col_or_name(score)

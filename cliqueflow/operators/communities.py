@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_path, materialize, path_bytes
-from .layout import SaltedLayout
-from .propagation import BROADCAST_MAX_BYTES, BROADCAST_MAX_VERTICES, Communities, community_names
+from .layout import SaltedLayout, bucketed_copy, drop_bucketed
+from .propagation import BROADCAST_MAX_BYTES, BROADCAST_MAX_VERTICES, Communities, community_names, propagation_edges
 
 
 def community_members_join(labelled: DataFrame, users: DataFrame, communities: Communities) -> DataFrame:
@@ -15,8 +17,8 @@ def community_members_join(labelled: DataFrame, users: DataFrame, communities: C
 
     Labelled ids without a user row are not members (inner join).
     """
-    names = community_names(communities)
-    lab = labelled.select("id", "label").filter(F.col("label").isin(names))
+    names = community_names(labelled.sparkSession, communities)
+    lab = labelled.select("id", "label").join(names, F.col("label") == F.col("name"), "left_semi")
     return lab.join(users.select("id", "screen_name", "followers_count"), "id")
 
 
@@ -72,9 +74,11 @@ def community_pagerank(
     communities: Communities,
     iterations: int = 5,
     damping: float = 0.85,
+    tolerance: float | None = None,
     broadcast_max_vertices: int = BROADCAST_MAX_VERTICES,
     buckets: int | None = None,
     hot_threshold: int | None = None,
+    history: list[float] | None = None,
 ) -> DataFrame:
     """(community, id, rank): weighted PageRank inside each community.
 
@@ -82,85 +86,94 @@ def community_pagerank(
     ``src -> dst`` (a retweeter endorses the author), each edge weighted by
     its count over the source's in-community out-weight. A vertex with no
     in-community out-edge spreads its rank evenly over its community. Ranks
-    of a community sum to 1. Per-community constants (size, sink mass) are
-    one row per listed community and are broadcast. The ranks are broadcast
-    to the edge shares while the member count is at most
-    ``broadcast_max_vertices``; above it the shares are stored bucketed on
-    ``src`` (hot sources salted) and each round shuffles only the ranks.
+    of a community sum to 1.
+
+    With ``tolerance`` the rounds end as soon as the absolute changes of all
+    ranks add up to no more than it (so those of each community do, too);
+    ``iterations`` bounds them. The sum is observed in the write of a round and
+    added to ``history``, if that is given.
+
+    Members are broadcast to the edges while there are at most
+    ``broadcast_max_vertices`` of them. Above that the edges meet both ends'
+    communities through salted bucketed layouts, ranks are stored bucketed on
+    ``id``, and a round shuffles only ranks and partially summed inflows.
     """
     spark = labelled.sparkSession
-    names = community_names(communities)
-    members = labelled.select("id", F.col("label").alias("community")).filter(F.col("community").isin(names))
+    names = community_names(spark, communities)
+    few = names.count() <= BROADCAST_MAX_VERTICES  # what has a row for each community is as small
 
-    src_m = members.select(F.col("id").alias("src"), F.col("community"))
+    def constants(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
+
+    counted = Observation("members")
+    own = labelled.select("id", F.col("label").alias("community")).join(names, F.col("community") == F.col("name"), "left_semi")
+    members, members_path = materialize(own.observe(counted, F.count(F.lit(1)).alias("n")), "pagerank-members")
+    src_m = members.select(F.col("id").alias("src"), "community")
     dst_m = members.select(F.col("id").alias("dst"), F.col("community").alias("dst_community"))
-    inner = (
-        edges.select("src", "dst", "weight")
-        .join(src_m, "src")
-        .join(dst_m, "dst")
-        .filter(F.col("community") == F.col("dst_community"))
-        .select("src", "dst", "community", F.col("weight").cast("double").alias("weight"))
-    )
-    # the in-community edges feed both the out-weights and the shares: store them once
-    inner, inner_path = materialize(inner, "pagerank-edges")
-    out_w = inner.groupBy("src").agg(F.sum("weight").alias("out_weight"))
-    # range-clustered on (dst, src): each round's partial inflow sums fold a destination's shares
-    shares, shares_path = materialize(
-        inner.join(out_w, "src")
-        .select("src", "dst", (F.col("weight") / F.col("out_weight")).alias("share"))
-        .repartitionByRange("dst", "src"),
-        "pagerank-shares",
-    )
-    drop_path(spark, inner_path)
+    links = propagation_edges(edges).withColumn("weight", F.col("weight").cast("double"))
+    small = counted.get["n"] <= broadcast_max_vertices and path_bytes(spark, members_path) <= BROADCAST_MAX_BYTES
+    same = F.col("community") == F.col("dst_community")
+    if small:
+        both = links.join(F.broadcast(src_m), "src").join(F.broadcast(dst_m), "dst").filter(same)
+        # range-clustered on (dst, src): a round's partial inflow sums fold a destination's edges
+        inner, inner_path = materialize(both.select("src", "dst", "weight").repartitionByRange("dst", "src"), "pagerank-edges")
+    else:
+        by_dst = SaltedLayout(links, "dst", "src", buckets, hot_threshold, tag="pagerank-in")
+        layout = SaltedLayout(by_dst.join(dst_m, "dst"), "src", "dst", by_dst.buckets, hot_threshold, tag="pagerank-out")
+        by_dst.drop()
+
+    def meet(side: DataFrame) -> DataFrame:
+        """In-community edges with what ``side`` (src, community, ...) says of their source."""
+        return inner.join(F.broadcast(side), "src") if small else layout.join(side, "src").filter(same)
+
+    def store(rows: DataFrame, tag: str) -> tuple[DataFrame, Callable[[], None]]:
+        if small:
+            table, path = materialize(rows, tag)
+            return table, lambda: drop_path(spark, path)
+        table, name, path = bucketed_copy(rows, "id", layout.buckets, tag)
+        return table, lambda: drop_bucketed(spark, name, path)
+
+    out_weight = meet(src_m).groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("out_weight"))
     sizes = members.groupBy("community").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    has_out = shares.select(F.col("src").alias("id")).distinct().withColumn("has_out", F.lit(True))
-    nodes, nodes_path = materialize(
-        members.join(F.broadcast(sizes), "community")
-        .join(has_out, "id", "left")
-        .select("id", "community", "n", F.coalesce("has_out", F.lit(False)).alias("has_out")),
-        "pagerank-nodes",
-    )
-    ranks, ranks_path = materialize(
-        nodes.select("id", "community", "has_out", (F.lit(1.0) / F.col("n")).alias("rank")), "pagerank-round0"
-    )
-    layout = None
-    if ranks.count() > broadcast_max_vertices or path_bytes(spark, ranks_path) > BROADCAST_MAX_BYTES:
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        layout = SaltedLayout(shares, "src", "dst", buckets, hot_threshold, tag="pagerank-shares")
-
-    def with_rank(r: DataFrame) -> DataFrame:
-        src_rank = r.select(F.col("id").alias("src"), "rank")
-        return layout.join(src_rank, "src") if layout else shares.join(F.broadcast(src_rank), "src")
-
-    for i in range(1, iterations + 1):
-        inflow = (
-            with_rank(ranks)
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("inflow"))
-        )
-        sink_mass = ranks.filter(~F.col("has_out")).groupBy("community").agg(F.sum("rank").alias("sink_mass"))
+    start = members.join(constants(sizes), "community").join(out_weight, "id", "left")
+    ranks, drop = store(start.select("id", "community", "n", "out_weight", (F.lit(1.0) / F.col("n")).alias("rank")), "pagerank-round")
+    for _ in range(iterations):
+        shares = ranks.filter("out_weight is not null")
+        shares = shares.select(F.col("id").alias("src"), "community", (F.col("rank") / F.col("out_weight")).alias("share"))
+        inflow = meet(shares).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("share") * F.col("weight")).alias("inflow"))
+        sink_mass = ranks.filter("out_weight is null").groupBy("community").agg(F.sum("rank").alias("sink_mass"))
+        spread = F.coalesce("inflow", F.lit(0.0)) + F.coalesce("sink_mass", F.lit(0.0)) / F.col("n")
         nxt = (
-            nodes.join(inflow, "id", "left")
-            .join(F.broadcast(sink_mass), "community", "left")
-            .select(
-                "id",
-                "community",
-                "has_out",
-                (
-                    (1.0 - damping) / F.col("n")
-                    + damping
-                    * (F.coalesce("inflow", F.lit(0.0)) + F.coalesce("sink_mass", F.lit(0.0)) / F.col("n"))
-                ).alias("rank"),
-            )
+            ranks.withColumnRenamed("rank", "old_rank")
+            .join(inflow, "id", "left")
+            .join(constants(sink_mass), "community", "left")
+            .withColumn("rank", (1.0 - damping) / F.col("n") + damping * spread)
         )
-        new_ranks, new_path = materialize(nxt, f"pagerank-round{i}")
-        drop_path(spark, ranks_path)
-        ranks, ranks_path = new_ranks, new_path
-    if layout:
+        seen = Observation("pagerank-round")
+        nxt = nxt.observe(seen, F.coalesce(F.sum(F.abs(F.col("rank") - F.col("old_rank"))), F.lit(0.0)).alias("change"))
+        new_ranks, new_drop = store(nxt.select("id", "community", "n", "out_weight", "rank"), "pagerank-round")
+        drop()
+        ranks, drop = new_ranks, new_drop
+        change = seen.get["change"]
+        if history is not None:
+            history.append(change)
+        if tolerance is not None and change <= tolerance:
+            break
+    if small:
+        drop_path(spark, inner_path)
+        out = ranks
+    else:
+        out = cut_lineage(ranks, "pageranks")
+        drop()
         layout.drop()
-    drop_path(spark, shares_path)
-    drop_path(spark, nodes_path)
-    return ranks.select("community", "id", "rank")
+    drop_path(spark, members_path)
+    return out.select("community", "id", "rank")
+
+
+def relative_ranks(ranks: DataFrame) -> DataFrame:
+    """Ranks as multiples of their community's mean rank, to nine places: they do not shrink as communities grow."""
+    sizes = ranks.groupBy("community").agg(F.count(F.lit(1)).alias("n"))
+    return ranks.join(sizes, "community").select("community", "id", F.round(F.col("rank") * F.col("n"), 9).alias("rank"))
 
 
 def pagerank_leaders(ranks: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:

@@ -18,7 +18,24 @@ from pyspark.sql import functions as F
 
 from ..session import drop_path, materialize, scratch_path
 
-SALT_SEP = "\u0001"
+#: Rows of one bucket (some tens of MB of two ids and a number).
+BUCKET_ROWS = 4_000_000
+
+
+def bucket_count(spark, rows: int) -> int:
+    """Buckets for a table of ``rows`` rows: one for each core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // BUCKET_ROWS))
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int, name: str, path: str) -> None:
+    """Add ``df`` to the table ``name``, bucketed on ``key`` (made at ``path`` if it does not exist)."""
+    df.repartition(buckets, key).write.mode("append").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+
+
+def bucketed_name(spark, tag: str) -> tuple[str, str]:
+    """A fresh table name and its scratch location."""
+    path = scratch_path(spark, tag)
+    return f"cliqueflow_{tag.replace('-', '_')}_" + path.rsplit("-", 1)[-1], path
 
 
 def bucketed_copy(df: DataFrame, key: str, buckets: int, tag: str = "bucketed") -> tuple[DataFrame, str, str]:
@@ -28,9 +45,8 @@ def bucketed_copy(df: DataFrame, key: str, buckets: int, tag: str = "bucketed")
     repeat heavily use ``SaltedLayout``.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, tag)
-    name = f"cliqueflow_{tag.replace('-', '_')}_" + path.rsplit("-", 1)[-1]
-    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    name, path = bucketed_name(spark, tag)
+    write_bucketed(df, key, buckets, name, path)
     return spark.table(name), name, path
 
 
@@ -40,23 +56,26 @@ def drop_bucketed(spark, name: str, path: str) -> None:
 
 
 class SaltedLayout:
-    """``big`` bucketed on ``key`` (hot keys salted by ``spread_by``)."""
+    """``big`` bucketed on ``key`` and a salt (0, but for hot keys, which are salted by ``spread_by``).
+
+    Without ``buckets`` their number follows the rows of ``big``.
+    """
 
     def __init__(
         self,
         big: DataFrame,
         key: str,
         spread_by: str,
-        buckets: int,
+        buckets: int | None = None,
         threshold: int | None = None,
         tag: str = "layout",
     ):
         spark = big.sparkSession
-        self.spark, self.key, self.buckets = spark, key, buckets
-        if threshold is None:
+        if buckets is None or threshold is None:
             rows = big.count()
-            threshold = max(1000, -(-rows // (buckets * 4)))
-        self.threshold = threshold
+            buckets = buckets or bucket_count(spark, rows)
+            threshold = threshold or max(1000, -(-rows // (buckets * 4)))
+        self.spark, self.key, self.buckets, self.threshold = spark, key, buckets, threshold
         self.hot, self.hot_path = materialize(
             big.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n"))
@@ -64,40 +83,28 @@ class SaltedLayout:
             .select(key, F.ceil(F.col("n") / F.lit(threshold)).cast("int").alias("salts")),
             f"{tag}-hot",
         )
-        keyed = big.join(F.broadcast(self.hot), key, "left").select(
-            *big.columns,
-            F.when(F.col("salts").isNull(), F.col(key))
-            .otherwise(F.concat_ws(SALT_SEP, key, F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("string")))
-            .alias("jkey"),
-        )
-        self.path = scratch_path(spark, f"{tag}-bucketed")
-        self.table = f"cliqueflow_{tag.replace('-', '_')}_" + self.path.rsplit("-", 1)[-1]
+        salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("int"), F.lit(0))
+        salted = big.join(F.broadcast(self.hot), key, "left").select(*big.columns, salt.alias("salt"))
+        self.table, self.path = bucketed_name(spark, f"{tag}-bucketed")
         (
-            keyed.repartition(buckets, "jkey")
-            .write.bucketBy(buckets, "jkey")
-            .sortBy("jkey")
+            salted.repartition(buckets, key, "salt")
+            .write.bucketBy(buckets, key, "salt")
+            .sortBy(key, "salt")
             .option("path", self.path)
             .saveAsTable(self.table)
         )
         self.table_df = spark.table(self.table)
 
     def keyed(self, small: DataFrame, small_key: str) -> DataFrame:
-        """``small`` with a ``jkey`` column; rows of hot keys are repeated once per salt."""
-        hot = F.broadcast(self.hot.select(F.col(self.key).alias(small_key), "salts"))
-        keys = F.when(F.col("salts").isNull(), F.array(small_key)).otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.col("salts") - 1),
-                lambda i: F.concat_ws(SALT_SEP, F.col(small_key), i.cast("string")),
-            )
-        )
-        cols = [c for c in small.columns if c != small_key]
-        return small.join(hot, small_key, "left").select(F.explode(keys).alias("jkey"), *cols)
+        """``small`` by ``key`` and ``salt``; rows of hot keys are repeated once per salt."""
+        salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")
+        named = small.withColumnRenamed(small_key, self.key)
+        return named.join(F.broadcast(self.hot), self.key, "left").select(*named.columns, salts)
 
     def join(self, small: DataFrame, small_key: str) -> DataFrame:
         """Inner join of the stored table with ``small`` on ``key == small_key`` (no shuffle of the big side)."""
-        return self.table_df.join(self.keyed(small, small_key), "jkey").drop("jkey")
+        return self.table_df.join(self.keyed(small, small_key), [self.key, "salt"]).drop("salt")
 
     def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        drop_path(self.spark, self.path)
+        drop_bucketed(self.spark, self.table, self.path)
         drop_path(self.spark, self.hot_path)

@@ -13,9 +13,8 @@ By default a vertex with no out-edge to a surviving vertex leaves the graph
 (``keep_sinks=False``); with ``keep_sinks=True`` it stays with its label.
 
 A round is a join of edges with vertex labels (a broadcast while the vertex
-table is proven small; above that, edges stored once bucketed on a salted
-destination key, so only vertex labels move), two partially aggregated
-group-bys, and a join back on the vertex id. ``propagate`` writes each round
+table is proven small; above that only changes move, see ``frontier``), two
+partially aggregated group-bys, and a join back on the vertex id. ``propagate`` writes each round
 to the shared folder, so lineage never grows and a lost executor costs at
 most one round.
 """
@@ -24,12 +23,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import best_label, is_community, locked_weight
-from ..schemas import VERTEX_SCHEMA
-from ..session import drop_path, materialize, path_bytes, scratch_path
+from ..functions.columns import best_label, locked_weight
+from ..schemas import PRESETS, VERTEX_SCHEMA
+from ..session import cut_lineage, drop_path, materialize, path_bytes, scratch_path
 from .layout import SaltedLayout
 
 # Vertex tables up to this many rows, and up to this many stored (parquet)
@@ -37,29 +37,34 @@ from .layout import SaltedLayout
 # go into a salted bucketed layout and only the vertices are shuffled.
 BROADCAST_MAX_VERTICES = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# A community list is a handful of hand-picked names; more than this is a mistake.
-MAX_COMMUNITIES = 10_000
 
-Communities = DataFrame | Iterable[str] | None
+Communities = DataFrame | Iterable[str] | str | None
 
 
-def community_names(communities: Communities) -> list[str]:
-    """The community list as sorted names. A DataFrame gives its ``name`` (or first) column."""
-    if communities is None:
-        return []
+def community_names(spark: SparkSession, communities: Communities) -> DataFrame:
+    """(name): the communities, each once and never null; any number of them.
+
+    A DataFrame gives its ``name`` (or first) column and is stored, a text
+    names one of the lists of ``schemas.PRESETS``. Either way its size is known
+    to the planner, which broadcasts it as long as it is small.
+    """
     if isinstance(communities, DataFrame):
         col = "name" if "name" in communities.columns else communities.columns[0]
-        rows = (
-            communities.select(F.col(col).cast("string").alias("name"))
-            .filter(F.col("name").isNotNull())
-            .distinct()
-            .limit(MAX_COMMUNITIES + 1)
-            .collect()
-        )
-        if len(rows) > MAX_COMMUNITIES:
-            raise ValueError(f"more than {MAX_COMMUNITIES} community names")
-        return sorted(r["name"] for r in rows)
-    return sorted({str(c) for c in communities})
+        named = communities.select(F.col(col).cast("string").alias("name")).filter(F.col("name").isNotNull())
+        return cut_lineage(named.distinct(), "communities")
+    if isinstance(communities, str):
+        if communities not in PRESETS:
+            raise ValueError(f"unknown list of communities {communities!r}; known: {', '.join(PRESETS)}")
+        communities = PRESETS[communities]
+    names = dict.fromkeys(str(c) for c in communities or ())
+    return spark.createDataFrame(pa.table({"name": pa.array(names, pa.string())}))
+
+
+def with_lock(labelled: DataFrame, names: DataFrame) -> DataFrame:
+    """``labelled`` with ``prelabelled``: its label is a community's name (never null)."""
+    listed = names.select(F.col("name").alias("_community"))
+    met = labelled.join(listed, F.col("label") == F.col("_community"), "left")
+    return met.withColumn("prelabelled", F.col("_community").isNotNull()).drop("_community")
 
 
 def propagation_edges(edges: DataFrame) -> DataFrame:
@@ -85,7 +90,7 @@ class BucketedEdges(SaltedLayout):
     widely referenced author is spread over several buckets.
     """
 
-    def __init__(self, edges: DataFrame, buckets: int, threshold: int | None = None):
+    def __init__(self, edges: DataFrame, buckets: int | None = None, threshold: int | None = None):
         super().__init__(propagation_edges(edges), "dst", "src", buckets, threshold, tag="lpa-edges")
 
     def associations(self, vertices: DataFrame) -> DataFrame:
@@ -141,7 +146,7 @@ def lpa_choose(scores: DataFrame) -> DataFrame:
 def _step(
     vertices: DataFrame,
     edges: EdgeInput,
-    names: list[str],
+    names: DataFrame,
     keep_sinks: bool,
     broadcast_vertices: bool,
     track_changes: bool,
@@ -155,9 +160,7 @@ def _step(
     )
     joined = old.join(best, "id", "left" if keep_sinks else "inner")
     label = F.when(F.col("old_lock"), F.col("old_label")).otherwise(F.coalesce("best", "old_label"))
-    out = joined.select("id", label.alias("label"), "old_label", "old_lock").withColumn(
-        "prelabelled", is_community("label", names)
-    )
+    out = with_lock(joined.select("id", label.alias("label"), "old_label", "old_lock"), names)
     cols = ["id", "label", "prelabelled"]
     if track_changes:
         changed = ~F.col("label").eqNullSafe(F.col("old_label")) | (F.col("prelabelled") != F.col("old_lock"))
@@ -173,7 +176,8 @@ def lpa_step(
     broadcast_vertices: bool = False,
 ) -> DataFrame:
     """One propagation round: (id, label, prelabelled)."""
-    return _step(vertices, edges, community_names(communities), keep_sinks, broadcast_vertices, False)
+    names = community_names(vertices.sparkSession, communities)
+    return _step(vertices, edges, names, keep_sinks, broadcast_vertices, False)
 
 
 def _write_counted(step: DataFrame, path: str) -> dict:
@@ -203,9 +207,9 @@ def propagate(
     """Run ``iterations`` rounds; returns (id, label, prelabelled).
 
     Up to ``broadcast_max_vertices`` vertices, the vertex labels are
-    broadcast to the edges each round. Above it, the edges are stored once in
-    ``edge_buckets`` buckets (hot destinations salted, see ``BucketedEdges``)
-    and each round shuffles only the vertex side into that layout.
+    broadcast to the edges each round. Above it, only what changed moves: see
+    ``frontier.propagate_changes``, which ``edge_buckets`` and
+    ``hot_threshold`` are for.
 
     Each round is written to the shared folder and read back. The write also
     observes the row count and the number of changed rows (no extra job);
@@ -215,23 +219,25 @@ def propagate(
     stored table.
     """
     spark = vertices.sparkSession
-    names = community_names(communities)
+    names = community_names(spark, communities)
     v0 = vertices.select("id", "label", F.coalesce("prelabelled", F.lit(False)).alias("prelabelled"))
     current_path = scratch_path(spark, "lpa-round0")
     n_rows = _write_counted(v0.withColumn("changed", F.lit(False)), current_path)["n"]
     current = spark.read.schema(VERTEX_SCHEMA).parquet(current_path)
 
-    edge_path, layout = None, None
-    edge_input: EdgeInput = propagation_edges(edges)
-    broadcast = n_rows <= broadcast_max_vertices and path_bytes(spark, current_path) <= BROADCAST_MAX_BYTES
-    if not broadcast:
-        buckets = edge_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        layout = edge_input = BucketedEdges(edge_input, buckets, hot_threshold)
-    elif materialize_edges:
+    edge_path = None
+    if n_rows > broadcast_max_vertices or path_bytes(spark, current_path) > BROADCAST_MAX_BYTES:
+        from .frontier import propagate_changes
+
+        out = propagate_changes(current, edges, names, iterations, keep_sinks, edge_buckets, hot_threshold)
+        drop_path(spark, current_path)
+        return out
+    edge_input = propagation_edges(edges)
+    if materialize_edges:
         edge_input, edge_path = materialize(cluster_edges(edge_input), "lpa-edges")
 
     for i in range(1, iterations + 1):
-        step = _step(current, edge_input, names, keep_sinks, broadcast, True)
+        step = _step(current, edge_input, names, keep_sinks, True, True)
         nxt_path = scratch_path(spark, f"lpa-round{i}")
         stats = _write_counted(step, nxt_path)
         unchanged = stats["n"] == n_rows and stats["changed"] == 0
@@ -243,8 +249,6 @@ def propagate(
     if not keep_rounds:
         if edge_path:
             drop_path(spark, edge_path)
-        if layout:
-            layout.drop()
     return current.select("id", "label", "prelabelled")
 
 

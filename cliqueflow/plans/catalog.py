@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import communities as comm
-from ..operators import graph, ingest, links, propagation, serving
+from ..operators import frontier, graph, ingest, links, propagation, serving
 from ..session import cut_lineage, distilled, scratch_path
 from ..sources import files
 from ..sources.social import SocialTables
@@ -76,12 +76,19 @@ def summary(t: SocialTables) -> DataFrame:
     return distilled(t.spark, run, "communities")
 
 
-def pageranks(t: SocialTables) -> DataFrame:
+def labelled_by_changes(t: SocialTables, keep_sinks: bool = False) -> DataFrame:
+    def run() -> DataFrame:
+        return frontier.propagate_changes(*stored_graph(t), seed_communities(t), LPA_ROUNDS, keep_sinks)
+
+    return distilled(t.spark, run, "labelled")
+
+
+def pageranks(t: SocialTables, **options) -> DataFrame:
     def run() -> DataFrame:
         vertices, edges = stored_graph(t)
         names = seed_communities(t)
         lab = propagation.propagate(vertices, edges, names, iterations=LPA_ROUNDS, materialize_edges=False)
-        return comm.community_pagerank(lab, edges, names, iterations=PAGERANK_ROUNDS)
+        return comm.community_pagerank(lab, edges, names, iterations=PAGERANK_ROUNDS, **options)
 
     return distilled(t.spark, run, "pageranks")
 
@@ -197,6 +204,17 @@ def lpa_run10_keep_sinks(t: SocialTables) -> DataFrame:
     return labelled(t, 10, keep_sinks=True)
 
 
+@query
+def lpa_run10_bucketed(t: SocialTables) -> DataFrame:
+    """Ten rounds as large graphs run them: stored buckets, and only changes move."""
+    return labelled_by_changes(t)
+
+
+@query
+def lpa_run10_keep_sinks_bucketed(t: SocialTables) -> DataFrame:
+    return labelled_by_changes(t, keep_sinks=True)
+
+
 @query
 def labelled_output(t: SocialTables) -> DataFrame:
     """The stored stage table: written as parquet and read back."""
@@ -239,6 +257,19 @@ def pagerank_top10(t: SocialTables) -> DataFrame:
     return comm.pagerank_leaders(pageranks(t).withColumn("rank", F.round("rank", 6)), t.users, TOP_K)
 
 
+@query
+def community_pagerank_bucketed(t: SocialTables) -> DataFrame:
+    """PageRank as large graphs run it: salted bucketed edges, ranks bucketed on id."""
+    return pageranks(t, broadcast_max_vertices=0).select("community", "id", F.round("rank", 6).alias("rank"))
+
+
+@query
+def pagerank_leaders(t: SocialTables) -> DataFrame:
+    """Influencers by unrounded PageRank, shown as multiples of the community's mean rank."""
+    best = comm.pagerank_leaders(comm.relative_ranks(pageranks(t)), t.users, TOP_K)
+    return best.withColumn("rank", F.round("rank", 6))
+
+
 @query
 def kv_users(t: SocialTables) -> DataFrame:
     path = scratch_path(t.spark, "kv-user")

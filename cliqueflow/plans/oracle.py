@@ -315,12 +315,27 @@ oracle("lpa_step_keep_sinks", f"SELECT id, label, prelabelled FROM {lpa_chain(1,
 oracle("lpa_run3", f"SELECT id, label, prelabelled FROM {lpa_chain(3)}")
 oracle("lpa_run10", f"SELECT id, label, prelabelled FROM {LPA_D10}")
 oracle("lpa_run10_keep_sinks", f"SELECT id, label, prelabelled FROM {LPA_S10}")
+oracle("lpa_run10_bucketed", f"SELECT id, label, prelabelled FROM {LPA_D10}")
+oracle("lpa_run10_keep_sinks_bucketed", f"SELECT id, label, prelabelled FROM {LPA_S10}")
 oracle("labelled_output", f"SELECT id, label FROM {LPA_D10}")
 oracle("community_members_join", "SELECT id, label, screen_name, followers_count FROM members")
 oracle("community_size", "SELECT label AS name, CAST(count(*) AS INTEGER) AS size FROM members GROUP BY label")
 oracle("community_top10", "SELECT name, position, id, screen_name, followers_count FROM top10")
 oracle("communities", "SELECT name, influencers, size FROM summary")
 oracle("community_pagerank", f"SELECT community, id, round(rank, 6) AS rank FROM {PR5}")
+oracle("community_pagerank_bucketed", f"SELECT community, id, round(rank, 6) AS rank FROM {PR5}")
+oracle(
+    "pagerank_leaders",
+    f"""
+    SELECT t.community AS name, t.position, t.id, u.screen_name, round(t.rank, 6) AS rank
+    FROM (SELECT community, id, rank,
+                 CAST(row_number() OVER (PARTITION BY community ORDER BY rank DESC, id ASC) AS INTEGER) AS position
+          FROM (SELECT r.community, r.id, round(r.rank * z.n, 9) AS rank
+                FROM {PR5} r JOIN pr_sizes z ON r.community = z.community) r) t
+    LEFT JOIN users u ON t.id = u.id
+    WHERE t.position <= 10
+    """,
+)
 oracle(
     "pagerank_top10",
     f"""

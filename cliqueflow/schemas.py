@@ -75,12 +75,13 @@ COMMUNITY_SCHEMA = StructType(
     ]
 )
 
-# The community names the original job hard-codes (used when a
-# caller asks for that list explicitly; the default list is the seed labels).
+# The community names the original job hard-codes (the default list is the seed labels).
 REFERENCE_COMMUNITIES = (
     "Bernie", "Biden", "Buttigieg", "Warren", "Trump", "Clinton", "Leftist Media", "CNN", "MSNBC",
     "FOX", "Libertarian", "IDW", "AltRight", "BJP", "Tech", "Sports", "Joe Rogan",
 )
+#: Lists of communities that can be asked for by name.
+PRESETS = {"politics": REFERENCE_COMMUNITIES}
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from cliqueflow.operators import communities as comm
 from cliqueflow.operators import serving
@@ -116,3 +118,28 @@ def test_sizes_sum_to_labelled_members_with_a_user(spark):
     expect = lab.filter(F.col("label").isin(listed)).join(t.users.select("id"), "id").count()
     assert total == expect
     assert all(len(r["influencers"]) <= 10 for r in summary.collect())
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6), st.integers(1, 9)), min_size=1, max_size=14, unique_by=lambda e: e[:2]), st.booleans())
+def test_pagerank_converges_to_the_fixed_point(spark, raw, large):
+    ids = "abcdefg"
+    lab = labelled(spark, [(v, "T" if v < "e" else "B") for v in ids])
+    e = [(ids[a], ids[b], w) for a, b, w in raw]
+    changes = []
+    sizes = {"broadcast_max_vertices": 0, "buckets": 2, "hot_threshold": 1} if large else {}
+    out = comm.community_pagerank(lab, edges(spark, e), ["T", "B"], iterations=8 if large else 300, tolerance=1e-11, history=changes, **sizes)
+    ranks = {r["id"]: r["rank"] for r in out.collect()}
+    assert changes[-1] <= 1e-11 or len(changes) == 8
+    for part in ("abcd", "efg"):
+        want = brute_pagerank(part, [x for x in e if x[0] in part and x[1] in part], len(changes))
+        assert all(ranks[v] == pytest.approx(w, abs=1e-9) for v, w in want.items())
+
+
+def test_relative_ranks_do_not_tie_in_large_communities(spark):
+    n = 3_000_000
+    ranks = spark.createDataFrame([("T", "a", 1.2e-7), ("T", "b", 1.3e-7)], "community string, id string, rank double")
+    many = spark.range(n - 2).selectExpr("'T' AS community", "concat('z', id) AS id", "1e-8D AS rank")
+    us = users(spark, [("a", "alice", 1), ("b", "bob", 1)])
+    best = comm.pagerank_leaders(comm.relative_ranks(ranks.unionByName(many)), us, k=2)
+    assert rows(best, "position", "id") == [(1, "b"), (2, "a")]

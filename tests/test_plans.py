@@ -3,8 +3,13 @@
 import contextlib
 import io
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from cliqueflow.operators import communities as comm
-from cliqueflow.operators import graph, ingest, propagation, serving
+from cliqueflow.operators import frontier, graph, ingest, serving
+from cliqueflow.operators import propagation as P
+from cliqueflow.operators.layout import drop_bucketed
 from cliqueflow.sources.social import SocialTables
 from conftest import edges, vertices
 
@@ -41,7 +46,7 @@ def test_aggregates_are_partial_before_shuffle(spark):
     e = plan(graph.build_edges(ingest.gather_references(t.tweets)))
     assert before_first_exchange(e, "partial_count")
     v, ed = vertices(spark, "a b c"), edges(spark, [("a", "b", 1)])
-    s = plan(propagation._step(v, ed, ["X"], False, False, False))
+    s = plan(P._step(v, ed, P.community_names(spark, ["X"]), False, False, False))
     assert "partial_sum" in s and "partial_min_by" in s
 
 
@@ -50,8 +55,8 @@ def test_vertex_broadcast_only_when_asked(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastExchange" not in plan(propagation._step(v, e, ["X"], False, False, False))
-        assert "BroadcastExchange" in plan(propagation._step(v, e, ["X"], False, True, False))
+        assert "BroadcastExchange" not in plan(P._step(v, e, P.community_names(spark, ["X"]), False, False, False))
+        assert "BroadcastExchange" in plan(P._step(v, e, P.community_names(spark, ["X"]), False, True, False))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
@@ -66,7 +71,7 @@ def test_scans_prune_columns_and_push_filters(spark):
 def test_no_python_evaluation_in_operators(spark):
     t = SocialTables(spark, SF)
     v, e = vertices(spark, "a b"), edges(spark, [("a", "b", 1)])
-    for df in (ingest.clean_users(t.tweets), propagation.lpa_step(v, e, ["X"]),
+    for df in (ingest.clean_users(t.tweets), P.lpa_step(v, e, ["X"]),
                serving.reach_by_community(serving.retweet_events(t.tweets), v.select("id", "label"))):
         text = plan(df)
         assert "EvalPython" not in text and "PythonUDF" not in text
@@ -74,5 +79,34 @@ def test_no_python_evaluation_in_operators(spark):
 
 def test_stored_edges_are_range_clustered(spark):
     e = edges(spark, [("a", "b", 1), ("a", "c", 2), ("b", "c", 1)])
-    text = plan(propagation.cluster_edges(e))
+    text = plan(P.cluster_edges(e))
     assert "rangepartitioning(src" in text and "dst" in text
+
+
+def test_rounds_by_changes_shuffle_changes_only(spark):
+    v, e = vertices(spark, "a b c:X*"), edges(spark, [("a", "b", 1), ("b", "c", 2), ("c", "a", 1)])
+    layout = P.BucketedEdges(e, 3, 1)
+    names = F.broadcast(P.community_names(spark, ["X"]))  # as its size would have it, but for the setting below
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    now, *v_table = frontier._store(v, "id", 3, "plan-vertices")
+    scored = P.lpa_associations(now, layout).selectExpr("src", "label", "weight AS score", "1L AS n")
+    scores, *s_table = frontier._store(scored, "src", 3, "plan-scores")
+    try:
+        after = frontier.next_vertices(now, scores, names, False)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        # group-bys, the join back and the write need no exchange
+        text = plan(after.repartition(3, "id"))
+        assert "Exchange hashpartitioning" not in text and text.count("Bucketed: true") == 2, text
+        text = plan(frontier.folded(scores, now, False).repartition(3, "src"))
+        assert "Exchange" not in text, text
+        # the edges stay where they are: changed vertices go to them, summed differences to the sources
+        moved = frontier.differences(after, layout, Observation())
+        below = plan(moved).split("SortMergeJoin")
+        assert "partial_sum" in below[0] and "cliqueflow_lpa_edges" in plan(moved)
+        edge_side = plan(moved)[plan(moved).index("cliqueflow_lpa_edges"):]
+        assert "Bucketed: true" in edge_side.splitlines()[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        layout.drop()
+        for table in (v_table, s_table):
+            drop_bucketed(spark, *table)

@@ -103,10 +103,23 @@ def test_labels_come_from_ids_or_seeds_and_locks_hold(spark):
             assert out[vid] == (lab, True)
 
 
-def test_duplicate_community_frame_is_fine(spark):
-    comms = spark.createDataFrame([("Trump",), ("Trump",), ("Biden",)], "name string")
-    assert P.community_names(comms) == ["Biden", "Trump"]
-    assert P.community_names(None) == []
+def test_communities_are_a_relation(spark):
+    comms = spark.createDataFrame([("Trump",), ("Trump",), ("Biden",), (None,)], "name string")
+    assert rows(P.community_names(spark, comms)) == [("Biden",), ("Trump",)]
+    assert rows(P.community_names(spark, None)) == []
+    assert rows(P.community_names(spark, ["b", "a", "b"])) == [("a",), ("b",)]
+    assert P.community_names(spark, "politics").count() == 17
+    with pytest.raises(ValueError, match="unknown list"):
+        P.community_names(spark, "nobody")
+
+
+@pytest.mark.parametrize("limit", [P.BROADCAST_MAX_VERTICES, 0])
+def test_twenty_thousand_communities(spark, limit):
+    names = spark.range(20_000).selectExpr("concat('c', id) AS name")
+    v = vertices(spark, "a:c19999* b:other* x")
+    e = edges(spark, [("x", "a", 1), ("a", "b", 1), ("b", "a", 1)])
+    out = P.propagate(v, e, names, iterations=2, broadcast_max_vertices=limit, edge_buckets=3)
+    assert labels(out) == {"x": ("c19999", True), "a": ("c19999", True), "b": ("c19999", True)}
 
 
 def test_labelled_output_drops_lock(spark):

@@ -3,7 +3,10 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from cliqueflow.operators import frontier
 from cliqueflow.operators import propagation as P
+from cliqueflow.plans import catalog
+from cliqueflow.sources.social import SocialTables
 from conftest import edges, vertices
 
 COMMS = ["A", "B"]
@@ -57,3 +60,32 @@ def test_random_graphs_match_brute_force(spark, g):
         want = brute_round(want, es, COMMS, keep_sinks)
     got = P.propagate(vertices(spark, spec), edges(spark, es), COMMS, iterations=rounds, keep_sinks=keep_sinks)
     assert {r["id"]: (r["label"], r["prelabelled"]) for r in got.collect()} == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(graphs)
+def test_rounds_by_changes_match_brute_force(spark, g):
+    ids, seeds, raw_edges, keep_sinks, rounds = g
+    # every second seed is not locked at first, so locks are both lost and gained
+    verts = {v: ((s or v), bool(s) and i % 2 == 0) for i, (v, s) in enumerate(zip(ids, seeds))}
+    es = [(ids[a], ids[b], w) for a, b, w in raw_edges]
+    v = spark.createDataFrame([(k, *x) for k, x in verts.items()], "id string, label string, prelabelled boolean")
+    want, history = [verts], []
+    for _ in range(rounds):
+        want.append(brute_round(want[-1], es, COMMS, keep_sinks))
+    got = frontier.propagate_changes(v, edges(spark, es), COMMS, rounds, keep_sinks, buckets=2, hot_threshold=1, history=history)
+    assert {r["id"]: (r["label"], r["prelabelled"]) for r in got.collect()} == want[-1]
+    for h, old, new in zip(history, want, want[1:]):
+        moved = {k for k in old if old[k] != new.get(k)}
+        assert (h["rows"], h["changed"]) == (len(new), len(moved))
+        if h["round"] < rounds:
+            assert h["edges"] == sum(d in moved for _, d, _ in es)
+
+
+def test_fewer_edges_take_part_from_round_to_round(spark):
+    t = SocialTables(spark, "/root/testdata/sf0.001")
+    v, e = catalog.stored_graph(t)
+    history = []
+    frontier.propagate_changes(v, e, catalog.seed_communities(t), 10, keep_sinks=True, history=history)
+    met = [h["edges"] for h in history]
+    assert len(met) > 2 and met[0] > 0 and all(a >= b for a, b in zip(met[1:], met[2:])) and met[-1] < met[0]
