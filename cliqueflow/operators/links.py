@@ -9,22 +9,34 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import archive_file_name, decode_entities, replace_first_dot, resolve_href
 
-# What holds no live markup, and the href of an anchor tag: quoted either way or bare, after any other attributes.
-HIDDEN_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-HREF_PATTERN = r"""(?i)<a(?=\s)(?:[^>"']*(?:"[^"]*"|'[^']*'))*?[^>"']*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# One attribute: a name and perhaps a value, quoted either way or bare. All repetitions are possessive, so a tag is
+# read once, in constant stack, whatever it holds; what is still open at the end of the page ends there.
+ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>"'][^\s>]*+)?+)?+"""
+INSIDE = rf"""(?:[\s/]++|{ATTRIBUTE})*+"""
+# The tokens of a page; group 1 is a closed anchor tag. Comments, scripts and styles are one token each.
+TOKEN_PATTERN = (
+    r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))|<(?:[!?]|/[^a-z])[^>]*+(?:>|\z)"
+    r"|<script(?=[\s/>]).*?(?:</script(?=[\s/>])|\z)|<style(?=[\s/>]).*?(?:</style(?=[\s/>])|\z)"
+    rf"|(<a(?=[\s/]){INSIDE}>)|</?[a-z]{INSIDE}(?:>|\z)"
+)
+# The value of a tag's first href, quotes included.
+HREF_PATTERN = rf"""(?is)^<a(?:[\s/]++|(?!href[\s/>=]){ATTRIBUTE})*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 # The archive kinds the original scraper keeps, matched on the last three characters of the href.
 ARCHIVE_KINDS = ("zst", "tar")
 
 
 def page_hrefs(pages: DataFrame) -> DataFrame:
-    """(page_id, url, href): every anchor href of every page, in page order of appearance, entities decoded.
+    """(page_id, url, href): the href of every anchor tag of every page, in page order of appearance, entities decoded.
 
-    Comments, scripts and styles hold no anchors.
+    The page is cut into tokens first, so what stands in comments, scripts,
+    styles or another tag's attributes is no anchor; a tag that the page does
+    not close is none either. Of several hrefs of a tag the first counts; one
+    without a value is no link.
     """
-    live = F.regexp_replace("html", HIDDEN_PATTERN, "")
-    found = F.explode(F.regexp_extract_all(live, F.lit(HREF_PATTERN), F.lit(1)))
-    quoted = pages.select("page_id", "url", found.alias("href"))
-    return quoted.withColumn("href", decode_entities(F.regexp_replace("href", r"""^["']|["']$""", "")))
+    tags = F.filter(F.regexp_extract_all("html", F.lit(TOKEN_PATTERN), F.lit(1)), lambda tag: tag != "")
+    anchors = pages.select("page_id", "url", F.explode(tags).alias("tag"))
+    found = anchors.select("page_id", "url", F.regexp_extract("tag", HREF_PATTERN, 1).alias("href")).filter("href != ''")
+    return found.withColumn("href", decode_entities(F.regexp_replace("href", r"""(?s)^"(.*)"$|^'(.*)'$""", "$1$2")))
 
 
 def page_links(pages: DataFrame, kinds: Iterable[str] | None = None) -> DataFrame:

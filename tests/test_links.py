@@ -1,5 +1,8 @@
 """Archive link discovery (H13, H14)."""
 
+import random
+import time
+from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 from cliqueflow.functions.columns import resolve_href
@@ -48,3 +51,45 @@ def test_resolution_of_every_kind_of_reference(spark):
     df = spark.createDataFrame(cases, "url string, href string")
     got = [r["link"] for r in df.select(resolve_href("url", "href").alias("link")).collect()]
     assert got == [urljoin(url.split("#")[0] if not href else url, href) for url, href in cases]
+
+
+def found(spark, *pages):
+    df = spark.createDataFrame([(i, "http://h.x/p", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    out = [[] for _ in pages]
+    for r in links.page_hrefs(df).collect():
+        out[r.page_id].append(r.href)
+    return out
+
+
+def test_hostile_pages_take_linear_time(spark):
+    found(spark, "<a href=x>")  # plan and compile first
+    pages = [
+        "<a " + 'b="c" ' * 100_000 + "href=x>", "<a x " * 100_000, '<a x="' * 100_001 + "y", "<!--" * 100_000, "<script>" * 100_000,
+        "<a " + "x=" * 100_000, "<a" + " " * 200_000 + "b" + " " * 200_000 + "href=q>", "</" * 100_000, "<a href='" + "y" * 500_000 + "'>",
+    ]
+    for page in pages:
+        began = time.perf_counter()
+        found(spark, page)
+        assert time.perf_counter() - began < 1.5, page[:20]
+    assert found(spark, pages[0], pages[6], pages[1]) == [["x"], ["q"], []]
+
+
+class Anchors(HTMLParser):
+    def __init__(self, page):
+        super().__init__()
+        self.hrefs = []
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        first = dict(reversed(attrs))
+        if tag == "a" and first.get("href"):
+            self.hrefs.append(first["href"])
+
+
+def test_anchors_equal_a_parser(spark):
+    rng = random.Random(4)
+    parts = ["<a ", "<a\n", "<A ", "<b ", "href=", "HREF = ", "x", "'q w'", '"r>s"', '"t"href=', ">", "/>", " ", "data-href='n'", "title", "text", "</a>", "<abbr href=z>", "&amp;"]
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 25))) + " end>" for _ in range(400)]
+    pages += ["<!-- <a href=c> --><a href=d>", "<script>'<a href=s>'</script><a href=t>", "<style><a href=u></style>", "<img alt='<a href=v>'><a href=w>", "<a href=1 href=2>", "<p <a href=k>"]
+    for page, got in zip(pages, found(spark, *pages)):
+        assert got == Anchors(page).hrefs, page
