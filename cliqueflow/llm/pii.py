@@ -252,6 +252,10 @@ NEEDS = {
 }
 
 
+#: What ``find_pii`` adds; a column of that name is replaced.
+ADDED = ("_spans",)
+
+
 def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus ``_spans``: array<struct<s, e, k, score>> by start, then kind."""
     body = F.coalesce(F.col(text), F.lit(""))

@@ -6,8 +6,9 @@ conjunctions by sequential covering (grow on two thirds by information gain,
 prune on the rest); ``verdict`` turns the list into one conditional expression.
 
 Defined cases: a null or empty text has no words, fails the base rule and is
-not kept; repeated rows are each judged; other columns pass through unchanged;
-an empty label table gives an empty rule list (the base rule alone decides).
+not kept; repeated rows are each judged; other columns pass through unchanged,
+but for those with a name in ``ADDED``, which are replaced; an empty label
+table gives an empty rule list (the base rule alone decides).
 Windows are compared by the 64-bit hash of their eight words.
 """
 
@@ -19,6 +20,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .columns import free_name
+
+#: What ``judge`` adds.
+ADDED = ("_stats", "_base_failed", "_kept")
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 SPACE = r"[\x09-\x0D\x20]+"
@@ -82,8 +88,9 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``_stats``: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct."""
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda s: s.rlike(r"[^\x09-\x0D\x20]"))
-    with_words = docs.withColumn("_words", words_of(F.col(text))).withColumn("_lines", lines)
-    w, lines = F.col("_words"), F.col("_lines")
+    held = [free_name(docs.columns, c) for c in ("_words", "_lines")]
+    with_words = docs.withColumn(held[0], words_of(F.col(text))).withColumn(held[1], lines)
+    w, lines = F.col(held[0]), F.col(held[1])
     return with_words.withColumn(
         "_stats",
         F.struct(
@@ -95,7 +102,7 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
             repeated_words(w).alias("n_repeat_words"),
             F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
         ),
-    ).drop("_words", "_lines")
+    ).drop(*held)
 
 
 def features(stats: Column) -> dict[str, Column]:
@@ -213,7 +220,8 @@ def learn_rules(
         .limit(max_labelled)
     )
     texts = docs.select(F.col(key).alias("_k"), F.col(text).alias("_text"))
-    joined = texts.join(F.broadcast(chosen), "_k")  # max_labelled rows of two numbers
+    # stored, so that only texts of the sample are measured
+    joined = cut_lineage(texts.join(F.broadcast(chosen), "_k"), "labelled")  # max_labelled rows of two numbers
     stats = text_stats(joined, "_text").filter(~base_failed(F.col("_stats")))
     feats = features(F.col("_stats"))
     seen = stats.select("_k", "_bad", *[c.alias(k) for k, c in feats.items()]).orderBy(F.xxhash64("_k"), "_k", "_bad").limit(2 * max_labelled).collect()
