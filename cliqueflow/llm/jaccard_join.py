@@ -190,13 +190,15 @@ def signatures(sets: Sets, rows: np.ndarray, percent: int) -> tuple[np.ndarray,
     for b in np.unique(band[sizes >= first]).tolist():
         mine = rows[(band == b) & (sizes >= first)]
         own = sets.sizes[mine]
-        up = mine[own * 100 >= percent * (plans[b].largest + 1)]  # these can meet a set of the band above
-        for config, chosen in ((b, mine), (b + 1, up)):
-            if chosen.size:
-                sig, local, need = band_signatures(sets, chosen, config, plans[config], percent)
-                parts.append((sig, chosen[local], local + at))
-                needs.append(need)
-                at += chosen.size
+        for config in range(b, len(plans)):
+            # those that can meet a set of that band: at the lowest thresholds several bands above their own
+            chosen = mine[own * 100 >= percent * (plans[config - 1].largest + 1)] if config > b else mine
+            if not chosen.size:
+                break
+            sig, local, need = band_signatures(sets, chosen, config, plans[config], percent)
+            parts.append((sig, chosen[local], local + at))
+            needs.append(need)
+            at += chosen.size
     if not parts:
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
     return *(np.concatenate(c) for c in zip(*parts)), np.concatenate(needs)
