@@ -118,7 +118,9 @@ def answer_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for (_, code), own in zip(asked, sums):
             total[code] += own  # words of one question differ
         names = list(numbers)
-        top = sorted(np.argsort(-total, kind="stable")[: 2 * VOCABULARY].tolist(), key=lambda i: (-total[i], names[i]))[:VOCABULARY]
+        # ties go to the smaller word, whatever order the questions came in
+        floor = np.partition(total, total.size - VOCABULARY)[total.size - VOCABULARY] if total.size > VOCABULARY else 0
+        top = sorted(np.flatnonzero(total >= floor).tolist(), key=lambda i: (-total[i], names[i]))[:VOCABULARY]
         head = b"\n".join(b"%d %s" % (total[i], names[i]) for i in top if total[i])
         replies = [(b, squeeze(total[c].astype("<i8").tobytes()), 0, 0) for b, c in asked]
         replies.append((-1, squeeze(head), int((total > 0).sum()), int(total.sum())))
