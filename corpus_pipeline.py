@@ -13,11 +13,15 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cliqueflow.llm import pii
+from cliqueflow.llm import quality_rules as quality
+from cliqueflow.llm import substring_dedup as passages
+from cliqueflow.llm.columns import set_apart
 from cliqueflow.llm.jaccard_join import keep_one
 from cliqueflow.llm.packing import pack, vocabulary_files
 from cliqueflow.llm.pii import find_pii, redacted
 from cliqueflow.llm.quality_rules import judge, learn_rules
-from cliqueflow.llm.substring_dedup import ADDED, dedup_substrings
+from cliqueflow.llm.substring_dedup import dedup_substrings
 from cliqueflow.session import distilled
 
 #: Near duplicates of the second stage: word shingles and least similarity in percent.
@@ -28,7 +32,8 @@ PERCENT = 80
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the learned decision list keep."""
     rules = learn_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judge(docs, rules).filter("_kept").select(*docs.columns)
+    apart, own = set_apart(docs, quality.ADDED)
+    return judge(apart, rules).filter("_kept").select(*apart.columns).withColumnsRenamed(own)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,16 +43,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of windows that a document of a smaller id has; untouched texts stay as they are."""
-    hidden = {c: f"_in_{c}" for c in docs.columns if c.lower() in ADDED}  # columns of documents that bear the operator's names
-    found = dedup_substrings(docs.withColumnsRenamed(hidden))
+    apart, own = set_apart(docs, passages.ADDED)
+    found = dedup_substrings(apart)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    changed = with_text(found, text, [hidden.get(c, c) for c in docs.columns])
-    return changed.withColumnsRenamed({v: k for k, v in hidden.items()})
+    return with_text(found, text, apart.columns).withColumnsRenamed(own)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every span of personal data replaced by its kind."""
-    return with_text(find_pii(docs), redacted(F.col("text"), F.col("_spans")), docs.columns)
+    apart, own = set_apart(docs, pii.ADDED)
+    return with_text(find_pii(apart), redacted(F.col("text"), F.col("_spans")), apart.columns).withColumnsRenamed(own)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
