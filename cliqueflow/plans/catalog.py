@@ -19,6 +19,7 @@ from ..session import cut_lineage, distilled, scratch_path
 from ..sources import files
 from ..sources.social import SocialTables
 from ..streaming.live_reach import read_live_reach, start_live_reach
+from ..streaming.reach_log import ReachLog, start_reach_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -357,3 +358,17 @@ def live_reach(t: SocialTables) -> DataFrame:
     )
     q.awaitTermination()
     return read_live_reach(spark, output)
+
+
+@query
+def live_reach_log(t: SocialTables) -> DataFrame:
+    """The same events through the log of pairs, merged into snapshots every few micro-batches."""
+    spark = t.spark
+    source, output, labels = (scratch_path(spark, f"reach-{x}") for x in ("events", "log", "labels"))
+    events = t.event_retweets.withColumn("day", F.to_date("created_at"))
+    events.write.partitionBy("day").parquet(source)
+    labelled(t).select("id", "label").write.parquet(labels)
+    start_reach_log(spark, source, events.schema, labels, output, max_files_per_trigger=8).awaitTermination()
+    log, lab = ReachLog(spark, output), files.read_stage(spark, labels)
+    log.merge(lab)
+    return log.reach(lab)

@@ -395,12 +395,11 @@ oracle(
     WHERE file_name NOT IN (SELECT DISTINCT split_part(url, '/', -1) FROM pages WHERE url IS NOT NULL)
     """,
 )
-oracle(
-    "live_reach",
-    f"""
+LIVE = f"""
     SELECT r.post_id, l.label, count(DISTINCT r.id) AS size
     FROM (SELECT rt_post_id AS post_id, author_id AS id FROM event_posts WHERE rt_post_id IS NOT NULL) r
     JOIN {LPA_D10} l ON r.id = l.id
     GROUP BY r.post_id, l.label
-    """,
-)
+    """
+oracle("live_reach", LIVE)
+oracle("live_reach_log", LIVE)

@@ -125,6 +125,17 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
+def finished_parts(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` that a finished write left (with its ``_SUCCESS``), sorted; none if there is no ``path``."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+    return sorted(n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch location through the Hadoop file system of the session."""
     jvm = spark.sparkContext._jvm
