@@ -24,11 +24,18 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--keep-sinks", action="store_true")
     p.add_argument("--lang", default="en", help="post language to keep; empty for all")
     p.add_argument("--top-k", type=int, default=10)
-    p.add_argument("--communities", default=None, help="comma-separated names (default: the seed labels)")
+    p.add_argument("--communities", default=None, help="comma-separated names, or preset:NAME (default: the seed labels)")
     p.add_argument("--kv-format", default="parquet")
+    p.add_argument("--kv-mode", default="errorifexists")
     return p.parse_args(argv)
 
 
+def listed(names: str | None) -> list[str] | str | None:
+    if names and names.startswith("preset:"):
+        return names.removeprefix("preset:")
+    return [c for c in names.split(",") if c] if names else None
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName(f"cliqueflow-{args.stage}").getOrCreate()
@@ -38,8 +45,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         iterations=args.iterations,
         keep_sinks=args.keep_sinks,
         top_k=args.top_k,
-        communities=[c for c in args.communities.split(",") if c] if args.communities else None,
+        communities=listed(args.communities),
         kv_format=args.kv_format,
+        kv_mode=args.kv_mode,
     )
     run_stage(spark, args.stage, Paths(args.root), options)
 

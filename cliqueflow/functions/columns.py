@@ -30,6 +30,13 @@ def best_label(label: Column | str, score: Column | str) -> Column:
     return F.min_by(lab, F.struct((-sc).alias("neg_score"), lab.alias("label")))
 
 
+def post_time(created_at: Column | str) -> Column:
+    """Time of a post, from the social format (``Wed Aug 27 13:08:45 +0000 2008``) or an ISO one; null if it is neither."""
+    text = col_or_name(created_at)
+    social = F.try_to_timestamp(F.regexp_replace(text, r"^[A-Za-z]{3} ", ""), F.lit("MMM d HH:mm:ss Z yyyy"))
+    return F.when(text.rlike(r"^[A-Za-z]{3} [A-Za-z]{3} "), social).otherwise(F.try_to_timestamp(text))
+
+
 def key_of(prefix: str, value: Column | str) -> Column:
     """Key of a keyed-store row: ``prefix:value``."""
     return F.concat(F.lit(f"{prefix}:"), col_or_name(value).cast("string"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import user_columns
-from ..schemas import USER_FIELDS
+from ..schemas import TWEET_SCHEMA, USER_FIELDS
 
 
 def _in_lang(tweets: DataFrame, lang: str | None) -> DataFrame:
@@ -112,12 +112,12 @@ def gather_references(tweets: DataFrame, lang: str | None = "en") -> DataFrame:
 
 
 def prune_tweets(tweets: DataFrame, lang: str | None = "en") -> DataFrame:
-    """Only what cleaning reads: the three user structs (and status ids) of posts in ``lang``.
+    """Only what cleaning reads: posts in ``lang`` with their three users, status ids, text and counts.
 
-    Stored once as parquet, it lets users and references be derived without
-    parsing the raw JSON twice.
+    Stored once as parquet, it lets users, references, retweets and posts be
+    derived without parsing the raw JSON twice.
     """
-    return _in_lang(tweets, lang).select("id", "lang", "created_at", "user", "retweeted_status", "quoted_status")
+    return _in_lang(tweets, lang).select(*TWEET_SCHEMA.names)
 
 
 def flatten_tweets(tweets: DataFrame) -> DataFrame:

@@ -49,6 +49,6 @@ def rank_within(
     )
     return (
         placed.join(offsets, ["_pid", *group])
-        .withColumn(name, (F.col("_before") + F.col("_rid") - F.col("_first") + 1).cast("int"))
+        .withColumn(name, (F.col("_before") + F.col("_rid") - F.col("_first") + 1).cast("long"))
         .drop("_pid", "_rid", "_first", "_before")
     )

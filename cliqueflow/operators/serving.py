@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import key_of
+from ..functions.columns import key_of, post_time
 from .ranking import rank_within
 
 
@@ -23,6 +23,27 @@ def retweet_events(tweets: DataFrame, post_id: str | None = None) -> DataFrame:
     )
 
 
+def retweet_table(tweets: DataFrame) -> DataFrame:
+    """(post_id, id, created_at): one row per retweet, as reach and live reach read them."""
+    rt = tweets.filter(F.col("retweeted_status").isNotNull())
+    return rt.select(F.col("retweeted_status.id").alias("post_id"), F.col("user.id").alias("id"), post_time("created_at").alias("created_at")).filter(
+        F.col("post_id").isNotNull() & F.col("id").isNotNull()
+    )
+
+
+def post_table(tweets: DataFrame) -> DataFrame:
+    """(author_id, id, created_at, text, retweet_count, favorite_count, rt_post_id): posts as a timeline shows them."""
+    return tweets.filter(F.col("user.id").isNotNull()).select(
+        F.col("user.id").alias("author_id"),
+        "id",
+        post_time("created_at").alias("created_at"),
+        "text",
+        "retweet_count",
+        "favorite_count",
+        F.col("retweeted_status.id").alias("rt_post_id"),
+    )
+
+
 def retweeters(tweets: DataFrame, post_id: str | None = None) -> DataFrame:
     """(post_id, id): distinct accounts that retweeted each post."""
     return retweet_events(tweets, post_id).distinct()
@@ -56,7 +77,7 @@ def reach_ranked(reach: DataFrame, k: int | None = None) -> DataFrame:
     order = [F.col("size").desc(), F.col("label").asc_nulls_last()]
     if k is not None:
         w = Window.partitionBy("post_id").orderBy(*order)
-        ranked = reach.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        ranked = reach.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
     else:
         ranked = rank_within(reach.filter(F.col("post_id").isNotNull()), ["post_id"], order)
     return ranked.select("post_id", "rank", "label", "size")
@@ -76,9 +97,15 @@ def user_profile(users: DataFrame, screen_names: DataFrame | list[str]) -> DataF
     return users.filter(F.col("screen_name").isin(list(screen_names)))
 
 
+#: What a timeline shows of a post besides its id and time.
+SHOWN = ("text", "retweet_count", "favorite_count")
+
+
 def user_timeline(posts: DataFrame, n: int = 5, author_id: str | None = None) -> DataFrame:
     """(author_id, position, id, created_at, rt_post_id): latest ``n`` posts per author, newest first.
 
+    Text, retweet_count and favorite_count follow where ``posts`` has them.
+
     Ties on time are broken by the larger post id (ids are decimal text: the longer one, then by digits). The ``n`` limit is applied
     per map task before the shuffle, so a prolific author ships ``n`` rows per task.
     """
@@ -87,7 +114,7 @@ def user_timeline(posts: DataFrame, n: int = 5, author_id: str | None = None) ->
     return (
         p.withColumn("position", F.row_number().over(w))
         .filter(F.col("position") <= n)
-        .select("author_id", "position", "id", "created_at", "rt_post_id")
+        .select("author_id", "position", "id", "created_at", "rt_post_id", *[c for c in SHOWN if c in posts.columns])
     )
 
 

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from ..operators import communities as comm
 from ..operators import frontier, graph, ingest, links, propagation, serving
+from ..schemas import Paths
 from ..session import cut_lineage, distilled, scratch_path
 from ..sources import files
 from ..sources.social import SocialTables
 from ..streaming.live_reach import read_live_reach, start_live_reach
 from ..streaming.reach_log import ReachLog, start_reach_log
+from .stages import run_stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -104,9 +106,13 @@ def text_list(c: str) -> F.Column:
 @query
 def tweets_scan(t: SocialTables) -> DataFrame:
     """Raw JSON scan: the derived posts are written as JSON lines and read back with the fixed schema."""
-    path = scratch_path(t.spark, "tweets-json")
-    files.write_tweets(t.tweets, path)
-    return ingest.flatten_tweets(files.read_tweets(t.spark, path))
+
+    def run() -> DataFrame:
+        path = scratch_path(t.spark, "tweets-json")
+        files.write_tweets(t.tweets, path)
+        return ingest.flatten_tweets(files.read_tweets(t.spark, path))
+
+    return distilled(t.spark, run, "tweets")
 
 
 @query
@@ -305,7 +311,25 @@ def reach_by_community(t: SocialTables) -> DataFrame:
 
 @query
 def reach_ranked(t: SocialTables) -> DataFrame:
-    return serving.reach_ranked(serving.reach_by_community(serving.retweet_events(t.tweet_ids), labelled(t)))
+    def run() -> DataFrame:
+        return serving.reach_ranked(serving.reach_by_community(serving.retweet_events(t.tweet_ids), labelled(t)))
+
+    return distilled(t.spark, run, "reach-ranked")
+
+
+@query
+def stages_reach(t: SocialTables) -> DataFrame:
+    """From raw JSON through the stored tables of every stage to ranked reach (posts in English)."""
+
+    def run() -> DataFrame:
+        paths = Paths(scratch_path(t.spark, "stages"))
+        files.write_tweets(t.tweets, paths["input"])
+        t.seeds.write.json(paths["seeds"])
+        for stage in ("clean", "make", "lpa", "reach"):
+            run_stage(t.spark, stage, paths)
+        return files.read_stage(t.spark, paths["reach"])
+
+    return distilled(t.spark, run, "stages-reach")
 
 
 @query
@@ -329,6 +353,16 @@ def page_links(t: SocialTables) -> DataFrame:
     return links.page_links(t.pages)
 
 
+#: Endings of links that the pages hold, besides those of archives.
+LINK_KINDS = (*links.ARCHIVE_KINDS, "sch", "que", "the")
+
+
+@query
+def archive_links(t: SocialTables) -> DataFrame:
+    """Links of some kinds only, resolved the archive way."""
+    return links.page_links(t.pages, LINK_KINDS)
+
+
 @query
 def pending_archives(t: SocialTables) -> DataFrame:
     """Links found in the pages whose file is not among the stored pages' own file names."""

@@ -363,11 +363,21 @@ oracle(
     "reach_ranked",
     """
     SELECT post_id,
-           CAST(row_number() OVER (PARTITION BY post_id ORDER BY size DESC, label ASC NULLS LAST) AS INTEGER) AS rank,
+           row_number() OVER (PARTITION BY post_id ORDER BY size DESC, label ASC NULLS LAST) AS rank,
            label, size
     FROM reach
     """,
 )
+oracle(
+    "stages_reach",
+    f"""
+    SELECT post_id, row_number() OVER (PARTITION BY post_id ORDER BY size DESC, label ASC NULLS LAST) AS rank, label, size
+    FROM (SELECT r.rt_post_id AS post_id, l.label, count(DISTINCT l.id) AS size
+          FROM posts r JOIN {LPA_D10} l ON r.author_id = l.id
+          WHERE r.rt_author_id IS NOT NULL AND r.rt_post_id IS NOT NULL AND r.lang = 'en'
+          GROUP BY r.rt_post_id, l.label) x
+    """,
+)
 oracle(
     "user_profile",
     """
@@ -386,6 +396,15 @@ oracle(
     """,
 )
 oracle("page_links", "SELECT link FROM links")
+oracle(
+    "archive_links",
+    """
+    SELECT DISTINCT CASE WHEN right(href, 3) <> 'zst' THEN url || href
+                         WHEN instr(href, '.') = 0 THEN href
+                         ELSE substr(href, 1, instr(href, '.') - 1) || url || substr(href, instr(href, '.') + 1) END AS link
+    FROM hrefs WHERE right(href, 3) IN ('zst', 'tar', 'sch', 'que', 'the')
+    """,
+)
 oracle(
     "pending_archives",
     """

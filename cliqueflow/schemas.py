@@ -42,12 +42,24 @@ TWEET_SCHEMA = StructType(
         StructField("id", StringType()),
         StructField("lang", StringType()),
         StructField("created_at", StringType()),
+        StructField("text", StringType()),
+        StructField("retweet_count", LongType()),
+        StructField("favorite_count", LongType()),
         StructField("user", USER_TYPE),
         StructField("retweeted_status", STATUS_TYPE),
         StructField("quoted_status", STATUS_TYPE),
     ]
 )
 
+# The same with what tells deleted posts and broken lines apart.
+RAW_SCHEMA = StructType(
+    [
+        *TWEET_SCHEMA.fields,
+        StructField("delete", StructType([StructField("status", StructType([StructField("id", StringType())]))])),
+        StructField("_corrupt_record", StringType()),
+    ]
+)
+
 SEED_SCHEMA = StructType(
     [
         StructField("id", StringType()),
@@ -92,6 +104,12 @@ class Paths:
     input: str = "raw"
     references: str = "references"
     users: str = "users"
+    retweets: str = "retweets"
+    posts: str = "posts"
+    rejected: str = "rejected"
+    manifest: str = "manifest"
+    reach: str = "reach"
+    timeline: str = "timeline"
     seeds: str = "prelabelled"
     vertices: str = "vertices"
     edges: str = "edges"

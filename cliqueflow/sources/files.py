@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import SEED_SCHEMA, TWEET_SCHEMA
+from ..schemas import RAW_SCHEMA, SEED_SCHEMA, TWEET_SCHEMA
 
 #: Formats whose keyed tables are folders.
 FILE_FORMATS = ("parquet", "orc", "json")
@@ -27,8 +27,26 @@ def read_tweets(spark: SparkSession, path: str, schema: StructType = TWEET_SCHEM
     )
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """``read_tweets`` that also tells what a line without a post is: ``_corrupt_record`` (a broken line) or ``delete``."""
+    return read_tweets(spark, path, RAW_SCHEMA)
+
+
+def count_lines(raw: DataFrame, seen: Observation) -> DataFrame:
+    """``raw`` of ``read_raw``; the job that reads it observes how many lines, posts, deletes and broken lines there are."""
+    broken, deleted = F.col("_corrupt_record").isNotNull(), F.col("delete").isNotNull()
+    kinds = {"broken": broken, "deletes": ~broken & deleted, "posts": ~broken & ~deleted}
+    return raw.observe(seen, F.count(F.lit(1)).alias("lines"), *[F.count(F.when(c, 1)).alias(k) for k, c in kinds.items()])
+
+
 def write_tweets(tweets: DataFrame, path: str, mode: str = "overwrite") -> None:
-    tweets.write.mode(mode).option("compression", "gzip").json(path)
+    """JSON lines, uncompressed: a reader can split the files."""
+    tweets.write.mode(mode).json(path)
+
+
+def list_objects(spark: SparkSession, path: str) -> DataFrame:
+    """(path): every file below ``path``, by the listing alone; no content is read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
@@ -69,7 +87,8 @@ def write_keyed(
 
     For ``parquet``/``orc``/``json`` the ``table`` is a path. Any other format
     is a connector that receives ``table`` and ``key.column`` as options and
-    makes its keys of both.
+    makes its keys of both; one of Spark's newer interface takes no mode but
+    ``append`` and ``overwrite``.
     """
     check_key(df, key)
     writer = df.write.mode(mode)

@@ -72,7 +72,10 @@ class SocialTables:
             # one row per id, known to the optimizer: a reader of ids alone has its user joins removed
             unique = self.users.dropDuplicates(["id"])
             profile = unique.select(*[F.col(f).alias(f"{role}_{f}") for f in USER_FIELDS])
-            p = p.join(profile, p[key] == profile[f"{role}_id"], "left")
+            # most posts quote or retweet nobody: their missing ids are spread out by ids that nobody has
+            nobody = F.concat(F.lit("\u0000"), "author_id", "rt_post_id")
+            p = p.withColumn("_key", F.coalesce(key, nobody))
+            p = p.join(profile, p["_key"] == profile[f"{role}_id"], "left").drop("_key")
         return self._nested(p)
 
     @cached_property

@@ -63,7 +63,13 @@ def start_live_reach(
     """
     if static_buckets:
         labelled, _, _ = bucketed_copy(labelled.select("id", "label"), "id", static_buckets, "live-reach-labels")
-    reader = spark.readStream.schema(schema)
+    own = spark
+    if state_partitions:
+        # read when the query starts and then kept in its checkpoint; a session of its own leaves the caller's as it is
+        own = spark.newSession()
+        own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    reader = own.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     counts = live_reach(reader.parquet(source), labelled)
@@ -80,15 +86,7 @@ def start_live_reach(
         .foreachBatch(publish)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    if not state_partitions:
-        return writer.start()
-    # the partition count is read when the query starts and then kept in its checkpoint
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return writer.start()
 
 
 def read_live_reach(spark: SparkSession, output: str) -> DataFrame:

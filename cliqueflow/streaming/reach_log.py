@@ -157,6 +157,7 @@ def start_reach_log(
     the number of state partitions changes the caller's settings.
     """
     own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))

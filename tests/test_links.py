@@ -1,5 +1,7 @@
 """Archive link discovery (H13, H14)."""
 
+import contextlib
+import io
 import random
 import time
 from html.parser import HTMLParser
@@ -7,6 +9,7 @@ from urllib.parse import urljoin
 
 from cliqueflow.functions.columns import resolve_href
 from cliqueflow.operators import links
+from cliqueflow.sources import files
 from conftest import rows
 
 
@@ -32,6 +35,21 @@ def test_h14_pending_archives(spark):
     assert rows(links.pending_archives(found, stored), "link") == [("a/f2.zst",)]
 
 
+def test_listing_of_stored_objects_reads_no_content(spark, tmp_path):
+    for name in ("in/f1", "in/deep/f2.x", "in/f 3"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    listed = files.list_objects(spark, str(tmp_path / "in"))
+    assert rows(links.stored_listing(listed)) == [("f 3",), ("f1",), ("f2.x",)]
+    found = spark.createDataFrame([(f"http://h/{n}",) for n in ("f1.zst", "f2.x.tar", "f4.zst", "f 3.tar")], "link string")
+    pending = links.pending_archives(found, links.stored_listing(listed))
+    assert rows(pending, "link") == [("http://h/f4.zst",)]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        pending.explain()
+    assert "content" not in buf.getvalue()
+
+
 def test_anchors_as_a_parser_sees_them(spark):
     html = """<A HREF='./a.zst'>x</A> <a class="y>" id=3 href=./b.zst>x</a> <abbr data-href="./c.zst">x</abbr>
     <!-- <a href="./d.zst">x</a> --> <script>"<a href='s'>"</script> <a data-href="n" href="./e.zst">x</a>
