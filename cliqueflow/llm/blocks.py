@@ -167,6 +167,12 @@ def grouped(
         yield now, run()
 
 
+def by_shard(asked: DataFrame) -> DataFrame:
+    """Questions in runs of one shard each. A task walks many shards in turn: a shard is what it holds at a time, and
+    the number of tasks is the session's number of shuffle partitions, however many shards the corpus has."""
+    return asked.repartition("shard").sortWithinPartitions("shard")
+
+
 def shards(blocks: DataFrame, size: int, least: int | None = None) -> int:
     """Number of shards so that one gets what about ``size`` bytes of packed blocks send."""
     total = blocks.select(F.sum(F.length("payload"))).first()[0] or 0

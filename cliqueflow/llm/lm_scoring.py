@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..session import cut_lineage
-from .blocks import each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, unpack_table, with_answers, write_blocks
+from .blocks import by_shard, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, unpack_table, with_answers, write_blocks
 from .words import Words
 
 VOCABULARY = 2048
@@ -358,7 +358,7 @@ def score_texts(docs: DataFrame, held, text: str = "text") -> DataFrame:
     n_shards = shards(blocks, SHARD_BYTES)
     asked = each_block(blocks, ask_counts(n_shards, text), "shard long, block long, blob binary, n long")
     answers = cut_lineage(
-        asked.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(answer_counts, ANSWERS), "lm-counts"
+        by_shard(asked).mapInArrow(answer_counts, ANSWERS), "lm-counts"
     )
     totals = answers.filter(F.col("block") == -1)
     summed = totals.agg(F.sum("distinct"), F.sum("tokens")).first()

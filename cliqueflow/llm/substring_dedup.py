@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import cut_lineage
-from .blocks import arrow_of, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, with_answers, write_blocks
+from .blocks import arrow_of, by_shard, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, with_answers, write_blocks
 from .words import Words, equal_spans, grams, mix
 
 WINDOW = 13
@@ -281,7 +281,7 @@ def dedup_substrings(
     blocks = write_blocks(docs.withColumn(key, F.col(key).cast("long")), text)
     n_buckets = shards(blocks, SHARD_BYTES)
     asked = each_block(blocks, ask(text, key, window, n_buckets), "shard long, block long, blob binary")
-    dealt = asked.repartition(n_buckets, "shard").sortWithinPartitions("shard")
+    dealt = by_shard(asked)
     answers = cut_lineage(dealt.mapInArrow(answer(window, limit), REPLIES), "substrings")
     replies = answers.filter(F.col("reply").isNotNull()).select("block", "shard", "reply")
     unanswered = answers.filter(F.col("blob").isNotNull())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from cliqueflow.llm import catalog, jaccard_join, kneser_ney, lm_scoring, packing, pieces, pii, quality_rules, topk, toxicity
+from cliqueflow.llm.blocks import by_shard, each_block, write_blocks
 
 from . import brute
 
@@ -114,3 +115,16 @@ def test_copies_of_the_quality_model_give_the_same_scores(spark):
     three = sorted(map(tuple, kneser_ney.perplexities(df, lab, docs_per_copy=len(rows) // 3 + 1).collect()), key=str)
     assert [r[:3] for r in one] == [r[:3] for r in three]
     assert all(abs(a[3] - b[3]) < 1e-3 for a, b in zip(one, three))
+
+
+def test_a_task_walks_many_shards(spark):
+    rows = [(" ".join(f"v{i * 31 % 977}x{j}" for j in range(200)), False) for i in range(300)]
+    blocks = write_blocks(spark.createDataFrame(rows, "text string, _held boolean").repartition(2), "text")
+    asked = each_block(blocks, lm_scoring.ask_counts(500, "text"), "shard long, block long, blob binary, n long")
+    dealt = by_shard(asked).withColumn("task", F.spark_partition_id())
+    tasks = dealt.groupBy("task").agg(F.count_distinct("shard").alias("shards")).collect()
+    assert len(tasks) <= int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(r.shards for r in tasks) == 500
+    # so the answers are those of a task for each shard
+    answers = by_shard(asked).mapInArrow(lm_scoring.answer_counts, lm_scoring.ANSWERS)
+    alone = asked.repartition(500, "shard").sortWithinPartitions("shard").mapInArrow(lm_scoring.answer_counts, lm_scoring.ANSWERS)
+    assert sorted(map(tuple, answers.collect())) == sorted(map(tuple, alone.collect()))
