@@ -152,6 +152,7 @@ def start_reach_log(
     ``labels`` is the path of the stored labelled table. A restart goes on
     from the checkpoint (by default beside ``output``); after a relabelling it
     may name another table, and ``ReachLog.merge`` counts open posts anew.
+    ``repeat_window`` and ``state_partitions`` belong to the checkpoint.
 
     The query has a session of its own, so neither the RocksDB state store nor
     the number of state partitions changes the caller's settings.

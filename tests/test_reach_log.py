@@ -51,7 +51,7 @@ def test_epochs_restarts_and_relabelling_equal_the_batch(spark, tmp_path):
     log.merge(other)
     assert rows(log.reach(other)) == rows(serving.reach_by_community(spark.createDataFrame(seen, SCHEMA), other))
     feed(spark, str(tmp_path / "events"), [("p0", "u14", START + timedelta(days=1))])
-    follow(spark, tmp_path, labels="labels-2")
+    follow(spark, tmp_path, labels="labels-2", repeat_window="15 minutes")
     seen.append(("p0", "u14", START))
     assert rows(log.reach(other)) == rows(serving.reach_by_community(spark.createDataFrame(seen, SCHEMA), other))
 
