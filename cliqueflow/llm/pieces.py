@@ -72,21 +72,22 @@ class Normalizer:
         """Normalised text with space marks, and the source byte of each of its bytes (one more for the end)."""
         source = text.encode()
         if self.map.units or self.squeeze_spaces:
-            data, origin = self._mapped(source)
+            data, origin, begin, end = self._mapped(source)
         else:
-            data, origin = source, None
+            data, origin, begin, end = source, None, 0, len(source)
         if not data:
             return "", np.array([len(source)], dtype=np.int64)
         raw = np.frombuffer(data, dtype=np.uint8)
         widths = np.where(raw == 32, 3, 1)
         at = np.arange(raw.size) if origin is None else np.asarray(origin, dtype=np.int64)
         spread = np.repeat(at, widths)
-        lead = np.repeat(at[:1], 3) if self.dummy_prefix else at[:0]
+        lead = np.full(3 if self.dummy_prefix else 0, begin)
         marked = data.decode(errors="replace").replace(" ", MARK)
-        return (MARK if self.dummy_prefix else "") + marked, np.concatenate((lead, spread, [len(source)]))
+        return (MARK if self.dummy_prefix else "") + marked, np.concatenate((lead, spread, [end]))
 
-    def _mapped(self, source: bytes) -> tuple[bytes, list[int]]:
-        out, origin, at = bytearray(), [], 0
+    def _mapped(self, source: bytes) -> tuple[bytes, list[int], int, int]:
+        """Normalised bytes, the source byte of each, and where the text begins and ends between spaces that are dropped."""
+        out, origin, at, begin = bytearray(), [], 0, 0
         while at < len(source):
             hit = self.map.longest(source, at)
             if hit is None:
@@ -102,25 +103,34 @@ class Normalizer:
                 if not (self.squeeze_spaces and b == 32 and (not out or out[-1] == 32)):
                     out.append(b)
                     origin.append(p)
+            if self.squeeze_spaces and begin == at and piece == b" ":
+                begin += n
             at += n
-        while self.squeeze_spaces and out and out[-1] == 32:
-            out.pop()
-            origin.pop()
-        return bytes(out), origin
+        end = len(source)
+        # a space mark of the source's own counts as a space at the end
+        while self.squeeze_spaces and (n := 1 if out.endswith(b" ") else 3 if out.endswith(MARK_BYTES) else 0):
+            end = origin[-n]
+            del out[-n:], origin[-n:]
+        return bytes(out), origin, begin, end
 
 
 class Encoder:
     """One model in one process."""
 
-    def __init__(self, model_file: str):
+    def __init__(self, model_file: str | None, model_proto: bytes | None = None):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+        self.model = sentencepiece.SentencePieceProcessor(model_file=model_file, model_proto=model_proto)
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(self.model.serialized_model_proto())
         spec = proto.normalizer_spec
         self.normalize = Normalizer(spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces)
+        # what is normalised here must not be normalised again
+        self.plain = self.model
+        if spec.precompiled_charsmap or spec.remove_extra_whitespaces:
+            spec.name, spec.precompiled_charsmap, spec.remove_extra_whitespaces = "identity", b"", False
+            self.plain = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         # segments are cut before a mark that follows another character, so no piece may hold such a place
         self.cuts = spec.add_dummy_prefix and not any(MARK in p.lstrip(MARK) for p in names)
@@ -135,7 +145,7 @@ class Encoder:
         if not normal:
             return np.zeros(0, dtype="<u4")
         if not self.cuts:
-            return np.array(self.model.encode(normal[self.normalize.dummy_prefix :].replace(MARK, " ")), dtype="<u4")
+            return np.array(self.plain.encode(normal[self.normalize.dummy_prefix :].replace(MARK, " ")), dtype="<u4")
         segments = self._segments(normal)
         seen = self.seen
         fresh = [s for s in dict.fromkeys(segments) if s not in seen]
@@ -154,9 +164,9 @@ class Encoder:
             if not s:
                 yield s, self.mark
             elif s[-1] == MARK:
-                yield s, np.array(self.model.encode(s.replace(MARK, " ")), dtype="<u4").tobytes()
+                yield s, np.array(self.plain.encode(s.replace(MARK, " ")), dtype="<u4").tobytes()
         if solid:
-            got = np.array(self.model.encode(MARK.join(solid).replace(MARK, " ")), dtype="<u4")
+            got = np.array(self.plain.encode(MARK.join(solid).replace(MARK, " ")), dtype="<u4")
             stops = np.cumsum([len(s.encode()) + len(MARK_BYTES) for s in solid])
             bounds = np.searchsorted(np.cumsum(self.widths[got]), stops) + 1
             data, at = got.tobytes(), 0
