@@ -80,4 +80,41 @@ WITH v AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
 """
 
-ORACLE = {"op9_topk": TOPK_SQL, "op12_exact_dedup": COPIES_SQL, "op13_hard_negatives": NEGATIVES_SQL}
+#: Words of every document, windows of 13 of them, and the words that windows of smaller documents cover.
+PASSAGES_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT r, doc_id, p, array_to_string(w[p : p + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 12)) AS p FROM docs)
+), earliest AS (SELECT g, min(doc_id) AS low FROM windows GROUP BY g),
+gone AS (
+  SELECT DISTINCT r, unnest(generate_series(p, p + 12)) AS p FROM windows JOIN earliest USING (g) WHERE low < doc_id
+), words AS (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM docs),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS body FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+#: Sets of three-word shingles, pairs that share nine tenths, and the least document that each reaches.
+LINKS_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x09-\x0D\x20]+'), lambda x: x <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT r, array_to_string(w[p : p + 2], ' ') AS g
+  FROM (SELECT r, w, unnest(generate_series(1, greatest(len(w) - 2, least(len(w), 1)))) AS p FROM docs)
+), sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.r = c.a JOIN sizes y ON y.r = c.b WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)
+), reach AS (SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least_of AS (SELECT reach.a AS r, min(docs.doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.b GROUP BY reach.a)
+SELECT docs.doc_id, coalesce(sizes.n, 0) AS n_shingles, least_of.component_id
+FROM docs JOIN least_of USING (r) LEFT JOIN sizes USING (r)
+"""
+
+ORACLE = {"op1_substring_dedup": PASSAGES_SQL, "op10_jaccard_join": LINKS_SQL, "op9_topk": TOPK_SQL, "op12_exact_dedup": COPIES_SQL, "op13_hard_negatives": NEGATIVES_SQL}

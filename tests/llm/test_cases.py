@@ -18,8 +18,8 @@ DOCS = "doc_id long, text string, lang string"
 LABELS = "doc_id long, quality int, toxic int"
 #: Their rows come from training, from libraries or from recursion; tests hold them against plain versions or held-out labels.
 WITHOUT_SQL = {
-    "op1_substring_dedup", "op2_pii", "op3_pieces", "op4_toxicity", "op5_quality_classifier", "op6_quality_rules",
-    "op7_packing", "op8_lm_scoring", "op10_jaccard_join", "op11_alignment", "pipeline",
+    "op2_pii", "op3_pieces", "op4_toxicity", "op5_quality_classifier", "op6_quality_rules",
+    "op7_packing", "op8_lm_scoring", "op11_alignment", "pipeline",
 }
 
 
