@@ -102,37 +102,42 @@ def ask_counts(n_shards: int, text: str) -> Callable[[int, pa.Table], Iterator[d
 ANSWERS = "block long, shard long, reply binary, distinct long, tokens long"
 
 
+def answered(shard: int, rows: Iterator[dict]) -> pa.RecordBatch:
+    """The replies of one shard; what it takes is freed before the next one."""
+    numbers: dict[bytes, int] = {}
+    asked, sums = [], []
+    for row in rows:
+        data = expand(row["blob"])
+        own = np.frombuffer(data, dtype="<i8", count=row["n"]).copy()  # not a view, which would hold the words as well
+        words = data[8 * row["n"] :].split(b"\n")
+        code = np.array([numbers.setdefault(x, len(numbers)) for x in words])
+        asked.append((row["block"], code))
+        sums.append(own)
+    total = np.zeros(len(numbers), dtype=np.int64)
+    for (_, code), own in zip(asked, sums):
+        total[code] += own  # words of one question differ
+    names = list(numbers)
+    # ties go to the smaller word, whatever order the questions came in
+    floor = np.partition(total, total.size - VOCABULARY)[total.size - VOCABULARY] if total.size > VOCABULARY else 0
+    top = sorted(np.flatnonzero(total >= floor).tolist(), key=lambda i: (-total[i], names[i]))[:VOCABULARY]
+    head = b"\n".join(b"%d %s" % (total[i], names[i]) for i in top if total[i])
+    replies = [(b, squeeze(total[c].astype("<i8").tobytes()), 0, 0) for b, c in asked]
+    replies.append((-1, squeeze(head), int((total > 0).sum()), int(total.sum())))
+    return pa.RecordBatch.from_pydict(
+        {
+            "block": pa.array([r[0] for r in replies], pa.int64()),
+            "shard": pa.array([shard] * len(replies), pa.int64()),
+            "reply": pa.array([r[1] for r in replies], pa.binary()),
+            "distinct": pa.array([r[2] for r in replies], pa.int64()),
+            "tokens": pa.array([r[3] for r in replies], pa.int64()),
+        }
+    )
+
+
 def answer_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One reply per question: the training counts of its words over the corpus. One row more per shard has its totals and top words."""
     for shard, rows in grouped(batches, "shard"):
-        numbers: dict[bytes, int] = {}
-        asked, sums = [], []
-        for row in rows:
-            data = expand(row["blob"])
-            own = np.frombuffer(data, dtype="<i8", count=row["n"])
-            words = data[8 * row["n"] :].split(b"\n")
-            code = np.array([numbers.setdefault(x, len(numbers)) for x in words])
-            asked.append((row["block"], code))
-            sums.append(own)
-        total = np.zeros(len(numbers), dtype=np.int64)
-        for (_, code), own in zip(asked, sums):
-            total[code] += own  # words of one question differ
-        names = list(numbers)
-        # ties go to the smaller word, whatever order the questions came in
-        floor = np.partition(total, total.size - VOCABULARY)[total.size - VOCABULARY] if total.size > VOCABULARY else 0
-        top = sorted(np.flatnonzero(total >= floor).tolist(), key=lambda i: (-total[i], names[i]))[:VOCABULARY]
-        head = b"\n".join(b"%d %s" % (total[i], names[i]) for i in top if total[i])
-        replies = [(b, squeeze(total[c].astype("<i8").tobytes()), 0, 0) for b, c in asked]
-        replies.append((-1, squeeze(head), int((total > 0).sum()), int(total.sum())))
-        yield pa.RecordBatch.from_pydict(
-            {
-                "block": pa.array([r[0] for r in replies], pa.int64()),
-                "shard": pa.array([shard] * len(replies), pa.int64()),
-                "reply": pa.array([r[1] for r in replies], pa.binary()),
-                "distinct": pa.array([r[2] for r in replies], pa.int64()),
-                "tokens": pa.array([r[3] for r in replies], pa.int64()),
-            }
-        )
+        yield answered(shard, rows)
 
 
 def listed_words(reply: bytes) -> list[tuple[int, bytes]]:
