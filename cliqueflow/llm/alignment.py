@@ -44,7 +44,7 @@ from .pieces import MARK, encoder, model_path
 
 #: Characters of a range, linked pairs of a unit, and fragments that one step of the tree composes.
 RANGE = 32_768
-UNIT = 1_000_000
+UNIT = 400_000
 FAN = 8
 
 SAFE = re.compile(rf"(?<=[^\s{MARK}]) (?=[^\s{MARK}])")
