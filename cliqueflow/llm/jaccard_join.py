@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, distilled
-from .blocks import arrow_of, by_shard, discard, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, with_answers, write_blocks
+from .blocks import arrow_of, discard, each_answered, each_block, expand, grouped, shards, squeeze, text_bytes, with_answers, write_blocks
 from .components import components
 from .words import Words, grams, mix
 
@@ -343,7 +343,8 @@ def shared_signatures(blocks: DataFrame, text: str, k: int, percent: int) -> Dat
     signatures, that two sets that link have one of them in common."""
     n_shards = shards(blocks, SHARD_BYTES)
     asked = each_block(blocks, ask(text, k, percent, n_shards), "shard long, block long, n long, blob binary")
-    dealt = by_shard(asked)
+    # a shard is a task of its own here: with many of them in a task, executors of 3 GB ran out in ``keep_one``
+    dealt = asked.repartition(n_shards, "shard").sortWithinPartitions("shard")
     replies = cut_lineage(dealt.mapInArrow(which_shared(SHARD_LIMIT), "block long, shard long, reply binary"), "shared")
 
     def pick(block: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
