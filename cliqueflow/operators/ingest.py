@@ -83,6 +83,28 @@ def dedupe_users(users: DataFrame) -> DataFrame:
     )
 
 
+def user_ids(tweets: DataFrame, lang: str | None = "en") -> DataFrame:
+    """Each non-null id of an author, quoted or retweeted user once (partial aggregate before the shuffle)."""
+    return all_users(tweets, lang).select("id").filter(F.col("id").isNotNull()).distinct()
+
+
+def with_profiles(users: DataFrame, profiles: DataFrame, spread_nulls: bool = True) -> DataFrame:
+    """The ids of ``users`` with what ``profiles`` tells of them, whatever role they had, by one join.
+
+    An id without a profile keeps a row of nulls; one with several gets a row
+    for each. Null ids match nothing; they are spread over the tasks by the
+    partition that they come from. Without ``spread_nulls`` (for ids that are
+    known not to be null) the rows stay partitioned by ``id`` for what follows.
+    """
+    nobody = F.concat(F.lit("\u0000"), F.spark_partition_id().cast("string"))
+    asked = users.select("id", F.coalesce("id", nobody).alias("_key")) if spread_nulls else users.select("id")
+    known = profiles.filter(F.col("id").isNotNull()).select(
+        F.col("id").alias("_known"), *[f for f in USER_FIELDS if f != "id"]
+    )
+    key = F.col("_key" if spread_nulls else "id")
+    return asked.join(known, key == F.col("_known"), "left").select(*USER_FIELDS)
+
+
 def clean_users(tweets: DataFrame, lang: str | None = "en") -> DataFrame:
     """The users table: every profile seen in ``lang`` posts, one row per id."""
     return dedupe_users(all_users(tweets, lang))

@@ -132,12 +132,27 @@ def retweeted_users(t: SocialTables) -> DataFrame:
 
 @query
 def all_users(t: SocialTables) -> DataFrame:
-    return ingest.all_users(t.tweets)
+    """Every mention of a user; posts carry ids, and one join brings the profiles of all roles."""
+    return ingest.with_profiles(ingest.all_users(t.tweet_ids), t.users)
 
 
 @query
 def unique_users(t: SocialTables) -> DataFrame:
-    return ingest.clean_users(t.tweets)
+    """Ids are made unique before they meet the profiles, so no key of the join is hot."""
+    return ingest.dedupe_users(ingest.with_profiles(ingest.user_ids(t.tweet_ids), t.users, spread_nulls=False))
+
+
+@query
+def stages_users(t: SocialTables) -> DataFrame:
+    """The users that the ``clean`` stage stores from raw JSON, whose posts carry the profiles themselves."""
+
+    def run() -> DataFrame:
+        paths = Paths(scratch_path(t.spark, "stages"))
+        files.write_tweets(t.tweets, paths["input"])
+        run_stage(t.spark, "clean", paths)
+        return files.read_stage(t.spark, paths["users"])
+
+    return distilled(t.spark, run, "stages-users")
 
 
 @query

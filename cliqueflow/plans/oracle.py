@@ -280,18 +280,17 @@ oracle("tweeters", "SELECT * FROM tweeters")
 oracle("quoted_users", "SELECT * FROM quoted")
 oracle("retweeted_users", "SELECT * FROM retweeted")
 oracle("all_users", "SELECT * FROM tweeters UNION ALL SELECT * FROM quoted UNION ALL SELECT * FROM retweeted")
-oracle(
-    "unique_users",
-    f"""
-    SELECT id, {USER_COLS} FROM (
-      SELECT *, row_number() OVER (PARTITION BY id ORDER BY screen_name DESC NULLS LAST,
-             followers_count DESC NULLS LAST, statuses_count DESC NULLS LAST,
-             friends_count DESC NULLS LAST, description DESC NULLS LAST) AS rn
-      FROM (SELECT * FROM tweeters UNION ALL SELECT * FROM quoted UNION ALL SELECT * FROM retweeted) a
-      WHERE id IS NOT NULL) t
-    WHERE rn = 1
-    """,
-)
+UNIQUE_USERS = f"""
+SELECT id, {USER_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY screen_name DESC NULLS LAST,
+         followers_count DESC NULLS LAST, statuses_count DESC NULLS LAST,
+         friends_count DESC NULLS LAST, description DESC NULLS LAST) AS rn
+  FROM (SELECT * FROM tweeters UNION ALL SELECT * FROM quoted UNION ALL SELECT * FROM retweeted) a
+  WHERE id IS NOT NULL) t
+WHERE rn = 1
+"""
+oracle("unique_users", UNIQUE_USERS)
+oracle("stages_users", UNIQUE_USERS)
 oracle("references", "SELECT src, dst FROM refs")
 oracle("edges_weighted", "SELECT src, dst, weight FROM edges")
 oracle("vertices_distinct", "SELECT id FROM vids")

@@ -65,3 +65,22 @@ def test_json_round_trip_keeps_nested_shape(spark, tmp_path):
     files.write_tweets(t.tweets, path)
     back = files.read_tweets(spark, path)
     assert rows(ingest.gather_references(back)) == rows(ingest.gather_references(t.tweets))
+
+
+def test_profiles_of_all_roles_by_one_join(spark):
+    schema = "id string, screen_name string, statuses_count long, followers_count long, friends_count long, description string"
+    profiles = spark.createDataFrame([("1", "a", 1, 1, 1, "x"), ("1", "b", 1, 1, 1, "x"), ("2", "c", 2, 2, 2, None), (None, "n", 0, 0, 0, "")], schema)
+    mentions = spark.createDataFrame([("1",), ("1",), ("3",), (None,), (None,)], "id string")
+    got = ingest.with_profiles(mentions, profiles)
+    assert got.dtypes == profiles.dtypes
+    none = (None,) * 5
+    assert rows(got, "id", "screen_name") == [("1", "a"), ("1", "a"), ("1", "b"), ("1", "b"), ("3", None), (None, None), (None, None)]
+    assert [tuple(r)[1:] for r in got.filter("id is null or id = '3'").collect()] == [none] * 3
+    unique = ingest.dedupe_users(ingest.with_profiles(mentions.distinct(), profiles, spread_nulls=False))
+    assert rows(unique, "id", "screen_name") == [("1", "b"), ("3", None)]
+
+
+def test_user_ids_are_distinct_over_roles(spark, tmp_path):
+    tweets = files.read_tweets(spark, write_lines(tmp_path / "raw", h8_lines()))
+    assert rows(ingest.user_ids(tweets)) == [("10",), ("11",), ("12",), ("7",), ("8",)]
+    assert rows(ingest.user_ids(tweets, None)) == [("10",), ("11",), ("12",), ("7",), ("8",), ("9",)]

@@ -41,6 +41,19 @@ def test_topk_and_dedupe_limit_before_shuffle(spark):
     assert before_first_exchange(tl, "WindowGroupLimit")
 
 
+def test_profiles_of_every_role_need_one_join(spark):
+    t = SocialTables(spark, SF)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(ingest.dedupe_users(ingest.with_profiles(ingest.user_ids(t.tweet_ids), t.users, spread_nulls=False)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    # posts with orders, ids with profiles; ids are made unique map-side before they move
+    assert text.count("SortMergeJoin") == 2 and text.count("Exchange hashpartitioning") == 4, text
+    assert "SortAggregate" not in text and text.count("HashAggregate(keys=[id") == 2
+
+
 def test_aggregates_are_partial_before_shuffle(spark):
     t = SocialTables(spark, SF)
     e = plan(graph.build_edges(ingest.gather_references(t.tweets)))

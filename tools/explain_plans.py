@@ -30,7 +30,7 @@ def main(argv):
     lab = v.select("id", "label")
     plans = {
         "edges_weighted": lambda: e,
-        "unique_users": lambda: ingest.clean_users(t.tweets),
+        "unique_users": lambda: ingest.dedupe_users(ingest.with_profiles(ingest.user_ids(t.tweet_ids), t.users, spread_nulls=False)),
         "lpa_step": lambda: propagation.lpa_step(v, e, names),
         "lpa_step_broadcast": lambda: propagation.lpa_step(v, e, names, broadcast_vertices=True),
         "community_top10": lambda: comm.community_top_k(comm.community_members_join(lab, t.users, names)),
