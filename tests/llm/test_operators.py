@@ -194,14 +194,14 @@ def test_lm_scoring_base_and_normalisation(spark):
 
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(1)
-    keys = np.unique((rng.integers(0, 8, 200) << 16) | rng.integers(0, 8, 200)).astype(np.uint32)
+    keys = np.unique(kneser_ney.key_of(rng.integers(0, 8, 200), rng.integers(0, 8, 200)))
     counts = rng.integers(1, 6, keys.size).astype("<u4")
     d = kneser_ney.discounts(*[int((counts == k).sum()) for k in (1, 2, 3, 4)])
-    ends = np.bincount(keys & 0xFFFF, minlength=8)
-    lower = kneser_ney.Lower.of(tuple(b"%d" % i for i in range(6)), ends, d)
-    model = kneser_ney.ShardModel(keys.size, kneser_ney.pack_arrays(kneser_ney.deltas(keys), counts), lower, 1)
+    ends = np.bincount(kneser_ney.word_of(keys), minlength=8)
+    lower = kneser_ney.Lower.of(np.arange(6, dtype=np.uint64), ends, d)
+    model = kneser_ney.ShardModel(keys.size, kneser_ney.pack_arrays(kneser_ney.deltas(keys), counts), lower)
     for before in range(10):
-        asked = ((before << 16) | np.arange(8)).astype(np.uint32)
+        asked = kneser_ney.key_of(before, np.arange(8))
         assert math.isclose((10 ** model.log_probs(asked)).sum(), 1, rel_tol=1e-9)
 
 
