@@ -198,7 +198,7 @@ def test_kneser_ney_sums_to_one():
     counts = rng.integers(1, 6, keys.size).astype("<u4")
     d = kneser_ney.discounts(*[int((counts == k).sum()) for k in (1, 2, 3, 4)])
     ends = np.bincount(kneser_ney.word_of(keys), minlength=8)
-    lower = kneser_ney.Lower.of(np.arange(6, dtype=np.uint64), ends, d)
+    lower = kneser_ney.Lower.of(kneser_ney.Vocabulary.of(np.arange(6, dtype=np.uint64), np.ones(6)), ends, d)
     model = kneser_ney.ShardModel(keys.size, kneser_ney.pack_arrays(kneser_ney.deltas(keys), counts), lower)
     for before in range(10):
         asked = kneser_ney.key_of(before, np.arange(8))
