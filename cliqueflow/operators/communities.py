@@ -102,6 +102,10 @@ def community_pagerank(
     names = community_names(spark, communities)
     few = names.count() <= BROADCAST_MAX_VERTICES  # what has a row for each community is as small
 
+    def by_id(df: DataFrame) -> DataFrame:
+        """A row for each vertex: a bucket's share is hashed in its task, and none passes the driver."""
+        return df if small else df.hint("shuffle_hash")
+
     def constants(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if few else df
 
@@ -135,7 +139,7 @@ def community_pagerank(
 
     out_weight = meet(src_m).groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("out_weight"))
     sizes = members.groupBy("community").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    start = members.join(constants(sizes), "community").join(out_weight, "id", "left")
+    start = members.join(constants(sizes), "community").join(by_id(out_weight), "id", "left")
     ranks, drop = store(start.select("id", "community", "n", "out_weight", (F.lit(1.0) / F.col("n")).alias("rank")), "pagerank-round")
     for _ in range(iterations):
         shares = ranks.filter("out_weight is not null")
@@ -145,7 +149,7 @@ def community_pagerank(
         spread = F.coalesce("inflow", F.lit(0.0)) + F.coalesce("sink_mass", F.lit(0.0)) / F.col("n")
         nxt = (
             ranks.withColumnRenamed("rank", "old_rank")
-            .join(inflow, "id", "left")
+            .join(by_id(inflow), "id", "left")
             .join(constants(sink_mass), "community", "left")
             .withColumn("rank", (1.0 - damping) / F.col("n") + damping * spread)
         )

@@ -1,7 +1,12 @@
 """Label propagation by changes, for graphs whose vertices are too many to broadcast.
 
-Three stored tables, all in the same number of buckets, so that no round
-shuffles more than what changed in the round before it:
+As long as more than one vertex in ``DENSE`` changes, a round sums the shares of
+all edges anew: they meet the vertices in the buckets of their destination and
+are shuffled once, by source. Differences would be twice as many rows, and
+appended ones are read again in every later round.
+
+From then on there are three stored tables, all in the same number of buckets,
+so that no round shuffles more than what changed in the round before it:
 
 * the edges, bucketed on their destination (hot ones salted), written once;
 * the scores (src, label, score, n): per source and label the summed weight
@@ -10,7 +15,7 @@ shuffles more than what changed in the round before it:
   that point at them, and nothing else;
 * the vertices of the round, bucketed on id.
 
-A round sums the scores of each source (no exchange: they lie in its bucket),
+Such a round sums the scores of each source (no exchange: they lie in its bucket),
 chooses the best label, joins the vertices (no exchange either) and writes the
 next vertices. Those whose label or lock changed, or that left, meet the edges
 that point at them; each such edge takes its old share from the source's score
@@ -33,6 +38,8 @@ from ..session import materialize
 from .layout import bucketed_name, drop_bucketed, write_bucketed
 from .propagation import BucketedEdges, Communities, community_names, lpa_associations, propagation_edges, with_lock
 
+#: A round sums all edges anew while more than one in so many vertices changed in the round before it.
+DENSE = 8
 SCORES = ["src", "label", "score", "n"]
 
 
@@ -50,7 +57,8 @@ def choose(scores: DataFrame) -> DataFrame:
 def next_vertices(vertices: DataFrame, scores: DataFrame, names: DataFrame, keep_sinks: bool) -> DataFrame:
     """All vertices after a round: id, label, prelabelled, old_label, old_lock, alive."""
     old = vertices.select("id", F.col("label").alias("old_label"), F.col("prelabelled").alias("old_lock"))
-    joined = old.join(choose(scores), F.col("id") == F.col("src"), "left")
+    # a bucket's vertices are hashed where they lie: neither sorted nor sent through the driver
+    joined = old.join(choose(scores).hint("shuffle_hash"), F.col("id") == F.col("src"), "left")
     seen = F.coalesce(F.col("left") > 0, F.lit(False))
     label = F.when(F.col("old_lock") | ~seen, F.col("old_label")).otherwise(F.coalesce("best", "old_label"))
     alive = F.lit(True) if keep_sinks else seen
@@ -62,6 +70,12 @@ def changed() -> F.Column:
     return ~F.col("alive") | moved
 
 
+def recounted(vertices: DataFrame, edges: BucketedEdges) -> DataFrame:
+    """The scores (not summed) that all edges to ``vertices`` make, in buckets by source."""
+    score, n = F.col("weight").cast("long").alias("score"), F.lit(1).cast("long").alias("n")
+    return lpa_associations(vertices, edges).select("src", "label", score, n).repartition(edges.buckets, "src")
+
+
 def differences(vertices: DataFrame, edges: BucketedEdges, obs: Observation) -> DataFrame:
     """What the changed vertices of a round make for the scores of the sources that point at them.
 
@@ -118,10 +132,7 @@ def propagate_changes(
     names = community_names(spark, communities)
     first = vertices.select("id", "label", F.coalesce("prelabelled", F.lit(False)).alias("prelabelled"))
     now, *stored = _store(first, "id", buckets, "lpa-vertices")
-    counted = Observation("lpa-scores")
-    start = lpa_associations(now, layout).select("src", "label", F.col("weight").cast("long").alias("score"), F.lit(1).cast("long").alias("n"))
-    scores, *kept = _store(summed(start), "src", buckets, "lpa-scores", counted)
-    rows, added = counted.get["n"], 0
+    scores, kept, rows, added = recounted(now, layout), None, 0, 0
 
     for i in range(1, iterations + 1):
         seen = Observation("lpa-round")
@@ -130,8 +141,8 @@ def propagate_changes(
         drop_bucketed(spark, *stored)
         stored, told = nxt, seen.get
         now = after.filter("alive").select("id", "label", "prelabelled")
-        met = 0
-        if told["changed"] and i < iterations:
+        met, more = 0, told["changed"] and i < iterations
+        if more and kept:
             seen = Observation("lpa-differences")
             write_bucketed(differences(after, layout, seen), "src", buckets, *kept)
             spark.catalog.refreshTable(kept[0])
@@ -142,12 +153,20 @@ def propagate_changes(
                 scores, *fold = _store(folded(scores, now, keep_sinks), "src", buckets, "lpa-scores", counted)
                 drop_bucketed(spark, *kept)
                 kept, rows, added = fold, counted.get["n"], 0
+        elif more:
+            scores = recounted(now, layout)
+            if told["changed"] * DENSE <= told["rows"] and i + 1 < iterations:
+                counted = Observation("lpa-scores")
+                scores, *kept = _store(summed(scores), "src", buckets, "lpa-scores", counted)
+                rows = counted.get["n"]
+            if history is not None:
+                met = layout.join(after.filter(changed()).select("id"), "id").count()
         if history is not None:
             history.append({"round": i, "rows": told["rows"], "changed": told["changed"], "edges": met})
         if not told["changed"]:
             break
     out, _ = materialize(now, "lpa-result")
-    for table in (stored, kept):
+    for table in filter(None, (stored, kept)):
         drop_bucketed(spark, *table)
     layout.drop()
     return out

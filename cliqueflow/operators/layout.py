@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..session import drop_path, materialize, scratch_path
 
-#: Rows of one bucket (some tens of MB of two ids and a number).
-BUCKET_ROWS = 4_000_000
+#: Rows of one bucket (some tens of MB of two ids and a number); what joins it is hashed a bucket at a time.
+BUCKET_ROWS = 1_000_000
 
 
 def bucket_count(spark, rows: int) -> int:
@@ -102,8 +102,11 @@ class SaltedLayout:
         return named.join(F.broadcast(self.hot), self.key, "left").select(*named.columns, salts)
 
     def join(self, small: DataFrame, small_key: str) -> DataFrame:
-        """Inner join of the stored table with ``small`` on ``key == small_key`` (no shuffle of the big side)."""
-        return self.table_df.join(self.keyed(small, small_key), [self.key, "salt"]).drop("salt")
+        """Inner join of the stored table with ``small`` on ``key == small_key`` (no shuffle or sort of the big side).
+
+        Each task hashes its bucket's share of ``small``, which never passes the driver.
+        """
+        return self.table_df.join(self.keyed(small, small_key).hint("shuffle_hash"), [self.key, "salt"]).drop("salt")
 
     def drop(self) -> None:
         drop_bucketed(self.spark, self.table, self.path)

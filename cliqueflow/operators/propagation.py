@@ -34,9 +34,10 @@ from .layout import SaltedLayout
 
 # Vertex tables up to this many rows, and up to this many stored (parquet)
 # bytes, are broadcast to the edge partitions; above either bound the edges
-# go into a salted bucketed layout and only the vertices are shuffled.
-BROADCAST_MAX_VERTICES = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# go into a salted bucketed layout. A broadcast table passes the driver, and
+# each round broadcasts three, so the bounds are small.
+BROADCAST_MAX_VERTICES = 50_000
+BROADCAST_MAX_BYTES = 4 * 1024 * 1024
 
 Communities = DataFrame | Iterable[str] | str | None
 

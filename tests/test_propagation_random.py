@@ -89,3 +89,35 @@ def test_fewer_edges_take_part_from_round_to_round(spark):
     frontier.propagate_changes(v, e, catalog.seed_communities(t), 10, keep_sinks=True, history=history)
     met = [h["edges"] for h in history]
     assert len(met) > 2 and met[0] > 0 and all(a >= b for a, b in zip(met[1:], met[2:])) and met[-1] < met[0]
+
+
+def test_large_graphs_send_no_vertices_through_the_driver(spark):
+    """A round of a graph above the bounds plans no broadcast of vertices or labels, and sorts no edges."""
+    import contextlib
+    import io
+
+    v = spark.range(2000).selectExpr("concat('v', id) AS id", "concat('v', id) AS label", "false AS prelabelled")
+    e = spark.range(4000).selectExpr("concat('v', id % 2000) AS src", "concat('v', (id * 7) % 2000) AS dst", "1L AS weight")
+    layout = P.BucketedEdges(e, buckets=2)
+    now, name, path = frontier._store(v, "id", 2, "lpa-vertices")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        frontier.choose(frontier.recounted(now, layout)).explain()
+        frontier.next_vertices(now, frontier.recounted(now, layout), P.community_names(spark, COMMS), False).explain()
+    for plan in buf.getvalue().split("== Physical Plan ==")[1:]:
+        for line in plan.splitlines():
+            assert "SortMergeJoin" not in line
+            assert "BroadcastHashJoin" not in line or "name" in line or "salts" in line or "_community" in line or "dst" in line
+        assert "ShuffledHashJoin [dst" in plan
+    frontier.drop_bucketed(spark, name, path)
+    layout.drop()
+    assert P.BROADCAST_MAX_VERTICES <= 100_000  # ten rounds of three such tables are what the driver sees at most
+
+
+def test_changes_alone_equal_whole_rounds(spark, monkeypatch):
+    t = SocialTables(spark, "/root/testdata/sf0.001")
+    v, e = catalog.stored_graph(t)
+    want = {tuple(r) for r in P.propagate(v, e, catalog.seed_communities(t), 6).collect()}
+    for dense in (0, 1 << 40):  # differences from the second round on; never
+        monkeypatch.setattr(frontier, "DENSE", dense)
+        assert {tuple(r) for r in frontier.propagate_changes(v, e, catalog.seed_communities(t), 6, buckets=3).collect()} == want
