@@ -39,9 +39,13 @@ def count_lines(raw: DataFrame, seen: Observation) -> DataFrame:
     return raw.observe(seen, F.count(F.lit(1)).alias("lines"), *[F.count(F.when(c, 1)).alias(k) for k, c in kinds.items()])
 
 
+#: Lines of one file of posts (some 20 MB packed): a reader takes a packed file whole.
+FILE_LINES = 500_000
+
+
 def write_tweets(tweets: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines, uncompressed: a reader can split the files."""
-    tweets.write.mode(mode).json(path)
+    """JSON lines, packed by gzip, in files of bounded length: a reader deals out the files."""
+    tweets.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).json(path)
 
 
 def list_objects(spark: SparkSession, path: str) -> DataFrame:

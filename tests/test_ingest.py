@@ -84,3 +84,23 @@ def test_user_ids_are_distinct_over_roles(spark, tmp_path):
     tweets = files.read_tweets(spark, write_lines(tmp_path / "raw", h8_lines()))
     assert rows(ingest.user_ids(tweets)) == [("10",), ("11",), ("12",), ("7",), ("8",)]
     assert rows(ingest.user_ids(tweets, None)) == [("10",), ("11",), ("12",), ("7",), ("8",), ("9",)]
+
+
+def test_posts_carry_at_most_one_profile_through_a_shuffle(spark):
+    """The one user that a post quotes or retweets is joined once, and authors join the orders; raw posts are packed."""
+    import contextlib
+    import io
+
+    from cliqueflow.session import scratch_path
+    from cliqueflow.sources import files
+    from cliqueflow.sources.social import SocialTables
+
+    t = SocialTables(spark, "/root/testdata/sf0.001")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        t.tweets.explain()
+    assert buf.getvalue().count("LeftOuter") == 2
+    path = scratch_path(spark, "packed")
+    files.write_tweets(t.tweets.limit(50), path)
+    assert all(f.endswith(".json.gz") for f in spark.read.text(path).inputFiles())
+    assert files.read_tweets(spark, path).count() == 50
