@@ -10,10 +10,9 @@ order probability alone, which the block adds itself. A document's perplexity
 is kept if it is at most the ``QUANTILE`` of trusted text of its language that
 was not trained on.
 
-The model is fitted on at most ``MAX_TRAIN`` trusted documents (a documented
-bound), chosen by the hash of their id; quantiles and scores cover all data.
-The different words of those documents are what is broadcast: a 64-bit hash,
-by which words are told apart, a number and a probability each.
+The model is fitted on every trusted document; the number of its shards grows
+with them. The different words of those documents are what is broadcast: a
+64-bit hash, by which words are told apart, a number and a probability each.
 Defined cases: a null or empty text is its end alone; repeated rows are each
 scored; a language without held-out trusted text (or a null one) is kept; an
 empty table gives no row; without trusted text every word is equally likely.
@@ -39,8 +38,11 @@ WORD_BITS = 32
 WORD = np.uint64((1 << WORD_BITS) - 1)
 #: Word numbers whose continuation counts travel as one row.
 PART = 1 << 16
-MAX_TRAIN = 50_000
+#: Shards of the model of up to ``DOCS_PER_MODEL`` trusted documents; twice as many of them have twice the shards.
 SHARDS = 64
+DOCS_PER_MODEL = 50_000
+#: So many ids of trusted documents are broadcast at most.
+BROADCAST_IDS = 8_000_000
 QUANTILE = 0.995
 #: Documents whose bigrams meet one copy of the model.
 DOCS_PER_COPY = 400_000
@@ -117,8 +119,8 @@ def bigrams(texts: list[bytes], words: Vocabulary) -> tuple[np.ndarray, np.ndarr
     return key_of(before, tokens), np.repeat(np.arange(w.n_texts), w.counts + 1), w.counts + 1
 
 
-def shard_of(keys: np.ndarray) -> np.ndarray:
-    return (before_of(keys) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % SHARDS
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (before_of(keys) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % shards
 
 
 def deltas(keys: np.ndarray) -> np.ndarray:
@@ -144,12 +146,12 @@ def cuts(shard: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(at[:-1].tolist(), at[1:].tolist()) if a < b]
 
 
-def training_counts(shared):
+def training_counts(shared, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in pieces(batches, "text", BLOCK_BYTES):
             keys, _, _ = bigrams(text_bytes(table.column("text")), shared.value)
             keys, counts = np.unique(keys, return_counts=True)
-            shard = shard_of(keys)
+            shard = shard_of(keys, shards)
             order = np.argsort(shard, kind="stable")
             keys, counts, shard = keys[order], counts[order].astype("<u4"), shard[order]
             out = [(int(shard[a]), b - a, pack_arrays(deltas(keys[a:b]), counts[a:b])) for a, b in cuts(shard)]
@@ -264,7 +266,7 @@ class ShardModel:
         return np.log10(p)
 
 
-def questions(shared, copies: int):
+def questions(shared, copies: int, shards: int):
     """Bigram keys with their documents for every shard; below shard 0 a header of the block, and what unknown words precede."""
     schema = arrow_of(PACKED)
 
@@ -277,7 +279,7 @@ def questions(shared, copies: int):
             alone = before_of(keys) == UNKNOWN
             own = np.bincount(text[alone], weights=np.log10(lower.unigram[word_of(keys[alone])]), minlength=table.num_rows)
             keys, text = keys[~alone], text[~alone]
-            shard = shard_of(keys)
+            shard = shard_of(keys, shards)
             order = np.lexsort((keys, shard))
             keys, text, shard = keys[order], text[order], shard[order]
             kind = "<u2" if table.num_rows <= 1 << 16 else "<u4"
@@ -350,15 +352,18 @@ def perplexities(docs: DataFrame, labels: DataFrame, docs_per_copy: int = DOCS_P
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select(F.col("doc_id").cast("long"), "text", "lang")
-    chosen = cut_lineage(trusted_ids(labels, False).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN), "trusted")
-    trusted = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")  # MAX_TRAIN longs
-    # sixteen bytes for each different word of at most MAX_TRAIN documents
+    chosen = cut_lineage(trusted_ids(labels, False), "trusted")
+    n_chosen = chosen.count()
+    shards = SHARDS * (n_chosen // DOCS_PER_MODEL + 1)
+    # a long for each trusted document, while they are few enough
+    trusted = docs.join(F.broadcast(chosen) if n_chosen <= BROADCAST_IDS else chosen, "doc_id", "left_semi").select("text")
+    # sixteen bytes for each different word of the trusted documents
     found = trusted.mapInArrow(count_words, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).toArrow()
     words = Vocabulary.of(found.column("hash").to_numpy().view(np.uint64), found.column("n").to_numpy())
     numbered = spark.sparkContext.broadcast(words)
-    asked = trusted.mapInArrow(training_counts(numbered), "shard long, n long, blob binary")
+    asked = trusted.mapInArrow(training_counts(numbered, shards), "shard long, n long, blob binary")
     model = cut_lineage(
-        asked.repartition(SHARDS, "shard").sortWithinPartitions("shard").mapInArrow(
+        asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(
             add_counts, "shard long, n long, blob binary, n1 long, n2 long, n3 long, n4 long"
         ),
         "bigrams",
@@ -370,12 +375,13 @@ def perplexities(docs: DataFrame, labels: DataFrame, docs_per_copy: int = DOCS_P
     for r in added.collect():  # four bytes a numbered word in all
         ends[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(expand(bytes(r["ends"])), "<u4")
     shared = spark.sparkContext.broadcast(Lower.of(words, ends, discounts(*[x or 0 for x in seen])))
-    copies = docs.count() // docs_per_copy + 1
+    # a larger model has more shards, so it needs fewer copies: together they grow as the documents do
+    copies = -(-SHARDS * (docs.count() // docs_per_copy + 1) // shards)
     parts = model.select(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"), F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("block"), "n", "blob"
     )
-    asked = docs.mapInArrow(questions(shared, copies), PACKED)
-    dealt = parts.unionByName(asked).repartition(SHARDS * copies, "shard", "copy").sortWithinPartitions("shard", "copy", "kind")
+    asked = docs.mapInArrow(questions(shared, copies, shards), PACKED)
+    dealt = parts.unionByName(asked).repartition(shards * copies, "shard", "copy").sortWithinPartitions("shard", "copy", "kind")
     sums = dealt.mapInArrow(score_shards(shared), "block long, kind int, blob binary")
     return sums.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(finish, SCORES)
 

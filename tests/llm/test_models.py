@@ -97,6 +97,21 @@ def test_quality_model_numbers_every_word(spark):
         assert math.isclose(got[i], want, rel_tol=1e-5), i
 
 
+def test_quality_model_learns_every_trusted_document(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "MAX_TRAIN", 10, raising=False)  # the bound that was
+    monkeypatch.setattr(kneser_ney, "SHARDS", 4)
+    monkeypatch.setattr(kneser_ney, "DOCS_PER_MODEL", 20, raising=False)
+    rows = [(i, " ".join(f"v{(i * j) % 97}" for j in range(1, 12)), "en") for i in range(90)]
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r.log10_prob for r in kneser_ney.perplexities(df, labels, docs_per_copy=10).collect()}
+    tokens = [brute.WORD.findall(t) for _, t, _ in rows]
+    train = [t for (i, _, _), t in zip(rows, tokens) if i < 60 and zlib.crc32(str(i).encode()) % kneser_ney.HELD_FOLD]
+    assert len(train) > 40
+    for (i, _, _), want in zip(rows, plain_kneser_ney(train, tokens)):
+        assert math.isclose(got[i], want, rel_tol=1e-5), i
+
+
 def test_packed_bigrams_come_back():
     rng = np.random.default_rng(3)
     for size, most in ((0, 5), (1, 1), (300, 6), (300, 1 << 31)):
