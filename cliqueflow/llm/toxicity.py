@@ -111,8 +111,8 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = h[w.first[i] : w.first[i + 1]]
             shingles = grams(own, 5) if own.size >= 5 else own
             if shingles.size:
-                lows = [mix(shingles + np.uint64(seed * 0x9E37)).min() for seed in range(6)]
-                out += [(name, j, int(mix(lows[2 * j] * np.uint64(31) + lows[2 * j + 1]).view(np.int64))) for j in range(3)]
+                lows = np.array([mix(shingles + np.uint64(seed * 0x9E37)).min() for seed in range(6)])
+                out += [(name, j, low) for j, low in enumerate(mix(lows[::2] * np.uint64(31) + lows[1::2]).view(np.int64).tolist())]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64()))], names=["_h", "slot", "low"])
 
