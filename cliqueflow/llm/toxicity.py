@@ -11,9 +11,10 @@ gradient. Thresholds are calibrated for each language on a validation part.
 
 Training sees every labelled text whole, of the rows the caller allows: one of
 each group of copies and near copies, one in ``HELD`` of them for the
-thresholds alone. Words are counted by Spark. A pass deals the texts to up to
-``WORKERS`` workers; each goes on from the shared model with its texts, and the
-mean of their models is the next one, so the driver holds models, never texts.
+thresholds alone. Words are counted by Spark. The texts are dealt once to up to
+``WORKERS`` workers and kept on the executors' disks; in a pass each worker goes
+on from the shared model with its texts, and the mean of their models is the
+next one, so the driver holds models, never texts.
 Scoring reads whole texts. Labels, language, source and id are no
 input of a score. Defined cases: a null or empty text gets the score of an
 empty one; repeated rows are each scored; without labelled texts of both
@@ -28,11 +29,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..session import cut_lineage, ship_package
+from ..session import cut_lineage, drop_path, materialize, ship_package
 from .blocks import BLOCK_BYTES, expand, grouped, pieces, squeeze, text_bytes
 from .words import PUNCTUATED, Words, grams, mix
 
@@ -254,6 +256,16 @@ def one_pass(shared, nth: int, share: float):
     return run
 
 
+def mean_state(states: DataFrame, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The mean of the workers' states (n, state), weighted by their texts; one of them is held at a time."""
+    total, sums = 0, {k: np.zeros(v.shape) for k, v in like.items()}
+    for r in states.toLocalIterator():  # WORKERS models at most; sums of doubles, so their order doesn't matter
+        total += r["n"]
+        for k, v in pickle.loads(expand(bytes(r["state"]))).items():
+            sums[k] += v.astype(np.float64) * r["n"]
+    return {k: (v / total).astype(like[k].dtype) for k, v in sums.items()}
+
+
 def train(used: DataFrame, n_toxic: int, n_clean: int) -> Model:
     """The model of all rows of ``used`` (_h, _text, _toxic), in ``EPOCHS`` passes."""
     sc = used.sparkSession.sparkContext
@@ -272,18 +284,18 @@ def train(used: DataFrame, n_toxic: int, n_clean: int) -> Model:
     workers = min(WORKERS, max(1, (n_toxic + n_clean) // TEXTS_PER_WORKER))
     tokens = used.mapInArrow(numbered, "_h long, toxic int, ids binary").withColumn("worker", F.pmod(F.xxhash64("_h"), F.lit(workers)))
     tokens = cut_lineage(tokens, "toxic-tokens")
+    # dealt and sorted once for all passes; a lost part is dealt again from the stored tokens, in the same order
     dealt = tokens.repartition(workers, "worker").sortWithinPartitions("worker", "_h").select("worker", "toxic", "ids")
+    dealt = dealt.persist(StorageLevel.DISK_ONLY)
     state = first_state(odds)
     for nth in range(EPOCHS):
         shared = sc.broadcast(state)
         run = one_pass(shared, nth, n_toxic / (n_toxic + n_clean))
-        total, mean = 0, None
-        for r in dealt.mapInArrow(run, "worker long, n long, state binary").orderBy("worker").toLocalIterator():  # WORKERS models at most
-            own = pickle.loads(expand(bytes(r["state"])))
-            total += r["n"]
-            mean = {k: v + (own[k] - v) * (r["n"] / total) for k, v in mean.items()} if mean else own
-        state = {k: np.asarray(v, dtype=state[k].dtype) for k, v in mean.items()}
+        states, path = materialize(dealt.mapInArrow(run, "worker long, n long, state binary"), "toxic-states")
+        state = mean_state(states, state)
+        drop_path(used.sparkSession, path)
         shared.unpersist()
+    dealt.unpersist()
     return Model(known, state["embed"], {k: state[f"filter{k}"] for k in WIDTHS}, state["bias"], state["out"], float(state["out_bias"][0]))
 
 

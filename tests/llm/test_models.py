@@ -135,3 +135,37 @@ def test_toxicity_counts_every_labelled_text(spark, monkeypatch):
     assert set(hashed[hashed > 0].tolist()) <= set(model.known.tolist())
     got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     assert min(got[i] for i in range(1, 200, 2)) > max(got[i] for i in range(0, 200, 2))
+
+
+def test_toxicity_passes_run_once_over_texts_dealt_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(toxicity, "TEXTS_PER_WORKER", 40)
+    monkeypatch.setattr(toxicity, "EPOCHS", 3)
+    real, seen = toxicity.one_pass, str(tmp_path)
+
+    def noted(shared, nth, share):
+        run = real(shared, nth, share)
+
+        def again(batches):
+            import tempfile
+
+            tempfile.mkstemp(prefix=f"pass{nth}-", dir=seen)
+            return run(batches)
+
+        return again
+
+    monkeypatch.setattr(toxicity, "one_pass", noted)
+    rows = [(i, f"{' '.join(f'n{i}x{j}' for j in range(9))} {'bad' if i % 2 else 'good'}", i % 2) for i in range(120)]
+    used = spark.createDataFrame(rows, "_h long, _text string, _toxic int")
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = toxicity.train(used, 60, 60)
+    assert Counter(p.name[:5] for p in tmp_path.iterdir()) == {f"pass{nth}": 3 for nth in range(3)}  # three workers
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    low, high = model.scores([b"good", b"bad"], model.tables())
+    assert low < high
+
+
+def test_toxicity_mean_of_states_is_weighted(spark):
+    states = [{"a": np.full(3, v, np.float32), "t": np.array([v])} for v in (1.0, 4.0)]
+    rows = [(0, 10, toxicity.squeeze(toxicity.pickle.dumps(states[0]))), (1, 5, toxicity.squeeze(toxicity.pickle.dumps(states[1])))]
+    got = toxicity.mean_state(spark.createDataFrame(rows, "worker long, n long, state binary"), states[0])
+    assert got["a"].dtype == np.float32 and got["a"].tolist() == [2.0] * 3 and got["t"].tolist() == [2.0]
