@@ -26,8 +26,8 @@ BLOCK_BYTES = 4 << 20
 BLOCK_SCHEMA = "block long, rows long, payload binary"
 
 
-def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+def squeeze(data: bytes, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data)
 
 
 def expand(data: bytes) -> bytes:

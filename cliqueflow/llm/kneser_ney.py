@@ -39,8 +39,14 @@ WORD = np.uint64((1 << WORD_BITS) - 1)
 #: Word numbers whose continuation counts travel as one row.
 PART = 1 << 16
 #: Shards of the model of up to ``DOCS_PER_MODEL`` trusted documents; twice as many of them have twice the shards.
-SHARDS = 64
-DOCS_PER_MODEL = 50_000
+#: A shard of so many holds about a million bigrams. Each shard that a block asks sends a sum for each of its
+#: documents, so more shards than memory needs cost disk.
+SHARDS = 32
+DOCS_PER_MODEL = 100_000
+#: Bigrams that a shard holds unmerged at least.
+MERGED = 1 << 16
+#: Level at which what is shuffled and stored is packed.
+LEVEL = 9
 #: So many ids of trusted documents are broadcast at most.
 BROADCAST_IDS = 8_000_000
 QUANTILE = 0.995
@@ -62,7 +68,7 @@ def unplanes(data: bytes, kind: str) -> np.ndarray:
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    return squeeze(b"".join(planes(a) for a in arrays))
+    return squeeze(b"".join(planes(a) for a in arrays), LEVEL)
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,14 +166,24 @@ def training_counts(shared, shards: int):
     return run
 
 
+def merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of all ``runs`` as one."""
+    keys, code = np.unique(np.concatenate([k for k, _ in runs]), return_inverse=True)
+    return keys, np.bincount(code, weights=np.concatenate([c for _, c in runs])).astype(np.int64)
+
+
 def add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per shard: its bigrams with their counts, and how many were seen 1 to 4 times."""
     for shard, rows in grouped(batches, "shard"):
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for row in rows:  # merged one by one: the shard holds one copy of its part
+        runs, waiting = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+        for row in rows:
             data, n = expand(row["blob"]), row["n"]
-            keys, code = np.unique(np.concatenate((keys, keys_of(data, n))), return_inverse=True)
-            counts = np.bincount(code, weights=np.concatenate((counts, unplanes(data[8 * n :], "<u4")))).astype(np.int64)
+            runs.append((keys_of(data, n), unplanes(data[8 * n :], "<u4").astype(np.int64)))
+            waiting += n
+            # merged when as much waits as there is: the shard holds two copies of its part at most, and sorts it a few times
+            if waiting > max(MERGED, runs[0][0].size):
+                runs, waiting = [merged(runs)], 0
+        keys, counts = merged(runs)
         seen = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int64()), pa.array([keys.size], pa.int64()), pa.array([pack_arrays(deltas(keys), counts.astype("<u4"))], pa.binary())]
@@ -347,6 +363,11 @@ def trusted_ids(labels: DataFrame, held: bool) -> DataFrame:
     return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull() & (fold if held else ~fold)).select("doc_id").distinct()
 
 
+def model_shards(trusted: int) -> int:
+    """Shards of the model of so many trusted documents."""
+    return SHARDS * (trusted // DOCS_PER_MODEL + 1)
+
+
 def perplexities(docs: DataFrame, labels: DataFrame, docs_per_copy: int = DOCS_PER_COPY, part: int = PART) -> DataFrame:
     """doc_id, lang, n_tokens, log10_prob of every row of ``docs`` (doc_id, text, lang); trained on trusted rows of ``labels``."""
     spark = docs.sparkSession
@@ -354,7 +375,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, docs_per_copy: int = DOCS_P
     docs = docs.select(F.col("doc_id").cast("long"), "text", "lang")
     chosen = cut_lineage(trusted_ids(labels, False), "trusted")
     n_chosen = chosen.count()
-    shards = SHARDS * (n_chosen // DOCS_PER_MODEL + 1)
+    shards = model_shards(n_chosen)
     # a long for each trusted document, while they are few enough
     trusted = docs.join(F.broadcast(chosen) if n_chosen <= BROADCAST_IDS else chosen, "doc_id", "left_semi").select("text")
     # sixteen bytes for each different word of the trusted documents

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from cliqueflow.llm import kneser_ney, toxicity
 
@@ -112,6 +113,34 @@ def test_quality_model_learns_every_trusted_document(spark, monkeypatch):
         assert math.isclose(got[i], want, rel_tol=1e-5), i
 
 
+def test_quality_model_has_no_more_shards_than_memory_needs():
+    """Every shard that a block asks sends a number for each of its documents."""
+    assert kneser_ney.model_shards(0) == kneser_ney.model_shards(60_000) == kneser_ney.SHARDS
+    assert kneser_ney.model_shards(600_000) > kneser_ney.SHARDS  # the shards grow with the trusted documents
+
+
+def test_bigram_counts_merge_a_few_times(monkeypatch):
+    """Counts of many blocks come out right, and not every block sorts the whole shard again."""
+    monkeypatch.setattr(kneser_ney, "MERGED", 50, raising=False)
+    rng, want, rows, sorts, unique = np.random.default_rng(8), Counter(), [], [], np.unique
+    for shard in (1, 1, 1, 2):
+        for _ in range(100):
+            keys, n = unique(kneser_ney.key_of(rng.integers(0, 40, 12), rng.integers(0, 40, 12)), return_counts=True)
+            want.update({(shard, int(k)): int(c) for k, c in zip(keys, n)})
+            rows.append((shard, keys.size, kneser_ney.pack_arrays(kneser_ney.deltas(keys), n.astype("<u4"))))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["shard", "n", "blob"])
+    monkeypatch.setattr(np, "unique", lambda *a, **b: sorts.append(1) or unique(*a, **b))
+    got = {}
+    for out in kneser_ney.add_counts(iter([batch])):
+        (row,) = out.to_pylist()
+        data = kneser_ney.expand(row["blob"])
+        counts = kneser_ney.unplanes(data[8 * row["n"] :], "<u4").tolist()
+        got |= {(row["shard"], int(k)): c for k, c in zip(kneser_ney.keys_of(data, row["n"]), counts)}
+        assert [row[f"n{k}"] for k in (1, 2, 3, 4)] == [counts.count(k) for k in (1, 2, 3, 4)]
+    assert got == want
+    assert len(sorts) < 60  # 400 rows
+
+
 def test_packed_bigrams_come_back():
     rng = np.random.default_rng(3)
     for size, most in ((0, 5), (1, 1), (300, 6), (300, 1 << 31)):
