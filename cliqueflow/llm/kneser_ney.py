@@ -41,8 +41,8 @@ PART = 1 << 16
 #: Shards of the model of up to ``DOCS_PER_MODEL`` trusted documents; twice as many of them have twice the shards.
 #: A shard of so many holds about a million bigrams. Each shard that a block asks sends a sum for each of its
 #: documents, so more shards than memory needs cost disk.
-SHARDS = 32
-DOCS_PER_MODEL = 100_000
+SHARDS = 64
+DOCS_PER_MODEL = 200_000
 #: Bigrams that a shard holds unmerged at least.
 MERGED = 1 << 16
 #: Level at which what is shuffled and stored is packed.
@@ -53,6 +53,8 @@ QUANTILE = 0.995
 #: Documents whose bigrams meet one copy of the model.
 DOCS_PER_COPY = 400_000
 HELD_FOLD = 5
+#: Text of a block; larger ones pack better.
+TEXT_BYTES = 2 * BLOCK_BYTES
 PACKED = "shard long, copy long, kind int, block long, n long, blob binary"
 SCORES = "doc_id long, lang string, n_tokens long, log10_prob double"
 
@@ -154,7 +156,7 @@ def cuts(shard: np.ndarray) -> list[tuple[int, int]]:
 
 def training_counts(shared, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in pieces(batches, "text", BLOCK_BYTES):
+        for table in pieces(batches, "text", TEXT_BYTES):
             keys, _, _ = bigrams(text_bytes(table.column("text")), shared.value)
             keys, counts = np.unique(keys, return_counts=True)
             shard = shard_of(keys, shards)
@@ -288,7 +290,7 @@ def questions(shared, copies: int, shards: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for n, table in enumerate(pieces(batches, "text", BLOCK_BYTES)):
+        for n, table in enumerate(pieces(batches, "text", TEXT_BYTES)):
             block = (task << 32) + n
             lower = shared.value
             keys, text, sizes = bigrams(text_bytes(table.column("text")), lower.words)
@@ -309,7 +311,7 @@ def questions(shared, copies: int, shards: int):
                 out.write_table(head)
             home = -1 - block % 64
             rows.append((home, 0, 0, block, table.num_rows, squeeze(sink.getvalue().to_pybytes())))
-            rows.append((home, 0, 1, block, table.num_rows, squeeze(own.astype("<f4").tobytes())))
+            rows.append((home, 0, 1, block, table.num_rows, pack_arrays(own.astype("<f4"))))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
@@ -338,7 +340,7 @@ def score_shards(shared):
                 keys = keys_of(data, n)
                 text = unplanes(data[8 * n :], "<u2" if len(data) == 10 * n else "<u4").astype(np.int64)
                 sums = np.bincount(text, weights=model.log_probs(keys))
-                out.append((row["block"], 1, squeeze(sums.astype("<f4").tobytes())))
+                out.append((row["block"], 1, pack_arrays(sums.astype("<f4"))))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
@@ -353,7 +355,7 @@ def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 head = pa.ipc.open_stream(expand(row["blob"])).read_all()
                 total = np.zeros(head.num_rows)
             else:
-                part = np.frombuffer(expand(row["blob"]), dtype="<f4")
+                part = unplanes(expand(row["blob"]), "<f4")
                 total[: part.size] += part
         yield from head.append_column("log10_prob", pa.array(total)).combine_chunks().to_batches()
 
