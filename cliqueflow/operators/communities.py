@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_path, materialize, path_bytes
-from .layout import SaltedLayout, bucketed_copy, drop_bucketed
+from .layout import SaltedLayout, Salts, bucketed_copy, drop_bucketed
 from .propagation import BROADCAST_MAX_BYTES, BROADCAST_MAX_VERTICES, Communities, community_names, propagation_edges
 
 
@@ -95,8 +95,9 @@ def community_pagerank(
 
     Members are broadcast to the edges while there are at most
     ``broadcast_max_vertices`` of them. Above that the edges meet both ends'
-    communities through salted bucketed layouts, ranks are stored bucketed on
-    ``id``, and a round shuffles only ranks and partially summed inflows.
+    communities in salted joins, those inside a community are stored in a salted
+    bucketed layout, ranks are stored bucketed on ``id``, and a round shuffles
+    only ranks and partially summed inflows.
     """
     spark = labelled.sparkSession
     names = community_names(spark, communities)
@@ -122,9 +123,13 @@ def community_pagerank(
         # range-clustered on (dst, src): a round's partial inflow sums fold a destination's edges
         inner, inner_path = materialize(both.select("src", "dst", "weight").repartitionByRange("dst", "src"), "pagerank-edges")
     else:
-        by_dst = SaltedLayout(links, "dst", "src", buckets, hot_threshold, tag="pagerank-in")
-        layout = SaltedLayout(by_dst.join(dst_m, "dst"), "src", "dst", by_dst.buckets, hot_threshold, tag="pagerank-out")
-        by_dst.drop()
+        # one job takes the edges to the communities of both ends; only in-community ones are stored
+        into = Salts(links, "dst", "src", buckets, hot_threshold, tag="pagerank-in")
+        outof = Salts(links, "src", "dst", into.buckets, into.threshold, tag="pagerank-out")
+        ended = into.meet(into.dealt(links), dst_m, "dst").drop("salt")
+        own_src = src_m.withColumnRenamed("community", "dst_community")
+        layout = SaltedLayout.of(outof.meet(outof.dealt(ended), own_src, "src", ("dst_community",), "left_semi"), outof)
+        into.drop()
 
     def meet(side: DataFrame) -> DataFrame:
         """In-community edges with what ``side`` (src, community, ...) says of their source."""

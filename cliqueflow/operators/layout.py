@@ -55,10 +55,11 @@ def drop_bucketed(spark, name: str, path: str) -> None:
     drop_path(spark, path)
 
 
-class SaltedLayout:
-    """``big`` bucketed on ``key`` and a salt (0, but for hot keys, which are salted by ``spread_by``).
+class Salts:
+    """The hot keys of ``big`` by ``key``, whose rows are spread over salts (0 for all others) by a hash of ``spread_by``.
 
-    Without ``buckets`` their number follows the rows of ``big``.
+    Without ``buckets`` their number follows the rows of ``big``. The salts hold
+    for any table whose keys have no more rows than they have in ``big``.
     """
 
     def __init__(
@@ -75,7 +76,7 @@ class SaltedLayout:
             rows = big.count()
             buckets = buckets or bucket_count(spark, rows)
             threshold = threshold or max(1000, -(-rows // (buckets * 4)))
-        self.spark, self.key, self.buckets, self.threshold = spark, key, buckets, threshold
+        self.spark, self.key, self.spread_by, self.buckets, self.threshold, self.tag = spark, key, spread_by, buckets, threshold, tag
         self.hot, self.hot_path = materialize(
             big.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n"))
@@ -83,17 +84,12 @@ class SaltedLayout:
             .select(key, F.ceil(F.col("n") / F.lit(threshold)).cast("int").alias("salts")),
             f"{tag}-hot",
         )
-        salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("int"), F.lit(0))
-        salted = big.join(F.broadcast(self.hot), key, "left").select(*big.columns, salt.alias("salt"))
-        self.table, self.path = bucketed_name(spark, f"{tag}-bucketed")
-        (
-            salted.repartition(buckets, key, "salt")
-            .write.bucketBy(buckets, key, "salt")
-            .sortBy(key, "salt")
-            .option("path", self.path)
-            .saveAsTable(self.table)
-        )
-        self.table_df = spark.table(self.table)
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their ``salt``, dealt to the buckets."""
+        salt = F.coalesce(F.pmod(F.xxhash64(self.spread_by), F.col("salts")).cast("int"), F.lit(0))
+        salted = rows.join(F.broadcast(self.hot), self.key, "left").select(*rows.columns, salt.alias("salt"))
+        return salted.repartition(self.buckets, self.key, "salt")
 
     def keyed(self, small: DataFrame, small_key: str) -> DataFrame:
         """``small`` by ``key`` and ``salt``; rows of hot keys are repeated once per salt."""
@@ -101,13 +97,58 @@ class SaltedLayout:
         named = small.withColumnRenamed(small_key, self.key)
         return named.join(F.broadcast(self.hot), self.key, "left").select(*named.columns, salts)
 
+    def meet(self, rows: DataFrame, small: DataFrame, small_key: str, also: tuple[str, ...] = (), how: str = "inner") -> DataFrame:
+        """``rows`` of ``dealt`` joined with ``small`` on ``key == small_key`` and the columns ``also``: hashed a bucket at a time."""
+        side = self.keyed(small, small_key).repartition(self.buckets, self.key, "salt")
+        return rows.join(side.hint("shuffle_hash"), [self.key, "salt", *also], how)
+
+    def drop(self) -> None:
+        drop_path(self.spark, self.hot_path)
+
+
+class SaltedLayout:
+    """Rows bucketed on ``key`` and their salt: those of ``big``, or ``rows`` dealt by ``salts`` of another table."""
+
+    def __init__(
+        self,
+        big: DataFrame,
+        key: str,
+        spread_by: str,
+        buckets: int | None = None,
+        threshold: int | None = None,
+        tag: str = "layout",
+    ):
+        salts = Salts(big, key, spread_by, buckets, threshold, tag)
+        self._store(salts.dealt(big), salts)
+
+    @classmethod
+    def of(cls, rows: DataFrame, salts: Salts) -> SaltedLayout:
+        """A layout of ``rows`` that ``salts`` has dealt: they stay in their partitions."""
+        layout = cls.__new__(cls)
+        layout._store(rows, salts)
+        return layout
+
+    def _store(self, rows: DataFrame, salts: Salts) -> None:
+        self.spark, self.salts = salts.spark, salts
+        self.key, self.buckets, self.threshold, self.hot = salts.key, salts.buckets, salts.threshold, salts.hot
+        self.table, self.path = bucketed_name(self.spark, f"{salts.tag}-bucketed")
+        (
+            rows.repartition(self.buckets, self.key, "salt")
+            .write.bucketBy(self.buckets, self.key, "salt")
+            .sortBy(self.key, "salt")
+            .option("path", self.path)
+            .saveAsTable(self.table)
+        )
+        self.table_df = self.spark.table(self.table)
+
     def join(self, small: DataFrame, small_key: str) -> DataFrame:
         """Inner join of the stored table with ``small`` on ``key == small_key`` (no shuffle or sort of the big side).
 
         Each task hashes its bucket's share of ``small``, which never passes the driver.
         """
-        return self.table_df.join(self.keyed(small, small_key).hint("shuffle_hash"), [self.key, "salt"]).drop("salt")
+        side = self.salts.keyed(small, small_key).hint("shuffle_hash")
+        return self.table_df.join(side, [self.key, "salt"]).drop("salt")
 
     def drop(self) -> None:
         drop_bucketed(self.spark, self.table, self.path)
-        drop_path(self.spark, self.hot_path)
+        self.salts.drop()

@@ -53,17 +53,18 @@ def graph_of(t: SocialTables) -> tuple[DataFrame, DataFrame]:
 
 
 def stored_graph(t: SocialTables) -> tuple[DataFrame, DataFrame]:
-    """The graph as the ``make`` stage leaves it: edges stored once, vertex ids taken from them."""
-    edges = cut_lineage(propagation.cluster_edges(graph.build_edges(refs_of(t))), "edges")
+    """The graph as the ``make`` stage leaves it: edges stored once, vertex ids taken from them.
+
+    The edges are not clustered yet: that is for rounds with broadcasts, large graphs deal them out otherwise.
+    """
+    edges = cut_lineage(propagation.propagation_edges(graph.build_edges(refs_of(t))), "edges")
     return graph.build_vertices(edges, t.seeds), edges
 
 
 def labelled(t: SocialTables, rounds: int = LPA_ROUNDS, keep_sinks: bool = False) -> DataFrame:
     def run() -> DataFrame:
         vertices, edges = stored_graph(t)
-        return propagation.propagate(
-            vertices, edges, seed_communities(t), iterations=rounds, keep_sinks=keep_sinks, materialize_edges=False
-        )
+        return propagation.propagate(vertices, edges, seed_communities(t), iterations=rounds, keep_sinks=keep_sinks)
 
     return distilled(t.spark, run, "labelled")
 
@@ -90,7 +91,7 @@ def pageranks(t: SocialTables, **options) -> DataFrame:
     def run() -> DataFrame:
         vertices, edges = stored_graph(t)
         names = seed_communities(t)
-        lab = propagation.propagate(vertices, edges, names, iterations=LPA_ROUNDS, materialize_edges=False)
+        lab = propagation.propagate(vertices, edges, names, iterations=LPA_ROUNDS)
         return comm.community_pagerank(lab, edges, names, iterations=PAGERANK_ROUNDS, **options)
 
     return distilled(t.spark, run, "pageranks")

@@ -143,3 +143,24 @@ def test_relative_ranks_do_not_tie_in_large_communities(spark):
     us = users(spark, [("a", "alice", 1), ("b", "bob", 1)])
     best = comm.pagerank_leaders(comm.relative_ranks(ranks.unionByName(many)), us, k=2)
     assert rows(best, "position", "id") == [(1, "b"), (2, "a")]
+
+
+def test_pagerank_of_large_graphs_stores_in_community_edges_once(spark, monkeypatch):
+    """No edge that leaves its community is stored for the rounds, and they are stored in one layout only."""
+    from cliqueflow.operators.layout import SaltedLayout
+
+    lab = labelled(spark, [("a", "T"), ("b", "T"), ("c", "B"), ("d", "B"), ("e", "x")])
+    e = edges(spark, [("a", "b", 2), ("a", "c", 1), ("b", "a", 1), ("c", "d", 3), ("d", "a", 1), ("e", "a", 1), ("a", "e", 4)])
+    stored = []
+    drop = SaltedLayout.drop
+
+    def counted(layout):
+        stored.append(rows(layout.table_df, "src", "dst"))
+        drop(layout)
+
+    monkeypatch.setattr(SaltedLayout, "drop", counted)
+    ranks = comm.community_pagerank(lab, e, ["T", "B"], iterations=4, broadcast_max_vertices=0, buckets=3, hot_threshold=1)
+    assert stored == [[("a", "b"), ("b", "a"), ("c", "d")]]
+    got = {r["id"]: r["rank"] for r in ranks.collect()}
+    want = brute_pagerank("ab", [("a", "b", 2), ("b", "a", 1)], 4) | brute_pagerank("cd", [("c", "d", 3)], 4)
+    assert got == pytest.approx(want, abs=1e-12)
