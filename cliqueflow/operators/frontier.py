@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import locked_weight
 from ..session import materialize
 from .layout import bucketed_name, drop_bucketed, write_bucketed
-from .propagation import BucketedEdges, Communities, community_names, lpa_associations, propagation_edges, with_lock
+from .propagation import BucketedEdges, Communities, community_names, lpa_associations, propagation_edges, short_list, with_lock
 
 #: A round sums all edges anew while more than one in so many vertices changed in the round before it.
 DENSE = 8
@@ -54,7 +54,7 @@ def choose(scores: DataFrame) -> DataFrame:
     return summed(scores).groupBy("src").agg(F.min_by("label", order).alias("best"), F.sum("n").alias("left"))
 
 
-def next_vertices(vertices: DataFrame, scores: DataFrame, names: DataFrame, keep_sinks: bool) -> DataFrame:
+def next_vertices(vertices: DataFrame, scores: DataFrame, names: DataFrame | list[str], keep_sinks: bool) -> DataFrame:
     """All vertices after a round: id, label, prelabelled, old_label, old_lock, alive."""
     old = vertices.select("id", F.col("label").alias("old_label"), F.col("prelabelled").alias("old_lock"))
     # a bucket's vertices are hashed where they lie: neither sorted nor sent through the driver
@@ -129,7 +129,7 @@ def propagate_changes(
     spark = vertices.sparkSession
     layout = BucketedEdges(propagation_edges(edges), buckets, hot_threshold)
     buckets = layout.buckets
-    names = community_names(spark, communities)
+    names = short_list(community_names(spark, communities))
     first = vertices.select("id", "label", F.coalesce("prelabelled", F.lit(False)).alias("prelabelled"))
     now, *stored = _store(first, "id", buckets, "lpa-vertices")
     scores, kept, rows, added = recounted(now, layout), None, 0, 0

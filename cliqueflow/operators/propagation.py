@@ -39,6 +39,11 @@ from .layout import SaltedLayout
 BROADCAST_MAX_VERTICES = 50_000
 BROADCAST_MAX_BYTES = 4 * 1024 * 1024
 
+# Communities up to this many, of up to this many characters each, are written
+# into the plan of a round; others are joined, which broadcasts them each round.
+LISTED_NAMES = 100
+LISTED_CHARS = 1000
+
 Communities = DataFrame | Iterable[str] | str | None
 
 
@@ -61,8 +66,17 @@ def community_names(spark: SparkSession, communities: Communities) -> DataFrame:
     return spark.createDataFrame(pa.table({"name": pa.array(names, pa.string())}))
 
 
-def with_lock(labelled: DataFrame, names: DataFrame) -> DataFrame:
+def short_list(names: DataFrame) -> DataFrame | list[str]:
+    """The rows of ``community_names``, if they are few and short; else ``names`` as it is."""
+    short = F.when(F.length("name") <= LISTED_CHARS, F.col("name")).alias("name")
+    found = [r["name"] for r in names.select(short).limit(LISTED_NAMES + 1).collect()]
+    return names if len(found) > LISTED_NAMES or None in found else found
+
+
+def with_lock(labelled: DataFrame, names: DataFrame | list[str]) -> DataFrame:
     """``labelled`` with ``prelabelled``: its label is a community's name (never null)."""
+    if isinstance(names, list):
+        return labelled.withColumn("prelabelled", F.coalesce(F.col("label").isin(names), F.lit(False)))
     listed = names.select(F.col("name").alias("_community"))
     met = labelled.join(listed, F.col("label") == F.col("_community"), "left")
     return met.withColumn("prelabelled", F.col("_community").isNotNull()).drop("_community")
@@ -147,7 +161,7 @@ def lpa_choose(scores: DataFrame) -> DataFrame:
 def _step(
     vertices: DataFrame,
     edges: EdgeInput,
-    names: DataFrame,
+    names: DataFrame | list[str],
     keep_sinks: bool,
     broadcast_vertices: bool,
     track_changes: bool,
@@ -236,9 +250,10 @@ def propagate(
     edge_input = propagation_edges(edges)
     if materialize_edges:
         edge_input, edge_path = materialize(cluster_edges(edge_input), "lpa-edges")
+    listed = short_list(names)
 
     for i in range(1, iterations + 1):
-        step = _step(current, edge_input, names, keep_sinks, True, True)
+        step = _step(current, edge_input, listed, keep_sinks, True, True)
         nxt_path = scratch_path(spark, f"lpa-round{i}")
         stats = _write_counted(step, nxt_path)
         unchanged = stats["n"] == n_rows and stats["changed"] == 0

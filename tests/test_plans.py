@@ -123,3 +123,43 @@ def test_rounds_by_changes_shuffle_changes_only(spark):
         layout.drop()
         for table in (v_table, s_table):
             drop_bucketed(spark, *table)
+
+
+def test_orders_and_users_are_not_broadcast(spark, tmp_path):
+    """Tables with a row for each order or user are shuffled, however few bytes they are stored in."""
+    tables = {
+        "customer": "1L AS c_custkey, 'n' AS c_name, 1 AS c_nationkey, 1.0D AS c_acctbal, 's' AS c_mktsegment",
+        "orders": "1L AS o_orderkey, 1L AS o_custkey, timestamp '2020-01-01' AS o_orderdate",
+        "lineitem": "1L AS l_orderkey, 1L AS l_partkey, 1L AS l_suppkey, 'O' AS l_linestatus, 'R' AS l_returnflag",
+    }
+    for name, row in tables.items():
+        spark.sql(f"SELECT {row}").write.parquet(f"{tmp_path}/{name}.parquet")
+    t = SocialTables(spark, str(tmp_path))
+    for df in (t.posts, graph.build_edges(ingest.gather_references(t.tweet_ids))):
+        text = plan(df)
+        assert "SortMergeJoin" in text and "Broadcast" not in text, text
+
+
+def test_rounds_broadcast_no_short_list_of_names(spark, monkeypatch):
+    v, e = vertices(spark, "a b c:X*"), edges(spark, [("a", "b", 1), ("b", "c", 2), ("c", "a", 1)])
+    names = P.community_names(spark, ["X", "Y"])
+    listed = P.short_list(names)
+    assert sorted(listed) == ["X", "Y"] and P.short_list(P.community_names(spark, None)) == []
+    one_null = spark.createDataFrame([("1", "X"), ("2", "x"), ("3", None)], "id string, label string")
+    for few in (listed, names):
+        assert [r["prelabelled"] for r in P.with_lock(one_null, few).orderBy("id").collect()] == [True, False, False]
+    assert [r["prelabelled"] for r in P.with_lock(one_null, []).collect()] == [False] * 3
+    assert "Join" not in plan(P.with_lock(one_null, listed))
+    seen, whole = [], P.with_lock
+    monkeypatch.setattr(P, "with_lock", lambda df, n: seen.append(n) or whole(df, n))
+    monkeypatch.setattr(frontier, "with_lock", P.with_lock)
+    want = sorted(P.propagate(v, e, ["X"], 2).collect())
+    assert sorted(P.propagate(v, e, ["X"], 2, broadcast_max_vertices=0).collect()) == want
+    assert seen and all(n == ["X"] for n in seen)
+    # too many names, or a long one, are joined as before, with the same result
+    for limit in ("LISTED_NAMES", "LISTED_CHARS"):
+        with monkeypatch.context() as m:
+            m.setattr(P, limit, 0)
+            assert P.short_list(names) is names
+            assert sorted(P.propagate(v, e, ["X"], 2).collect()) == want
+            assert sorted(P.propagate(v, e, ["X"], 2, broadcast_max_vertices=0).collect()) == want
