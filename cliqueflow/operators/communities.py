@@ -15,11 +15,12 @@ from .propagation import BROADCAST_MAX_BYTES, BROADCAST_MAX_VERTICES, Communitie
 def community_members_join(labelled: DataFrame, users: DataFrame, communities: Communities) -> DataFrame:
     """(id, label, screen_name, followers_count) for labelled users of the listed communities.
 
-    Labelled ids without a user row are not members (inner join).
+    Labelled ids without a user row are not members (inner join). Stored ids and
+    profiles look smaller to the planner than they are: neither is to be broadcast.
     """
     names = community_names(labelled.sparkSession, communities)
     lab = labelled.select("id", "label").join(names, F.col("label") == F.col("name"), "left_semi")
-    return lab.join(users.select("id", "screen_name", "followers_count"), "id")
+    return lab.join(users.select("id", "screen_name", "followers_count").hint("merge"), "id")
 
 
 def community_size(members: DataFrame) -> DataFrame:

@@ -138,6 +138,10 @@ def test_orders_and_users_are_not_broadcast(spark, tmp_path):
     for df in (t.posts, graph.build_edges(ingest.gather_references(t.tweet_ids))):
         text = plan(df)
         assert "SortMergeJoin" in text and "Broadcast" not in text, text
+    lab = spark.createDataFrame([("1", "X"), ("2", "X"), ("1", None)], "id string, label string")
+    members = comm.community_members_join(lab, t.users, ["X"])
+    assert "SortMergeJoin" in plan(members), plan(members)
+    assert [tuple(r) for r in members.collect()] == [("1", "X", "n", 1)]
 
 
 def test_rounds_broadcast_no_short_list_of_names(spark, monkeypatch):
